@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The analyses this library rebuilds are batch jobs over a finished log
+(no stream source, watermark or stateful operator occurs in them), so no
+Structured Streaming operator is provided.  Every operator in
+``promoscope.operators`` is a plain DataFrame transform and can be
+applied to a micro-batch inside ``foreachBatch`` by a caller who needs
+it.
+"""
