@@ -55,25 +55,26 @@ def _fill_pass(df: DataFrame, order_cols: Sequence[str], fill_cols: Sequence[str
     # NULL ordering value and are skipped by max_by / min_by.
     summary = df.groupBy(RANGE).agg(*[
         edge(F.col(c), F.when(F.col(c).isNotNull(), order_key)).alias(c) for c in fill_cols])
+    # Both directions use a running frame (unbounded preceding .. current),
+    # which Spark evaluates in one pass; a backward fill is a forward fill
+    # over the reversed order.  (A current .. unbounded-following frame is
+    # re-aggregated for every row: quadratic in the range size.)
     if forward:
-        across = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-        within = (Window.partitionBy(RANGE).orderBy(*order_cols)
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        pick = F.last
+        range_order, row_order = [F.asc(RANGE)], [F.asc(c) for c in order_cols]
     else:
-        across = Window.orderBy(RANGE).rowsBetween(1, Window.unboundedFollowing)
-        within = (Window.partitionBy(RANGE).orderBy(*order_cols)
-                  .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-        pick = F.first
+        range_order, row_order = [F.desc(RANGE)], [F.desc(c) for c in order_cols]
+    across = Window.orderBy(*range_order).rowsBetween(Window.unboundedPreceding, -1)
+    within = (Window.partitionBy(RANGE).orderBy(*row_order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # One row per range: the unpartitioned window and the broadcast are
     # bounded by the range count.
     carry = summary.select(RANGE, *[
-        pick(F.col(c), ignorenulls=True).over(across).alias(f"_carry_{c}") for c in fill_cols])
+        F.last(F.col(c), ignorenulls=True).over(across).alias(f"_carry_{c}") for c in fill_cols])
     joined = df.join(F.broadcast(carry), RANGE, "left")
     out = []
     for c in df.columns:
         if c in fill_cols:
-            out.append(F.coalesce(pick(F.col(c), ignorenulls=True).over(within),
+            out.append(F.coalesce(F.last(F.col(c), ignorenulls=True).over(within),
                                   F.col(f"_carry_{c}")).alias(c))
         else:
             out.append(F.col(c))
