@@ -43,6 +43,11 @@ def register(name: str, oracle: str | None = None):
 
 
 DAY = PROMO_DAY
+
+# Log columns each family of queries reads; asking only for these keeps
+# the part table (category, brand) out of plans that do not use it.
+ITEM_COLS = ("user_id", "item_id", "time_stamp", "action_type")
+MERCHANT_COLS = ("user_id", "item_id", "seller_id", "time_stamp", "action_type")
 BASE = sql.with_ctes(*sql.BASE)
 WITH_PAIRS = sql.with_ctes(*sql.BASE, sql.PAIRS)
 WITH_FEATS = sql.with_ctes(*sql.BASE, sql.PAIRS, sql.FEATS)
@@ -78,11 +83,12 @@ register("known_age_lenient", BASE + "SELECT * FROM user_info WHERE age_range IS
 register("dedup_user_item_action",
          BASE + f"SELECT DISTINCT user_id, item_id, action_type FROM user_log "
                 f"WHERE time_stamp = {DAY} AND action_type <> 0")(
-    lambda spark, d: pop.dedup_user_item_action(Tables(spark, d).user_log(), DAY))
+    lambda spark, d: pop.dedup_user_item_action(Tables(spark, d).user_log(ITEM_COLS), DAY))
 register("dedup_user_item_seller_action",
          BASE + f"SELECT DISTINCT user_id, item_id, seller_id, action_type FROM user_log "
                 f"WHERE time_stamp = {DAY} AND action_type <> 0")(
-    lambda spark, d: pop.dedup_user_item_seller_action(Tables(spark, d).user_log(), DAY))
+    lambda spark, d: pop.dedup_user_item_seller_action(
+        Tables(spark, d).user_log(MERCHANT_COLS), DAY))
 
 # ---------------------------------------------------------------- A1 popularity
 _ITEM_COUNTS = (f"SELECT item_id, count(*) AS number FROM ("
@@ -90,21 +96,21 @@ _ITEM_COUNTS = (f"SELECT item_id, count(*) AS number FROM ("
                 f"WHERE time_stamp = {DAY} AND action_type <> 0) GROUP BY item_id")
 register("top_items",
          BASE + _ITEM_COUNTS + f" ORDER BY number DESC, item_id LIMIT {TOP_K}")(
-    lambda spark, d: pop.top_items(Tables(spark, d).user_log(), DAY))
+    lambda spark, d: pop.top_items(Tables(spark, d).user_log(ITEM_COLS), DAY))
 _RANKED_ITEMS = (f"ranked AS (SELECT row_number() OVER (ORDER BY number DESC, item_id) AS rank, "
                  f"item_id, number FROM ({_ITEM_COUNTS}) ORDER BY number DESC, item_id "
                  f"LIMIT {TOP_K})")
 register("top_items_ranked",
          sql.with_ctes(*sql.BASE, _RANKED_ITEMS) + "SELECT * FROM ranked")(
-    lambda spark, d: pop.top_items(Tables(spark, d).user_log(), DAY, with_rank=True))
+    lambda spark, d: pop.top_items(Tables(spark, d).user_log(ITEM_COLS), DAY, with_rank=True))
 register("top_items_raw_counts",
          BASE + f"SELECT item_id, count(*) AS number FROM user_log "
                 f"WHERE time_stamp = {DAY} AND action_type <> 0 GROUP BY item_id")(
-    lambda spark, d: pop.item_counts(Tables(spark, d).user_log(), DAY, dedup=False))
+    lambda spark, d: pop.item_counts(Tables(spark, d).user_log(ITEM_COLS), DAY, dedup=False))
 
 
 def _ranked_lines(spark: SparkSession, d: str) -> DataFrame:
-    top = pop.top_items(Tables(spark, d).user_log(), DAY, with_rank=True)
+    top = pop.top_items(Tables(spark, d).user_log(ITEM_COLS), DAY, with_rank=True)
     return top.select(ranked_line("rank", "item_id", "number").alias("line"))
 
 
@@ -120,19 +126,19 @@ _MERCHANTS_SEMI = (f"SELECT seller_id AS merchant_id, count(*) AS number FROM ({
                    f"WHERE user_id IN (SELECT user_id FROM user_info WHERE age_range IN (1, 2, 3)) "
                    f"GROUP BY seller_id")
 register("merchants_young_semi", BASE + _MERCHANTS_SEMI)(
-    lambda spark, d: pop.merchant_counts(Tables(spark, d).user_log(), Tables(spark, d).user_info(),
+    lambda spark, d: pop.merchant_counts(Tables(spark, d).user_log(MERCHANT_COLS), Tables(spark, d).user_info(),
                                          DAY, join="semi"))
 register("merchants_young_inner",
          BASE + f"SELECT k.seller_id AS merchant_id, count(*) AS number FROM ({_YOUNG_DEDUP}) k "
                 f"JOIN user_info u ON k.user_id = u.user_id WHERE u.age_range IN (1, 2, 3) "
                 f"GROUP BY k.seller_id")(
-    lambda spark, d: pop.merchant_counts(Tables(spark, d).user_log(), Tables(spark, d).user_info(),
+    lambda spark, d: pop.merchant_counts(Tables(spark, d).user_log(MERCHANT_COLS), Tables(spark, d).user_info(),
                                          DAY, join="inner"))
 register("top_merchants_young",
          BASE + f"SELECT row_number() OVER (ORDER BY number DESC, merchant_id) AS rank, "
                 f"merchant_id, number FROM ({_MERCHANTS_SEMI}) "
                 f"ORDER BY number DESC, merchant_id LIMIT {TOP_K}")(
-    lambda spark, d: pop.top_merchants(Tables(spark, d).user_log(), Tables(spark, d).user_info(),
+    lambda spark, d: pop.top_merchants(Tables(spark, d).user_log(MERCHANT_COLS), Tables(spark, d).user_info(),
                                        DAY))
 
 # ---------------------------------------------------------------- A3 / A4 demographics

@@ -69,3 +69,21 @@ def test_promo_filter_reaches_orders_before_join(spark):
     lines = plan.splitlines()
     filt = [i for i, ln in enumerate(lines) if ln.startswith("Condition") and "month" in ln]
     assert filt, plan
+
+
+@pytest.mark.parametrize("name", ["top_items", "top_merchants_young", "merchants_young_semi",
+                                  "dedup_user_item_seller_action", "buyers", "gender_share"])
+def test_popularity_and_buyer_plans_skip_part_table(spark, name):
+    assert "part.parquet" not in formatted(queries()[name](spark, SF_SMALL))
+
+
+def test_merchant_dedup_reuses_semi_join_partitioning(spark):
+    # Broadcast off: the shape a cluster gets when user_info is large.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = formatted(queries()["merchants_young_semi"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Exchanges: lineitem + orders (log join), log + users (semi join),
+    # partial counts by seller.  No separate shuffle for the dedup.
+    assert plan.count("Arguments: hashpartitioning(") == 5, plan
