@@ -45,16 +45,28 @@ def tag_ranges(df: DataFrame, order_cols: Sequence[str], num_ranges: int | None
 
 
 def _fill_pass(df: DataFrame, order_cols: Sequence[str], fill_cols: Sequence[str],
-               direction: str) -> DataFrame:
+               direction: str, then_opposite: bool = False) -> DataFrame:
+    """One window pass in ``direction``.
+
+    ``then_opposite`` also applies the opposite pass, exactly, without a
+    second window: after a backward pass the only NULLs left are the rows
+    after the column's last non-NULL value, and a forward pass fills all
+    of them with that value (mirror for forward-then-backward).  That
+    value is the edge of the per-range summary, so it costs one more
+    column of the small summary table, not a second scan of the data.
+    """
     order_key = F.struct(*[F.col(c) for c in order_cols])
     forward = direction == "forward"
     if not forward and direction != "backward":
         raise ValueError("direction must be 'forward' or 'backward'")
-    edge = F.max_by if forward else F.min_by
+    edge, other_edge = (F.max_by, F.min_by) if forward else (F.min_by, F.max_by)
     # Last (first) non-NULL value of each range, by order: NULL rows have a
     # NULL ordering value and are skipped by max_by / min_by.
-    summary = df.groupBy(RANGE).agg(*[
-        edge(F.col(c), F.when(F.col(c).isNotNull(), order_key)).alias(c) for c in fill_cols])
+    aggs = [edge(F.col(c), F.when(F.col(c).isNotNull(), order_key)).alias(c) for c in fill_cols]
+    if then_opposite:
+        aggs += [other_edge(F.col(c), F.when(F.col(c).isNotNull(), order_key)).alias(f"_o_{c}")
+                 for c in fill_cols]
+    summary = df.groupBy(RANGE).agg(*aggs)
     # Both directions use a running frame (unbounded preceding .. current),
     # which Spark evaluates in one pass; a backward fill is a forward fill
     # over the reversed order.  (A current .. unbounded-following frame is
@@ -66,16 +78,26 @@ def _fill_pass(df: DataFrame, order_cols: Sequence[str], fill_cols: Sequence[str
     across = Window.orderBy(*range_order).rowsBetween(Window.unboundedPreceding, -1)
     within = (Window.partitionBy(RANGE).orderBy(*row_order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # One row per range: the unpartitioned window and the broadcast are
+    # One row per range: the unpartitioned windows and the broadcast are
     # bounded by the range count.
-    carry = summary.select(RANGE, *[
-        F.last(F.col(c), ignorenulls=True).over(across).alias(f"_carry_{c}") for c in fill_cols])
+    carry_cols = [F.last(F.col(c), ignorenulls=True).over(across).alias(f"_carry_{c}")
+                  for c in fill_cols]
+    if then_opposite:
+        # The opposite pass's value: the column's edge in the other direction,
+        # i.e. its last non-NULL value in the direction of this pass.
+        everything = Window.orderBy(*range_order).rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing)
+        carry_cols += [F.first(F.col(f"_o_{c}"), ignorenulls=True).over(everything)
+                       .alias(f"_back_{c}") for c in fill_cols]
+    carry = summary.select(RANGE, *carry_cols)
     joined = df.join(F.broadcast(carry), RANGE, "left")
     out = []
     for c in df.columns:
         if c in fill_cols:
-            out.append(F.coalesce(F.last(F.col(c), ignorenulls=True).over(within),
-                                  F.col(f"_carry_{c}")).alias(c))
+            parts = [F.last(F.col(c), ignorenulls=True).over(within), F.col(f"_carry_{c}")]
+            if then_opposite:
+                parts.append(F.col(f"_back_{c}"))
+            out.append(F.coalesce(*parts).alias(c))
         else:
             out.append(F.col(c))
     return joined.select(*out)
@@ -93,6 +115,12 @@ def ordered_fill(df: DataFrame, order_cols: Sequence[str], fill_cols: Sequence[s
     """
     tagged = tag_ranges(df, order_cols, num_ranges, checkpoint)
     out = tagged
-    for direction in directions:
-        out = _fill_pass(out, order_cols, list(fill_cols), direction)
+    steps = list(directions)
+    while steps:
+        direction = steps.pop(0)
+        opposite = "backward" if direction == "forward" else "forward"
+        fuse = bool(steps) and steps[0] == opposite
+        if fuse:
+            steps.pop(0)
+        out = _fill_pass(out, order_cols, list(fill_cols), direction, then_opposite=fuse)
     return out.drop(RANGE)

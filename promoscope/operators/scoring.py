@@ -8,6 +8,7 @@ class-1 probability is read with ``vector_to_array``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -81,7 +82,14 @@ def scoring_pipeline(max_iter: int = 10) -> Pipeline:
 
 
 def fit(train_filled: DataFrame, max_iter: int = 10) -> PipelineModel:
-    return scoring_pipeline(max_iter).fit(with_class_weights(train_filled))
+    """Fit the pipeline.  The weighted input is read by several passes
+    (scaler statistics, LR summary, LR iterations), so it is persisted for
+    the fit; a lost block is recomputed from the fill's checkpoint."""
+    weighted = with_class_weights(train_filled).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return scoring_pipeline(max_iter).fit(weighted)
+    finally:
+        weighted.unpersist()
 
 
 def transform(model: PipelineModel, pairs: DataFrame, scaler: str = "train") -> DataFrame:

@@ -338,8 +338,8 @@ def _model(spark: SparkSession, d: str):
 
 
 def _train_scored(spark: SparkSession, d: str) -> DataFrame:
-    train = scoring.with_class_weights(_train_filled(spark, d))
-    return scoring.transform(scoring.scoring_pipeline().fit(train), train)
+    filled = _train_filled(spark, d)
+    return scoring.transform(scoring.fit(filled), scoring.with_class_weights(filled))
 
 
 def _train_scores(spark: SparkSession, d: str) -> DataFrame:

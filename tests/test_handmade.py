@@ -130,7 +130,9 @@ def _brute_fill(pdf, cols, directions):
 
 
 @pytest.mark.parametrize("num_ranges", [1, 3, 7])
-@pytest.mark.parametrize("directions", [("forward",), ("backward", "forward"), ("backward",)])
+@pytest.mark.parametrize("directions", [("forward",), ("backward", "forward"), ("backward",),
+                                        ("forward", "backward"),
+                                        ("forward", "forward", "backward", "forward")])
 def test_ordered_fill_matches_single_window_brute_force(spark, num_ranges, directions):
     rnd = random.Random(7)
     rows = []
