@@ -16,8 +16,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from promoscope.operators.features import behaviour_features, feature_table
 from promoscope.operators.fill import ordered_fill
 from promoscope.schemas import FEATURES, PAIR_KEYS
+from promoscope.session import ensure_checkpoint_dir
 
 
 def fill_train(features: DataFrame) -> DataFrame:
@@ -129,3 +131,21 @@ def feature_columns(df: DataFrame, vector_col: str, names=FEATURES, digits: int
     """Vector column back to one named column per feature, rounded."""
     arr = vector_to_array(F.col(vector_col))
     return df.select(*PAIR_KEYS, *[F.round(arr[i], digits).alias(n) for i, n in enumerate(names)])
+
+
+def repeat_buyer_scores(log: DataFrame, users: DataFrame, train_pairs: DataFrame,
+                        test_pairs: DataFrame, scaler: str = "train",
+                        max_iter: int = 10) -> DataFrame:
+    """The whole A5 + A6 flow: features, fills, weighted fit, scores.
+
+    The per-pair log features are aggregated ONCE and checkpointed to the
+    shared checkpoint folder; the training and the scoring tables both
+    join that table, so the log (the largest input) is read once instead
+    of once per pair set, and a lost executor re-reads the checkpoint
+    rather than re-running the log aggregation.
+    """
+    ensure_checkpoint_dir(log.sparkSession)
+    feats = behaviour_features(log).checkpoint(eager=True)
+    train = fill_train(feature_table(train_pairs, users, feats))
+    test = fill_test(feature_table(test_pairs, users, feats))
+    return score(fit(train, max_iter), test, scaler)

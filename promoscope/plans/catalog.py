@@ -333,10 +333,6 @@ register("raw_user_lines",
 # ---------------------------------------------------------------- A6 model (rows-only checks)
 
 
-def _model(spark: SparkSession, d: str):
-    return scoring.fit(_train_filled(spark, d))
-
-
 def _train_scored(spark: SparkSession, d: str) -> DataFrame:
     filled = _train_filled(spark, d)
     return scoring.transform(scoring.fit(filled), scoring.with_class_weights(filled))
@@ -350,10 +346,16 @@ def _train_scores(spark: SparkSession, d: str) -> DataFrame:
 
 register("train_scores")(_train_scores)
 register("train_accuracy")(lambda spark, d: scoring.accuracy_table(_train_scored(spark, d)))
-register("test_scores")(
-    lambda spark, d: scoring.score(_model(spark, d), _test_filled(spark, d), "train"))
-register("test_scores_refit")(
-    lambda spark, d: scoring.score(_model(spark, d), _test_filled(spark, d), "refit"))
+def _test_scores(scaler: str) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        t = Tables(spark, d)
+        return scoring.repeat_buyer_scores(t.user_log(), t.user_info(), t.train_pairs(),
+                                           t.test_pairs(), scaler=scaler)
+    return run
+
+
+register("test_scores")(_test_scores("train"))
+register("test_scores_refit")(_test_scores("refit"))
 
 assert all(name in QUERIES for name in ORACLES)
 __all__ = ["QUERIES", "ORACLES", "FEATURES"]
