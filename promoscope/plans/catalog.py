@@ -97,7 +97,8 @@ _ITEM_COUNTS = (f"SELECT item_id, count(*) AS number FROM ("
 register("top_items",
          BASE + _ITEM_COUNTS + f" ORDER BY number DESC, item_id LIMIT {TOP_K}")(
     lambda spark, d: pop.top_items(Tables(spark, d).user_log(ITEM_COLS), DAY))
-_RANKED_ITEMS = (f"ranked AS (SELECT row_number() OVER (ORDER BY number DESC, item_id) AS rank, "
+_RANKED_ITEMS = (f"ranked AS (SELECT CAST(row_number() OVER (ORDER BY number DESC, item_id) "
+                 f"AS INTEGER) AS rank, "
                  f"item_id, number FROM ({_ITEM_COUNTS}) ORDER BY number DESC, item_id "
                  f"LIMIT {TOP_K})")
 register("top_items_ranked",
@@ -135,7 +136,8 @@ register("merchants_young_inner",
     lambda spark, d: pop.merchant_counts(Tables(spark, d).user_log(MERCHANT_COLS), Tables(spark, d).user_info(),
                                          DAY, join="inner"))
 register("top_merchants_young",
-         BASE + f"SELECT row_number() OVER (ORDER BY number DESC, merchant_id) AS rank, "
+         BASE + f"SELECT CAST(row_number() OVER (ORDER BY number DESC, merchant_id) AS INTEGER) "
+                f"AS rank, "
                 f"merchant_id, number FROM ({_MERCHANTS_SEMI}) "
                 f"ORDER BY number DESC, merchant_id LIMIT {TOP_K}")(
     lambda spark, d: pop.top_merchants(Tables(spark, d).user_log(MERCHANT_COLS), Tables(spark, d).user_info(),

@@ -30,3 +30,20 @@ def test_entry_smoke(spark):
     rows = entry(spark).collect()
     assert len(rows) == 100
     assert [r["rank"] for r in rows] == list(range(1, 101))
+
+
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "FLOAT": "float", "BOOLEAN": "boolean"}
+
+
+def test_column_types_match_oracle(spark):
+    from conftest import SF_SMALL
+    con = duck(SF_SMALL)
+    bad = {}
+    for name, text in oracle_sql().items():
+        spark_types = dict(queries()[name](spark, SF_SMALL).dtypes)
+        rel = con.sql(text)
+        duck_types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+        if spark_types != duck_types:
+            bad[name] = (spark_types, duck_types)
+    assert not bad, bad
