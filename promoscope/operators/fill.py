@@ -18,6 +18,12 @@ in two levels:
 
 Because the key is unique, range sampling balances the ranges even when
 one user owns a large share of the pairs.
+
+Cost: one range shuffle before the checkpoint and one hash shuffle on the
+range id after it (a checkpoint taken under AQE does not carry its
+partitioning, so the window re-groups the rows; the summary, carry and
+broadcast are bounded by the range count).  Opposite passes are fused,
+so a backward-then-forward fill is still one window pass.
 """
 
 from __future__ import annotations
