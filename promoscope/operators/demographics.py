@@ -18,10 +18,19 @@ from promoscope.operators.filters import promo_purchases, with_known_age, with_k
 from promoscope.schemas import FEMALE, MALE
 
 
-def buyers(log: DataFrame, users: DataFrame, day_from: int, day_to: int | None = None) -> DataFrame:
-    """User rows of everyone who bought in the window (JOIN-3)."""
+def buyers(log: DataFrame, users: DataFrame, day_from: int, day_to: int | None = None,
+           one_row_per_user: bool = False) -> DataFrame:
+    """User rows of everyone who bought in the window (JOIN-3).
+
+    A user listed twice in ``users`` keeps both rows (counted twice, the
+    DataFrame variant's rule).  ``one_row_per_user=True`` collapses them,
+    keeping one of the rows (DED-4, the RDD variant's rule); the semi
+    join leaves the rows hash-partitioned on user_id, so that dedup runs
+    without another shuffle.
+    """
     ids = promo_purchases(log, day_from, day_to).select("user_id").distinct()
-    return users.join(ids, "user_id", "left_semi")
+    rows = users.join(ids, "user_id", "left_semi")
+    return rows.dropDuplicates(["user_id"]) if one_row_per_user else rows
 
 
 def count_by(df: DataFrame, column: str) -> DataFrame:

@@ -165,6 +165,18 @@ def _share_sql(column: str, where: str) -> str:
 
 
 register("buyers", WITH_BUYERS + "SELECT * FROM buyers")(_buyers)
+
+
+def _buyers_one_per_user(spark: SparkSession, d: str) -> DataFrame:
+    t = Tables(spark, d)
+    return demo.buyers(t.user_log(("user_id", "time_stamp", "action_type")), t.user_info(), DAY,
+                       one_row_per_user=True)
+
+
+# user_id is unique in the user view, so any kept row is the only row.
+register("buyers_one_per_user",
+         WITH_BUYERS + "SELECT user_id, min(age_range) AS age_range, min(gender) AS gender "
+                       "FROM buyers GROUP BY user_id")(_buyers_one_per_user)
 register("buyers_by_gender",
          WITH_BUYERS + "SELECT gender, count(*) AS count FROM buyers WHERE gender IN (0, 1) "
                        "GROUP BY gender")(

@@ -84,6 +84,16 @@ def test_gender_ratio_and_no_female(spark):
     assert counts == {0: 1, 1: 2}
 
 
+def test_duplicate_user_rows_counted_twice_or_collapsed(spark):
+    users = users_df(spark, [(1, 3, 1), (1, 3, 1), (2, 4, 0)])
+    log = log_df(spark, [(1, 9, "c", 1, "b", DAY, 2), (2, 9, "c", 1, "b", DAY, 2)])
+    twice = {r.gender: r["count"] for r in demo.buyers_by_gender(demo.buyers(log, users, DAY)).collect()}
+    once = {r.gender: r["count"] for r in demo.buyers_by_gender(
+        demo.buyers(log, users, DAY, one_row_per_user=True)).collect()}
+    assert twice == {1: 2, 0: 1}
+    assert once == {1: 1, 0: 1}
+
+
 def test_buyer_counted_once_however_often_they_buy(spark):
     users = users_df(spark, [(1, 3, 1)])
     log = log_df(spark, [(1, i, "c", 1, "b", DAY, 2) for i in range(5)])
