@@ -36,8 +36,9 @@ def fill_test(features: DataFrame) -> DataFrame:
 
 def class_balance(train: DataFrame) -> DataFrame:
     """ML-4: one row (total, ones, zeros, percent_ones, balancing_ratio)."""
+    # The label predicate is SQL text, as callers may pass it (FLT-8).
     counts = train.agg(F.count(F.lit(1)).alias("total"),
-                       F.count_if(F.col("label") == 1).alias("ones"))
+                       F.count_if(F.expr("label = 1")).alias("ones"))
     zeros = F.col("total") - F.col("ones")
     return counts.select(
         "total", "ones", zeros.alias("zeros"),
@@ -68,6 +69,15 @@ def with_class_weights(train: DataFrame) -> DataFrame:
     return joined.drop("_w_label")
 
 
+def skipped_rows(filled: DataFrame) -> DataFrame:
+    """One row (skipped): filled rows the assembler drops for a NULL
+    feature (leading NULLs a forward fill cannot reach)."""
+    any_null = F.lit(False)
+    for c in FEATURES:
+        any_null = any_null | F.col(c).isNull()
+    return filled.agg(F.count_if(any_null).alias("skipped"))
+
+
 def scoring_pipeline(max_iter: int = 10) -> Pipeline:
     """ML-1, ML-2, ML-6: assemble, scale by std (no centring), weighted LR.
 

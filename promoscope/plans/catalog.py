@@ -265,6 +265,12 @@ register("test_filled",
          sql.with_ctes(*sql.BASE, sql.PAIRS, sql.FEATS, sql.TEST_FEATURES, sql.TEST_FILLED)
          + "SELECT * FROM test_filled")(_test_filled)
 
+register("train_skipped_rows",
+         WITH_TRAIN_FILLED + "SELECT count(*) FILTER (WHERE "
+         + " OR ".join(f"{c} IS NULL" for c in sql.FEATURE_NAMES)
+         + ") AS skipped FROM train_filled")(
+    lambda spark, d: scoring.skipped_rows(_train_filled(spark, d)))
+
 # ---------------------------------------------------------------- A6 class balance, vectors
 register("class_balance",
          WITH_PAIRS + "SELECT total, ones, total - ones AS zeros, "
