@@ -35,6 +35,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         # the join (semi joins feeding a dedup on a superset of the keys).
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Remove checkpoint files once their DataFrames are garbage.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("PROMOSCOPE_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
