@@ -70,9 +70,10 @@ def repeat_buyer_job(spark: SparkSession, log_path: str, users_path: str, train_
     `user_id,merchant_id,prob` table for the pairs to score."""
     log = _read(spark, "user_log", log_path, fmt)
     users = _read(spark, "user_info", users_path, fmt)
-    train = _read(spark, "train", train_path, fmt)
-    test = _read(spark, "test", test_path, fmt)
+    # Missing features are filled in the pair files' row order.
+    train = files.read_table(spark, "train", train_path, fmt=fmt, row_order=True)
+    test = files.read_table(spark, "test", test_path, fmt=fmt, row_order=True)
     scores = scoring.repeat_buyer_scores(log, users, train, test, scaler=scaler,
-                                         max_iter=max_iter)
+                                         max_iter=max_iter, order_cols=(files.ROW_ORDER,))
     sinks.write_scores(scores, out_path)
     return scores

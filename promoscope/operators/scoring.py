@@ -22,15 +22,15 @@ from promoscope.schemas import FEATURES, PAIR_KEYS
 from promoscope.session import ensure_checkpoint_dir
 
 
-def fill_train(features: DataFrame) -> DataFrame:
+def fill_train(features: DataFrame, order_cols=PAIR_KEYS) -> DataFrame:
     """Training features: forward fill only, leading NULLs stay NULL."""
-    return ordered_fill(features, PAIR_KEYS, FEATURES, ("forward",))
+    return ordered_fill(features, order_cols, FEATURES, ("forward",))
 
 
-def fill_test(features: DataFrame) -> DataFrame:
+def fill_test(features: DataFrame, order_cols=PAIR_KEYS) -> DataFrame:
     """Pairs to score: backward, then forward fill; a column that is NULL
     everywhere becomes 0 so that no pair is ever dropped."""
-    filled = ordered_fill(features, PAIR_KEYS, FEATURES, ("backward", "forward"))
+    filled = ordered_fill(features, order_cols, FEATURES, ("backward", "forward"))
     return filled.fillna(0, subset=list(FEATURES))
 
 
@@ -145,17 +145,19 @@ def feature_columns(df: DataFrame, vector_col: str, names=FEATURES, digits: int
 
 def repeat_buyer_scores(log: DataFrame, users: DataFrame, train_pairs: DataFrame,
                         test_pairs: DataFrame, scaler: str = "train",
-                        max_iter: int = 10) -> DataFrame:
+                        max_iter: int = 10, order_cols=PAIR_KEYS) -> DataFrame:
     """The whole A5 + A6 flow: features, fills, weighted fit, scores.
 
     The per-pair log features are aggregated ONCE and checkpointed to the
     shared checkpoint folder; the training and the scoring tables both
     join that table, so the log (the largest input) is read once instead
     of once per pair set, and a lost executor re-reads the checkpoint
-    rather than re-running the log aggregation.
+    rather than re-running the log aggregation.  ``order_cols`` is the
+    fill order: the pair key by default, or a file-order column such as
+    ``row_ord`` from ``files.read_table(..., row_order=True)``.
     """
     ensure_checkpoint_dir(log.sparkSession)
     feats = behaviour_features(log).checkpoint(eager=True)
-    train = fill_train(feature_table(train_pairs, users, feats))
-    test = fill_test(feature_table(test_pairs, users, feats))
+    train = fill_train(feature_table(train_pairs, users, feats), order_cols)
+    test = fill_test(feature_table(test_pairs, users, feats), order_cols)
     return score(fit(train, max_iter), test, scaler)

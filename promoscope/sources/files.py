@@ -22,9 +22,23 @@ SCHEMAS = {
 }
 
 
+ROW_ORDER = "row_ord"
+
+
 def read_table(spark: SparkSession, kind: str, path: str, fmt: str = "csv",
-               header: bool = True) -> DataFrame:
-    """Read one of the four inputs from CSV (with header) or parquet."""
+               header: bool = True, row_order: bool = False) -> DataFrame:
+    """Read one of the four inputs from CSV (with header) or parquet.
+
+    ``row_order=True`` adds ``row_ord``, increasing in file order (for one
+    input file: splits are read in offset order and the id grows with the
+    split index and the row within it).  Ordered fills use it to follow
+    the file's row order.
+    """
+    df = _read_table(spark, kind, path, fmt, header)
+    return df.withColumn(ROW_ORDER, F.monotonically_increasing_id()) if row_order else df
+
+
+def _read_table(spark: SparkSession, kind: str, path: str, fmt: str, header: bool) -> DataFrame:
     schema = SCHEMAS[kind]
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(path)

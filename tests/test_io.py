@@ -90,3 +90,17 @@ def test_train_scores_vectors_as_json(spark, tmp_out):
     row = back.collect()[0]
     assert row.features == "[2.0,3.0]"
     assert back.select(F.from_json("features", "array<double>").alias("f")).first().f == [2.0, 3.0]
+
+
+def test_fill_follows_file_row_order(spark, tmp_out):
+    from promoscope.operators.fill import ordered_fill
+    p = os.path.join(tmp_out, "train.csv")
+    rows = [(9, 1, 0), (2, 1, 1), (7, 1, 0), (1, 1, 0), (5, 1, 1)]
+    _write(p, "user_id,merchant_id,label\n" + "".join(f"{u},{m},{lab}\n" for u, m, lab in rows))
+    df = files.read_table(spark, "train", p, row_order=True)
+    # A value to fill: only the 1st and 4th file rows carry one.
+    df = df.withColumn("v", F.when(F.col("user_id").isin(9, 1), F.col("user_id")))
+    got = ordered_fill(df, ["row_ord"], ["v"], ("forward",), num_ranges=2)
+    by_user = {r.user_id: r.v for r in got.collect()}
+    # File order 9, 2, 7, 1, 5 -> v 9, 9, 9, 1, 1 (key order would give 1, 1, 1, 1, 9).
+    assert by_user == {9: 9, 2: 9, 7: 9, 1: 1, 5: 1}
