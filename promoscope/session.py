@@ -52,7 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     master (tests, bench) may fall back to a fresh folder under the
     system temp dir.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
