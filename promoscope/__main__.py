@@ -36,8 +36,9 @@ def main(argv=None) -> int:
     p.add_argument("--strict", action="store_true", help="age: drop the unknown code 0")
     p.add_argument("--refit", action="store_true", help="refit the scaler on the scored pairs")
     p.add_argument("--parquet", action="store_true")
+    p.add_argument("--no-header", action="store_true", help="CSV inputs without a header line")
     a = p.parse_args(argv)
-    fmt = "parquet" if a.parquet else "csv"
+    fmt = "parquet" if a.parquet else ("csv_noheader" if a.no_header else "csv")
     out_format = "text" if a.text else "csv"
     spark = build_session()
     if a.job == "top-items":

@@ -17,8 +17,11 @@ from promoscope.schemas import PROMO_DAY, TOP_K
 from promoscope.sources import files, sinks
 
 
-def _read(spark: SparkSession, kind: str, path: str, fmt: str) -> DataFrame:
-    return files.read_table(spark, kind, path, fmt=fmt)
+def _read(spark: SparkSession, kind: str, path: str, fmt: str, **kw) -> DataFrame:
+    """``fmt``: "csv" (with header), "csv_noheader" or "parquet"."""
+    if fmt == "csv_noheader":
+        return files.read_table(spark, kind, path, fmt="csv", header=False, **kw)
+    return files.read_table(spark, kind, path, fmt=fmt, **kw)
 
 
 def top_items_job(spark: SparkSession, log_path: str, out_path: str, day_from: int = PROMO_DAY,
@@ -71,8 +74,8 @@ def repeat_buyer_job(spark: SparkSession, log_path: str, users_path: str, train_
     log = _read(spark, "user_log", log_path, fmt)
     users = _read(spark, "user_info", users_path, fmt)
     # Missing features are filled in the pair files' row order.
-    train = files.read_table(spark, "train", train_path, fmt=fmt, row_order=True)
-    test = files.read_table(spark, "test", test_path, fmt=fmt, row_order=True)
+    train = _read(spark, "train", train_path, fmt, row_order=True)
+    test = _read(spark, "test", test_path, fmt, row_order=True)
     scores = scoring.repeat_buyer_scores(log, users, train, test, scaler=scaler,
                                          max_iter=max_iter, order_cols=(files.ROW_ORDER,))
     sinks.write_scores(scores, out_path)

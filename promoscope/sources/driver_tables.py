@@ -92,6 +92,13 @@ class Tables:
     def train_pairs(self) -> DataFrame:
         return self.labelled_pairs().filter(F.col("user_id") % 2 == 0)
 
+    def register_views(self) -> None:
+        """Temp views user_log, user_info, train, test for ``spark.sql``."""
+        self.user_log().createOrReplaceTempView("user_log")
+        self.user_info().createOrReplaceTempView("user_info")
+        self.train_pairs().createOrReplaceTempView("train")
+        self.test_pairs().createOrReplaceTempView("test")
+
     def test_pairs(self) -> DataFrame:
         return (self.labelled_pairs().filter(F.col("user_id") % 2 == 1)
                 .select("user_id", "merchant_id", F.lit(None).cast("double").alias("prob")))

@@ -70,3 +70,26 @@ def test_repeat_buyer_job_scores_every_pair(spark, inputs):
     back = spark.read.option("header", True).csv(out)
     assert back.columns == ["user_id", "merchant_id", "prob"]
     assert back.count() == Tables(spark, SF_SMALL).test_pairs().count()
+
+
+def test_sql_over_registered_views(spark):
+    Tables(spark, SF_SMALL).register_views()
+    got = spark.sql("""
+        SELECT item_id, count(*) AS number
+        FROM (SELECT DISTINCT user_id, item_id, action_type FROM user_log
+              WHERE time_stamp BETWEEN 1101 AND 1130 AND action_type <> 0)
+        GROUP BY item_id ORDER BY number DESC, item_id LIMIT 100""").collect()
+    from promoscope.operators.popularity import top_items
+    want = top_items(Tables(spark, SF_SMALL).user_log(), *NOV).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+    assert spark.sql("SELECT count(*) FROM train WHERE label = 1").first()[0] == \
+        Tables(spark, SF_SMALL).train_pairs().where("label = 1").count()
+
+
+def test_job_reads_headerless_csv(spark, inputs, tmp_path):
+    noheader = str(tmp_path / "log_noheader")
+    Tables(spark, SF_SMALL).user_log().write.csv(noheader)
+    out = str(tmp_path / "top")
+    a = jobs.top_items_job(spark, noheader, out, *NOV, fmt="csv_noheader").collect()
+    b = jobs.top_items_job(spark, inputs["user_log"], str(tmp_path / "top2"), *NOV).collect()
+    assert a == b
