@@ -77,6 +77,6 @@ def repeat_buyer_job(spark: SparkSession, log_path: str, users_path: str, train_
     train = _read(spark, "train", train_path, fmt, row_order=True)
     test = _read(spark, "test", test_path, fmt, row_order=True)
     scores = scoring.repeat_buyer_scores(log, users, train, test, scaler=scaler,
-                                         max_iter=max_iter, order_cols=(files.ROW_ORDER,))
+                                         max_iter=max_iter, order_cols=files.FILE_ORDER)
     sinks.write_scores(scores, out_path)
     return scores

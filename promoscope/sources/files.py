@@ -22,20 +22,26 @@ SCHEMAS = {
 }
 
 
-ROW_ORDER = "row_ord"
+ROW_FILE, ROW_ORDER = "row_file", "row_ord"
+FILE_ORDER = (ROW_FILE, ROW_ORDER)
 
 
 def read_table(spark: SparkSession, kind: str, path: str, fmt: str = "csv",
                header: bool = True, row_order: bool = False) -> DataFrame:
     """Read one of the four inputs from CSV (with header) or parquet.
 
-    ``row_order=True`` adds ``row_ord``, increasing in file order (for one
-    input file: splits are read in offset order and the id grows with the
-    split index and the row within it).  Ordered fills use it to follow
-    the file's row order.
+    ``row_order=True`` adds ``row_file`` (the source file) and ``row_ord``
+    (increasing with the position in that file: a file's splits are read
+    in offset order, and the id grows with the split index and the row
+    within it).  Ordering by ``FILE_ORDER`` follows the files' row order,
+    files taken by name (part-00000, part-00001, ...).  Ordered fills use
+    it to fill in file order.
     """
     df = _read_table(spark, kind, path, fmt, header)
-    return df.withColumn(ROW_ORDER, F.monotonically_increasing_id()) if row_order else df
+    if not row_order:
+        return df
+    return (df.withColumn(ROW_FILE, F.col("_metadata.file_path"))
+            .withColumn(ROW_ORDER, F.monotonically_increasing_id()))
 
 
 def _read_table(spark: SparkSession, kind: str, path: str, fmt: str, header: bool) -> DataFrame:

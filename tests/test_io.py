@@ -100,7 +100,23 @@ def test_fill_follows_file_row_order(spark, tmp_out):
     df = files.read_table(spark, "train", p, row_order=True)
     # A value to fill: only the 1st and 4th file rows carry one.
     df = df.withColumn("v", F.when(F.col("user_id").isin(9, 1), F.col("user_id")))
-    got = ordered_fill(df, ["row_ord"], ["v"], ("forward",), num_ranges=2)
+    got = ordered_fill(df, list(files.FILE_ORDER), ["v"], ("forward",), num_ranges=2)
     by_user = {r.user_id: r.v for r in got.collect()}
     # File order 9, 2, 7, 1, 5 -> v 9, 9, 9, 1, 1 (key order would give 1, 1, 1, 1, 9).
     assert by_user == {9: 9, 2: 9, 7: 9, 1: 1, 5: 1}
+
+
+def test_fill_follows_row_order_across_files(spark, tmp_out):
+    from promoscope.operators.fill import ordered_fill
+    d = os.path.join(tmp_out, "pairs")
+    os.makedirs(d)
+    # Two part files; the larger one is named second (Spark reads larger
+    # splits first, so the id alone would not give file-name order).
+    _write(os.path.join(d, "part-00000.csv"), "user_id,merchant_id,label\n8,1,0\n")
+    _write(os.path.join(d, "part-00001.csv"),
+           "user_id,merchant_id,label\n" + "".join(f"{u},1,0\n" for u in (3, 6, 1, 4, 2, 7, 5)))
+    df = files.read_table(spark, "train", d, row_order=True)
+    df = df.withColumn("v", F.when(F.col("user_id").isin(8, 1), F.col("user_id")))
+    got = ordered_fill(df, list(files.FILE_ORDER), ["v"], ("forward",), num_ranges=3)
+    by_user = {r.user_id: r.v for r in got.collect()}
+    assert by_user == {8: 8, 3: 8, 6: 8, 1: 1, 4: 1, 2: 1, 7: 1, 5: 1}
