@@ -148,16 +148,23 @@ def repeat_buyer_scores(log: DataFrame, users: DataFrame, train_pairs: DataFrame
                         max_iter: int = 10, order_cols=PAIR_KEYS) -> DataFrame:
     """The whole A5 + A6 flow: features, fills, weighted fit, scores.
 
-    The per-pair log features are aggregated ONCE and checkpointed to the
-    shared checkpoint folder; the training and the scoring tables both
-    join that table, so the log (the largest input) is read once instead
-    of once per pair set, and a lost executor re-reads the checkpoint
-    rather than re-running the log aggregation.  ``order_cols`` is the
-    fill order: the pair key by default, or a file-order column such as
-    ``row_ord`` from ``files.read_table(..., row_order=True)``.
+    The log (the largest input) is aggregated once.  Both pair sets are
+    tagged and joined with that table, and with the users, in ONE pass:
+    the per-pair feature table (nearly as large as the log) is shuffled
+    once instead of once per pair set.  The joined, pair-sized table is
+    checkpointed to the shared checkpoint folder and split for the two
+    fills, so a lost executor re-reads it instead of re-running the log
+    aggregation.  ``order_cols`` is the fill order: the pair key by
+    default, or ``files.FILE_ORDER`` from ``read_table(..., row_order=True)``.
     """
     ensure_checkpoint_dir(log.sparkSession)
-    feats = behaviour_features(log).checkpoint(eager=True)
-    train = fill_train(feature_table(train_pairs, users, feats), order_cols)
-    test = fill_test(feature_table(test_pairs, users, feats), order_cols)
-    return score(fit(train, max_iter), test, scaler)
+    both = (train_pairs.withColumn(_SET, F.lit(0))
+            .unionByName(test_pairs.withColumn(_SET, F.lit(1)), allowMissingColumns=True))
+    table = feature_table(both, users, behaviour_features(log)).checkpoint(eager=True)
+    train = table.filter(F.col(_SET) == 0).drop(_SET, "prob")
+    test = table.filter(F.col(_SET) == 1).drop(_SET, "label")
+    return score(fit(fill_train(train, order_cols), max_iter),
+                 fill_test(test, order_cols), scaler)
+
+
+_SET = "_pair_set"
