@@ -25,7 +25,7 @@ def _pair_group():
     """Group key of every feature: (user_id, seller_id as merchant_id)."""
     return (F.col("user_id"), F.col("seller_id").alias("merchant_id"))
 
-# Feature name -> action code it counts (FEAT-6).
+# Feature name -> action code it counts (FEAT-6).
 ACTION_FEATURES = (
     ("one_clicks", CLICK),
     ("shopping_carts", CART),

@@ -48,7 +48,8 @@ TEST_PAIRS = T.StructType([
     T.StructField("prob", T.DoubleType()),
 ])
 
-# Model inputs, in the order the feature table lays them out.
+# The ten model inputs, named and ordered as the source's
+# feature table lays them out (the assembled vector follows this order).
 FEATURES = (
     "age_range", "gender",
     "total_logs", "unique_item_ids", "categories", "browse_days",
