@@ -28,10 +28,11 @@ user_info AS (
 PAIRS = """
 pairs AS (
   SELECT user_id, seller_id AS merchant_id,
-         CAST(CASE WHEN count(DISTINCT time_stamp) >= 2 THEN 1 ELSE 0 END AS INTEGER) AS label
+         CAST(CASE WHEN count(DISTINCT time_stamp) >= 2 THEN 1 ELSE 0 END AS INTEGER) AS label,
+         min(time_stamp) AS first_day
   FROM user_log WHERE action_type = 2 GROUP BY user_id, seller_id),
-train AS (SELECT user_id, merchant_id, label FROM pairs WHERE user_id % 2 = 0),
-test AS (SELECT user_id, merchant_id, CAST(NULL AS DOUBLE) AS prob FROM pairs WHERE user_id % 2 = 1)"""
+train AS (SELECT user_id, merchant_id, label FROM pairs WHERE first_day < 701),
+test AS (SELECT user_id, merchant_id, CAST(NULL AS DOUBLE) AS prob FROM pairs WHERE first_day >= 701)"""
 
 FEATS = """
 feats AS (

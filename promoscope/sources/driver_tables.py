@@ -11,8 +11,9 @@ to score); FIXTURES.md holds the same text as SQL for the DuckDB oracle.
     user_info  one row per customer; codes from the key, with NULLs
     pairs      (user, merchant) pairs with at least one purchase in the
                log; label 1 when the purchases fall on two or more days
-               (a repeat buyer).  Train holds even users, test odd users,
-               so the two sets split all pairs and never share a user.
+               (a repeat buyer).  Train holds the pairs whose first purchase
+               falls before 1 July, test the rest: a time split that keeps
+               every pair exactly once.
 
 Every view is lazy and column-pruned: the part table is joined only
 when a category or brand column is asked for (p_partkey is unique, so a
@@ -28,6 +29,10 @@ from pyspark.sql import functions as F
 
 from promoscope.schemas import LOG_COLUMNS, PURCHASE
 
+# Train/test split of the pairs: first purchase before 1 July (mmdd 701)
+# trains, the rest is scored; the two sets hold every pair exactly once.
+SPLIT_DAY = 701
+
 
 class Tables:
     """Parquet tables of one scale-factor folder, plus the adapter views."""
@@ -77,20 +82,28 @@ class Tables:
             gender.cast("int").alias("gender"))
 
     # -- pairs ----------------------------------------------------------------
-    def labelled_pairs(self) -> DataFrame:
-        """All purchase pairs with their repeat-buyer label (one aggregation)."""
+    def _pair_days(self) -> DataFrame:
+        """(user, merchant, first and last purchase day) of every purchase pair."""
         log = self.user_log(("user_id", "seller_id", "time_stamp", "action_type"))
         bought = log.filter(F.col("action_type") == PURCHASE)
-        # "Two or more distinct purchase days" is min(day) <> max(day): plain
-        # aggregates, no distinct-count rewrite and its extra shuffle.
-        days = bought.groupBy("user_id", F.col("seller_id").alias("merchant_id")).agg(
+        return bought.groupBy("user_id", F.col("seller_id").alias("merchant_id")).agg(
             F.min("time_stamp").alias("_first"), F.max("time_stamp").alias("_last"))
-        return days.select(
+
+    def labelled_pairs(self) -> DataFrame:
+        """All purchase pairs with their repeat-buyer label (one aggregation).
+
+        "Two or more distinct purchase days" is min(day) <> max(day): plain
+        aggregates, no distinct-count rewrite and its extra shuffle.
+        """
+        return self._pair_days().select(
             "user_id", "merchant_id",
-            F.when(F.col("_first") != F.col("_last"), 1).otherwise(0).cast("int").alias("label"))
+            F.when(F.col("_first") != F.col("_last"), 1).otherwise(0).cast("int").alias("label"),
+            "_first")
 
     def train_pairs(self) -> DataFrame:
-        return self.labelled_pairs().filter(F.col("user_id") % 2 == 0)
+        """Pairs whose first purchase falls before the split day."""
+        return (self.labelled_pairs().filter(F.col("_first") < SPLIT_DAY)
+                .select("user_id", "merchant_id", "label"))
 
     def register_views(self) -> None:
         """Temp views user_log, user_info, train, test for ``spark.sql``."""
@@ -100,5 +113,6 @@ class Tables:
         self.test_pairs().createOrReplaceTempView("test")
 
     def test_pairs(self) -> DataFrame:
-        return (self.labelled_pairs().filter(F.col("user_id") % 2 == 1)
+        """Pairs whose first purchase falls on or after the split day."""
+        return (self.labelled_pairs().filter(F.col("_first") >= SPLIT_DAY)
                 .select("user_id", "merchant_id", F.lit(None).cast("double").alias("prob")))
