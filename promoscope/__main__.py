@@ -4,7 +4,7 @@
     top-merchants  --log L --users U --out O [--day 1111] [--k 100] [--text]
     gender         --log L --users U [--day 1111]
     age            --log L --users U [--day 1111] [--strict]
-    repeat-buyers  --log L --users U --train T --test S --out O [--refit]
+    repeat-buyers  --log L --users U --train T --test S --out O [--refit] [--train-out P]
 
 Inputs are CSV with a header unless ``--parquet``.  On a cluster, run
 through spark-submit; ``spark.checkpoint.dir`` must name shared storage
@@ -29,6 +29,7 @@ def main(argv=None) -> int:
     p.add_argument("--train")
     p.add_argument("--test")
     p.add_argument("--out")
+    p.add_argument("--train-out", help="repeat-buyers: also write the scored training rows")
     p.add_argument("--day", type=int, default=PROMO_DAY)
     p.add_argument("--day-to", type=int)
     p.add_argument("--k", type=int, default=TOP_K)
@@ -54,7 +55,8 @@ def main(argv=None) -> int:
                            "drop" if a.strict else "keep_zero", fmt).show()
     else:
         jobs.repeat_buyer_job(spark, a.log, a.users, a.train, a.test, a.out,
-                              "refit" if a.refit else "train", fmt=fmt)
+                              "refit" if a.refit else "train", fmt=fmt,
+                              train_out_path=a.train_out)
     spark.stop()
     return 0
 

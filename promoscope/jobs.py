@@ -68,15 +68,21 @@ def buyer_age_job(spark: SparkSession, log_path: str, users_path: str,
 
 def repeat_buyer_job(spark: SparkSession, log_path: str, users_path: str, train_path: str,
                      test_path: str, out_path: str, scaler: str = "train",
-                     max_iter: int = 10, fmt: str = "csv") -> DataFrame:
+                     max_iter: int = 10, fmt: str = "csv",
+                     train_out_path: str | None = None) -> DataFrame:
     """A5 + A6: features, fills, weighted logistic regression, and the
-    `user_id,merchant_id,prob` table for the pairs to score."""
+    `user_id,merchant_id,prob` table for the pairs to score.  With
+    ``train_out_path`` the scored training rows are written too (SNK-3,
+    vector columns as JSON arrays)."""
     log = _read(spark, "user_log", log_path, fmt)
     users = _read(spark, "user_info", users_path, fmt)
     # Missing features are filled in the pair files' row order.
     train = _read(spark, "train", train_path, fmt, row_order=True)
     test = _read(spark, "test", test_path, fmt, row_order=True)
-    scores = scoring.repeat_buyer_scores(log, users, train, test, scaler=scaler,
-                                         max_iter=max_iter, order_cols=files.FILE_ORDER)
-    sinks.write_scores(scores, out_path)
-    return scores
+    flow = scoring.repeat_buyer_flow(log, users, train, test, scaler=scaler,
+                                     max_iter=max_iter, order_cols=files.FILE_ORDER)
+    sinks.write_scores(flow.scores, out_path)
+    if train_out_path:
+        scored = scoring.transform(flow.model, scoring.with_class_weights(flow.train))
+        sinks.write_train_scores(scored.drop(*files.FILE_ORDER), train_out_path)
+    return flow.scores

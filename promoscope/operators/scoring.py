@@ -8,6 +8,8 @@ class-1 probability is read with ``vector_to_array``.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -143,9 +145,17 @@ def feature_columns(df: DataFrame, vector_col: str, names=FEATURES, digits: int
     return df.select(*PAIR_KEYS, *[F.round(arr[i], digits).alias(n) for i, n in enumerate(names)])
 
 
-def repeat_buyer_scores(log: DataFrame, users: DataFrame, train_pairs: DataFrame,
-                        test_pairs: DataFrame, scaler: str = "train",
-                        max_iter: int = 10, order_cols=PAIR_KEYS) -> DataFrame:
+class Flow(NamedTuple):
+    """Results of the A5 + A6 flow: fitted model, filled tables, scores."""
+    model: PipelineModel
+    train: DataFrame
+    test: DataFrame
+    scores: DataFrame
+
+
+def repeat_buyer_flow(log: DataFrame, users: DataFrame, train_pairs: DataFrame,
+                      test_pairs: DataFrame, scaler: str = "train",
+                      max_iter: int = 10, order_cols=PAIR_KEYS) -> Flow:
     """The whole A5 + A6 flow: features, fills, weighted fit, scores.
 
     The log (the largest input) is aggregated once.  Both pair sets are
@@ -161,10 +171,18 @@ def repeat_buyer_scores(log: DataFrame, users: DataFrame, train_pairs: DataFrame
     both = (train_pairs.withColumn(_SET, F.lit(0))
             .unionByName(test_pairs.withColumn(_SET, F.lit(1)), allowMissingColumns=True))
     table = feature_table(both, users, behaviour_features(log)).checkpoint(eager=True)
-    train = table.filter(F.col(_SET) == 0).drop(_SET, "prob")
-    test = table.filter(F.col(_SET) == 1).drop(_SET, "label")
-    return score(fit(fill_train(train, order_cols), max_iter),
-                 fill_test(test, order_cols), scaler)
+    train = fill_train(table.filter(F.col(_SET) == 0).drop(_SET, "prob"), order_cols)
+    test = fill_test(table.filter(F.col(_SET) == 1).drop(_SET, "label"), order_cols)
+    model = fit(train, max_iter)
+    return Flow(model, train, test, score(model, test, scaler))
+
+
+def repeat_buyer_scores(log: DataFrame, users: DataFrame, train_pairs: DataFrame,
+                        test_pairs: DataFrame, scaler: str = "train",
+                        max_iter: int = 10, order_cols=PAIR_KEYS) -> DataFrame:
+    """(user_id, merchant_id, prob) for the pairs to score; see ``repeat_buyer_flow``."""
+    return repeat_buyer_flow(log, users, train_pairs, test_pairs, scaler, max_iter,
+                             order_cols).scores
 
 
 _SET = "_pair_set"

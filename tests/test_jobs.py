@@ -65,11 +65,16 @@ def test_gender_and_age_jobs(spark, inputs):
 
 def test_repeat_buyer_job_scores_every_pair(spark, inputs):
     out = os.path.join(inputs["root"], "scores")
+    train_out = os.path.join(inputs["root"], "train_scores")
     jobs.repeat_buyer_job(spark, inputs["user_log"], inputs["user_info"], inputs["train"],
-                          inputs["test"], out)
+                          inputs["test"], out, train_out_path=train_out)
     back = spark.read.option("header", True).csv(out)
     assert back.columns == ["user_id", "merchant_id", "prob"]
     assert back.count() == Tables(spark, SF_SMALL).test_pairs().count()
+    scored = spark.read.option("header", True).csv(train_out)
+    assert {"label", "classWeights", "features", "Scaled_features", "probability",
+            "prediction"} <= set(scored.columns)
+    assert scored.first().features.startswith("[")
 
 
 def test_sql_over_registered_views(spark):
