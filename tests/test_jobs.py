@@ -98,3 +98,18 @@ def test_job_reads_headerless_csv(spark, inputs, tmp_path):
     a = jobs.top_items_job(spark, noheader, out, *NOV, fmt="csv_noheader").collect()
     b = jobs.top_items_job(spark, inputs["user_log"], str(tmp_path / "top2"), *NOV).collect()
     assert a == b
+
+
+def test_command_line_top_items(spark, inputs, tmp_path):
+    import subprocess
+    import sys
+    out = str(tmp_path / "cli_top")
+    env = dict(os.environ, BENCH_CPUS="2", PROMOSCOPE_DRIVER_MEMORY="2g")
+    proc = subprocess.run(
+        [sys.executable, "-m", "promoscope", "top-items", "--log", inputs["user_log"],
+         "--out", out, "--day", "1101", "--day-to", "1130", "--text"],
+        cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+        env=env, capture_output=True, text=True, timeout=300)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    lines = _lines(out)
+    assert len(lines) == 100 and lines[0].startswith("1\t")
