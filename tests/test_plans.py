@@ -87,3 +87,18 @@ def test_merchant_dedup_reuses_semi_join_partitioning(spark):
     # Exchanges: lineitem + orders (log join), log + users (semi join),
     # partial counts by seller.  No separate shuffle for the dedup.
     assert plan.count("Arguments: hashpartitioning(") == 5, plan
+
+
+UNUSED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
+          "o_totalprice", "o_orderstatus", "o_orderpriority", "c_name", "c_acctbal")
+
+
+@pytest.mark.parametrize("name", sorted(set(queries()) - ROWS_ONLY_ML))
+def test_scans_read_only_used_columns(spark, name):
+    plan = formatted(queries()[name](spark, SF_SMALL))
+    # Queries that checkpoint (the fills) read their scan in the checkpoint
+    # job; their final plan starts from the checkpoint and has no ReadSchema.
+    schemas = [ln for ln in plan.splitlines() if ln.startswith("ReadSchema")]
+    for ln in schemas:
+        for col in UNUSED:
+            assert col not in ln, f"{name} reads {col}: {ln}"
