@@ -17,7 +17,11 @@ in two levels:
    value still NULL takes the carry.
 
 Because the key is unique, range sampling balances the ranges even when
-one user owns a large share of the pairs.
+one user owns a large share of the pairs.  The result does not depend on
+where the range boundaries fall; what matters is that the summary and
+the local window see the same range ids, which the checkpoint guarantees
+(with ``checkpoint=False`` it rests on Spark reusing the one range
+exchange within the query).
 
 Cost: one range shuffle before the checkpoint and one hash shuffle on the
 range id after it (a checkpoint taken under AQE does not carry its
