@@ -25,9 +25,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _norm(v):
     if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return round(v, 9)
+        # Exact: the driver hashes values, so floats must agree bit for bit.
+        return "nan" if math.isnan(v) else v
     if hasattr(v, "item"):
         return v.item()
     return v
