@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from promoscope.llm import containment, extendible, mix_threshold, rule_cascade
+from promoscope.llm import (
+    containment,
+    extendible,
+    mix_threshold,
+    repeat_intervals,
+    rule_cascade,
+)
 
 
 def _table(spark, sf_dir, name):
@@ -38,6 +44,10 @@ def op9_decontaminate(spark, sf_dir):
         "doc_id", "item_id", "n_shared", "n_item")
 
 
+def op10_repeat_intervals(spark, sf_dir):
+    return repeat_intervals.repeated_spans(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 _BLANK = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
@@ -116,7 +126,8 @@ HAVING 100 * count(*) >= {containment.THRESHOLD_PCT} * any_value(n_item)
 """
 
 QUERIES = {f.__name__: f for f in (
-    op2_shard_by_extendible_hash, op7_quality_cascade, op8_mix_sources, op9_decontaminate)}
+    op2_shard_by_extendible_hash, op7_quality_cascade, op8_mix_sources, op9_decontaminate,
+    op10_repeat_intervals)}
 
 ORACLES = {
     "op2_shard_by_extendible_hash": OP2_SQL,
