@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from promoscope.llm import (
     containment,
+    cuckoo_lines,
     extendible,
     mix_threshold,
     repeat_intervals,
     rule_cascade,
+    setsketch,
 )
 
 
@@ -21,6 +23,16 @@ def op2_shard_by_extendible_hash(spark, sf_dir):
     return extendible.shard(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op5_line_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return cuckoo_lines.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_near_dedup(spark, sf_dir):
+    return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op7_quality_cascade(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     m = rule_cascade.with_metrics(docs)
@@ -125,11 +137,49 @@ FROM ds JOIN it USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id
 HAVING 100 * count(*) >= {containment.THRESHOLD_PCT} * any_value(n_item)
 """
 
+OP5_SQL = rf"""
+WITH l AS (SELECT doc_id, i, ls[i] AS line FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+k AS (SELECT *, translate(trim(line, {_BLANK}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= {cuckoo_lines.MIN_CHARS}
+  GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+m AS (SELECT k.*, (r.key IS NOT NULL AND doc_id <> owner) AS gone FROM k LEFT JOIN r ON r.key = k.key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+OP6_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(
+    "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, g FROM (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 1 THEN w
+    ELSE list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]) END) AS g
+  FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT doc_id, list_sort(list(g)) AS gs FROM s GROUP BY doc_id),
+node AS (SELECT gs, min(doc_id) AS rep, len(gs) AS n FROM c GROUP BY gs),
+ns AS (SELECT rep, unnest(gs) AS g, n FROM node),
+p AS (SELECT a.rep AS a, b.rep AS b, count(*) AS k, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM ns a JOIN ns b ON a.g = b.g AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep),
+e AS (SELECT a, b FROM p WHERE 100 * k >= 80 * (na + nb - k)),
+sym AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach(x, y) AS (SELECT rep, rep FROM node UNION SELECT reach.x, sym.b FROM reach JOIN sym ON reach.y = sym.a),
+comp AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(node.n, 0)::BIGINT AS n_shingles,
+  coalesce(comp.component_id, d.doc_id) AS component_id,
+  coalesce(comp.component_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN node USING (gs) LEFT JOIN comp ON comp.x = node.rep
+"""
+
 QUERIES = {f.__name__: f for f in (
-    op2_shard_by_extendible_hash, op7_quality_cascade, op8_mix_sources, op9_decontaminate,
+    op2_shard_by_extendible_hash, op5_line_dedup, op6_near_dedup, op7_quality_cascade, op8_mix_sources, op9_decontaminate,
     op10_repeat_intervals)}
 
 ORACLES = {
+    "op6_near_dedup": OP6_SQL,
+    "op5_line_dedup": OP5_SQL,
     "op2_shard_by_extendible_hash": OP2_SQL,
     "op7_quality_cascade": OP7_SQL,
     "op8_mix_sources": OP8_SQL,

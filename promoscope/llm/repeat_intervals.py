@@ -23,7 +23,7 @@ each anchor sees; their union is the whole repeat.
 
 from __future__ import annotations
 
-from functools import lru_cache
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -31,38 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from promoscope.llm._bytes import CHUNK, PART, Rolling, U, binary, mix, parts
 from promoscope.llm._common import materialize, scratch_dir
 
 MIN_LEN = 200
 GRAM = 48
-#: Bytes hashed at once in a task; longer texts are cut with overlap.
-CHUNK = 1 << 20
 #: Distinct contexts of one gram that a task holds (352 bytes each).
 HOT_CONTEXTS = 50_000
 
-_R = 0x9E3779B97F4A7C15 | 1
-_U = np.uint64
-
-
-@lru_cache(maxsize=1)
-def _tables():
-    n = CHUNK + (1 << 16)  # and the overlap of a piece
-    byte = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
-    with np.errstate(over="ignore"):
-        power = np.full(n, _R, dtype=np.uint64)
-        power[0] = 1
-        inverse = np.full(n, pow(_R, -1, 2**64), dtype=np.uint64)
-        inverse[0] = 1
-        return byte, np.cumprod(power), np.cumprod(inverse)
-
-
-def _mix(x):
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-        return x ^ (x >> _U(31))
-
-
 def _slide(a, width, f):
     """f over every run of ``width`` neighbours, in log2(width) passes."""
     size = 1
@@ -73,20 +49,6 @@ def _slide(a, width, f):
     return f(a[:len(a) - rest], a[rest:]) if rest else a
 
 
-class _Rolling:
-    """Hashes of byte ranges of one buffer."""
-
-    def __init__(self, buf):
-        byte, power, self.inverse = _tables()
-        self.sums = np.zeros(len(buf) + 1, dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            np.cumsum(byte[buf] * power[:len(buf)], out=self.sums[1:])
-
-    def of(self, lo, hi):
-        with np.errstate(over="ignore"):
-            return (self.sums[hi] - self.sums[lo]) * self.inverse[lo]
-
-
 def _anchors(buf, starts, ends, min_len, gram):
     """Anchors of the texts at [starts, ends) of a buffer.
 
@@ -95,12 +57,12 @@ def _anchors(buf, starts, ends, min_len, gram):
     """
     none = np.zeros(0, dtype=np.int64)
     if len(buf) < min_len:
-        return none, none, none.astype(_U), none.astype(_U), none, none
-    roll = _Rolling(buf)
+        return none, none, none.astype(U), none.astype(U), none, none
+    roll = Rolling(buf)
     n, width = len(buf), min_len - gram + 1
     with np.errstate(over="ignore"):
-        grams = _mix((roll.sums[gram:] - roll.sums[:-gram]) * roll.inverse[:n - gram + 1])
-    order = (grams >> _U(32)).astype(np.uint32) | np.uint32(1)
+        grams = mix((roll.sums[gram:] - roll.sums[:-gram]) * roll.inverse[:n - gram + 1])
+    order = (grams >> U(32)).astype(np.uint32) | np.uint32(1)
     edge = np.zeros(n + 2, dtype=np.int32)  # windows wholly inside one text
     ok = ends - starts >= min_len
     np.add.at(edge, starts[ok], 1)
@@ -112,8 +74,8 @@ def _anchors(buf, starts, ends, min_len, gram):
     text = np.searchsorted(starts, pos, side="right") - 1
     lo = np.maximum(pos - (min_len - gram), starts[text])
     hi = np.minimum(pos + min_len, ends[text])
-    shape = _mix(((pos - lo) * 4096 + (hi - lo)).astype(_U))
-    return pos, text, grams[pos], _mix(roll.of(lo, hi) ^ shape), lo, hi
+    shape = mix(((pos - lo) * 4096 + (hi - lo)).astype(U))
+    return pos, text, grams[pos], mix(roll.of(lo, hi) ^ shape), lo, hi
 
 
 def _chunks(offsets, margin):
@@ -133,17 +95,6 @@ def _chunks(offsets, margin):
         i = j
 
 
-def _binary(column):
-    """Offsets and bytes of an Arrow binary column without nulls."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    column = column.cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[
-        column.offset:column.offset + len(column) + 1]
-    data = column.buffers()[2]
-    return offsets, np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, dtype=np.uint8)
-
-
 def _merge(rows, lo, hi):
     """Union of the intervals of each row."""
     o = np.lexsort((lo, rows))
@@ -162,8 +113,8 @@ def _anchor_batches(min_len, gram, combine=True):
     """Anchors of the texts; ``combine`` counts equal contexts of a batch
     as one row and merges what they cover (rows of count 0)."""
     def run(batches):
-        for b in batches:
-            offsets, data = _binary(b.column(2))
+        for b in parts(batches, 2):
+            offsets, data = binary(b.column(2))
             found = []
             for i, j, piece in _chunks(offsets, 2 * min_len):
                 if piece is None:
@@ -211,7 +162,7 @@ def _anchor_batches(min_len, gram, combine=True):
 
 def _cut_contexts(batches):
     """One row per wanted context of a text, with its bytes."""
-    for b in batches:
+    for b in parts(batches, 2):
         wants = b.column(3).to_pylist()
         texts = b.column(2).to_pylist()
         rows = [i for i, w in enumerate(wants) for _ in w]
@@ -230,10 +181,13 @@ def _cut_contexts(batches):
 
 def _side(data, at, step, length, width):
     """Matrix of ``width`` bytes from ``at`` on in direction ``step``."""
-    k = np.arange(width)
+    k, at = np.arange(width, dtype=np.int32), at.astype(np.int32)
     inside = k < length[:, None]
-    index = np.where(inside, at[:, None] + step * k, 0)
-    return np.where(inside, data[index] if len(data) else 0, 0).astype(np.uint8)
+    index = at[:, None] + step * k
+    index[~inside] = 0
+    out = data[index] if len(data) else np.zeros(index.shape, dtype=np.uint8)
+    out[~inside] = 0
+    return out
 
 
 def _common(matrix, length, a, b):
@@ -327,11 +281,11 @@ def _scan(gram, before, offsets, data, min_len):
     return out
 
 
-def _repeat_batches(min_len, task_bytes=8 << 20):
+def _repeat_batches(min_len):
     """Scans runs of whole gram groups; rows come sorted by gram."""
     def solve(t):
         gram = t.column(0).to_numpy()
-        offsets, data = _binary(t.column(7))
+        offsets, data = binary(t.column(7))
         found = _scan(gram, t.column(6).to_numpy().astype(np.int64), offsets, data, min_len)
         if not found:
             return None
@@ -350,7 +304,7 @@ def _repeat_batches(min_len, task_bytes=8 << 20):
         for b in batches:
             held.append(b)
             size += b.nbytes
-            if size < task_bytes:
+            if size < PART:
                 continue
             t = pa.Table.from_batches(held)
             g = t.column(0).to_numpy()
@@ -369,10 +323,10 @@ def _window_batches(min_len):
     """Every window of a context, by a 128-bit hash of its bytes."""
     def run(batches):
         for b in batches:
-            offsets, data = _binary(b.column(7))
+            offsets, data = binary(b.column(7))
             for i in range(0, len(offsets) - 1, 1000):
                 j = min(i + 1000, len(offsets) - 1)
-                roll = _Rolling(data[offsets[i]:offsets[j]])
+                roll = Rolling(data[offsets[i]:offsets[j]])
                 size = np.diff(offsets[i:j + 1])
                 count = np.maximum(size - min_len + 1, 0)
                 row = np.repeat(np.arange(j - i), count)
@@ -382,7 +336,7 @@ def _window_batches(min_len):
                 y = roll.of(lo, lo + min_len // 2)
                 take = pa.array(row + i)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(_mix(x).view(np.int64)), pa.array(_mix(y ^ _U(77)).view(np.int64)),
+                    pa.array(mix(x).view(np.int64)), pa.array(mix(y ^ U(77)).view(np.int64)),
                     b.column(2).take(take), b.column(3).take(take), b.column(4).take(take),
                     pa.array(b.column(5).to_numpy()[row + i] + k),
                 ], names=["w1", "w2", "n", "key", "th", "lo"])
@@ -497,10 +451,8 @@ def maximal_repeats(docs: DataFrame, min_len: int = MIN_LEN, text: str = "text",
 
 def _removed_batches(names):
     """Per text the merged ranges and the bytes that are left."""
-    import hashlib
-
     def run(batches):
-        for b in batches:
+        for b in parts(batches, 0):
             texts = b.column(0).to_pylist()
             spans = b.column(1).to_pylist()
             size, removed, runs, digest, merged_out = [], [], [], [], []
