@@ -80,9 +80,12 @@ _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 
-def word_hashes(offsets, data, letters=False):
+def word_hashes(offsets, data, letters=False, prefixes=()):
     """(text number, hash) of every word of the texts, in order.
 
+    With ``prefixes`` the hashes are a matrix: of the word, then of its
+    first bytes of each of these numbers (of all where it is shorter).
+
     ASCII letters are lower-cased.  Words are runs without ASCII white
     space or, with ``letters``, runs of ASCII letters, digits and bytes
     of other characters.
@@ -113,10 +116,14 @@ def word_hashes(offsets, data, letters=False):
         after = np.empty_like(inside)
         after[-1], after[:-1] = False, inside[1:]
         hi = np.flatnonzero(inside & (~after | first[1:])) + 1
+        roll = Rolling(buf)
         with np.errstate(over="ignore"):
-            hashes.append(mix(Rolling(buf).of(lo, hi) + (hi - lo).astype(U)))
+            h = [mix(roll.of(lo, hi) + (hi - lo).astype(U))]
+            h += [mix(roll.of(lo, np.minimum(hi, lo + k)) + U(1000 + k)) for k in prefixes]
+        hashes.append(np.stack(h, axis=1) if prefixes else h[0])
         texts.append(np.searchsorted(offsets, lo + at, side="right") - 1)
         at = stop
     if not hashes:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U)
+        none = np.zeros((0, 1 + len(prefixes)) if prefixes else 0, dtype=U)
+        return np.zeros(0, dtype=np.int64), none
     return np.concatenate(texts), np.concatenate(hashes)

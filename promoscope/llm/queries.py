@@ -12,6 +12,7 @@ from promoscope.llm import (
     repeat_intervals,
     rule_cascade,
     setsketch,
+    toxicity_cnn,
 )
 
 
@@ -23,6 +24,14 @@ def op2_shard_by_extendible_hash(spark, sf_dir):
     return extendible.shard(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op4_toxicity_cnn(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model, cuts = toxicity_cnn.train(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity_cnn.score(docs, model, cuts).select(
+        "doc_id", toxicity_cnn.held_out().alias("held_out"), "score", "predicted",
+        F.col("toxic").alias("toxic_by_language"))
+
+
 def op5_line_dedup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return cuckoo_lines.dedup_lines(docs).select(
@@ -174,7 +183,7 @@ FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN node USING (gs) LEFT JOIN
 """
 
 QUERIES = {f.__name__: f for f in (
-    op2_shard_by_extendible_hash, op5_line_dedup, op6_near_dedup, op7_quality_cascade, op8_mix_sources, op9_decontaminate,
+    op2_shard_by_extendible_hash, op4_toxicity_cnn, op5_line_dedup, op6_near_dedup, op7_quality_cascade, op8_mix_sources, op9_decontaminate,
     op10_repeat_intervals)}
 
 ORACLES = {
