@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from promoscope.llm import (
+    chat_trees,
     containment,
     cuckoo_lines,
     extendible,
@@ -13,6 +14,7 @@ from promoscope.llm import (
     rule_cascade,
     setsketch,
     toxicity_cnn,
+    warc_captures,
 )
 
 
@@ -20,10 +22,28 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op1_chat_trees(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"))
+    trees = chat_trees.as_trees(turns.unionByName(extra))
+    return chat_trees.digests(chat_trees.format_trees(trees)).withColumnRenamed(
+        "tree", "conv_id").drop("leaf")
+
+
 def op2_shard_by_extendible_hash(spark, sf_dir):
     return extendible.shard(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op3_warc_captures(spark, sf_dir):
+    return warc_captures.page_captures(_table(spark, sf_dir, "pages"))
+
+
 def op4_toxicity_cnn(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model, cuts = toxicity_cnn.train(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
@@ -146,6 +166,30 @@ FROM ds JOIN it USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id
 HAVING 100 * count(*) >= {containment.THRESHOLD_PCT} * any_value(n_item)
 """
 
+OP1_SQL = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{CONTROL_TEXT}'), (-7, 1, 'assistant', '{CONTROL_TEXT}')),
+a AS (SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(13 + length(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '|', '&vert;'))
+    + length(replace(replace(text, '&', '&amp;'), '<', '&lt;')))::BIGINT AS formatted_chars
+  FROM t GROUP BY conv_id)
+SELECT * FROM a
+"""
+
+OP3_SQL = rf"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= {warc_captures.MIN_REVISIT} AND page_id <> first THEN 'revisit'
+    ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= {warc_captures.MIN_REVISIT} AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
 OP5_SQL = rf"""
 WITH l AS (SELECT doc_id, i, ls[i] AS line FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS i
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
@@ -183,10 +227,12 @@ FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN node USING (gs) LEFT JOIN
 """
 
 QUERIES = {f.__name__: f for f in (
-    op2_shard_by_extendible_hash, op4_toxicity_cnn, op5_line_dedup, op6_near_dedup, op7_quality_cascade, op8_mix_sources, op9_decontaminate,
+    op1_chat_trees, op2_shard_by_extendible_hash, op3_warc_captures, op4_toxicity_cnn, op5_line_dedup, op6_near_dedup, op7_quality_cascade, op8_mix_sources, op9_decontaminate,
     op10_repeat_intervals)}
 
 ORACLES = {
+    "op1_chat_trees": OP1_SQL,
+    "op3_warc_captures": OP3_SQL,
     "op6_near_dedup": OP6_SQL,
     "op5_line_dedup": OP5_SQL,
     "op2_shard_by_extendible_hash": OP2_SQL,
