@@ -214,11 +214,14 @@ def lcp_intervals(lcp):
             stack.append((d, first))
 
 
-def _scan(gram, before, offsets, data, min_len):
+def _scan(gram, before, offsets, data, min_len, listing=False):
     """Maximal repeats of the contexts: (member, left, right, repeat).
 
     ``left`` and ``right`` are the bytes before and after the anchor;
-    members of one repeat share its number.
+    with ``listing`` every repeat is given with all members, which share
+    its number.  Nested repeats make that long, so without it each member
+    comes once, with the union of its repeats: all of them span the
+    anchor, so that is the longest on either side.
     """
     size = np.diff(offsets)
     right = _side(data, offsets[:-1] + before, 1, size - before, min_len)
@@ -259,6 +262,8 @@ def _scan(gram, before, offsets, data, min_len):
         for x in (a[hit], b[hit]):
             out.append((x, lcp[hit], d[hit], k))
         repeat = len(k)
+    far_left = np.zeros(len(gram), dtype=np.int64)
+    far_right = np.zeros(len(gram), dtype=np.int64)
     for g in np.flatnonzero(end - begin > 2):
         members, lcp = o[begin[g]:end[g]], rcp[begin[g]:end[g] - 1]
         for d, i, j in lcp_intervals(lcp.tolist()):
@@ -267,6 +272,12 @@ def _scan(gram, before, offsets, data, min_len):
             lc = _common(left, before, s[1:], s[:-1])
             if int(lc.max()) + d < min_len:
                 continue
+            if not listing:
+                longest = np.maximum(np.append(lc, -1), np.concatenate(([-1], lc)))
+                who = s[longest + d >= min_len]
+                far_left[who] = np.maximum(far_left[who], longest[longest + d >= min_len])
+                far_right[who] = np.maximum(far_right[who], d)
+                continue
             child = np.concatenate(([0], np.cumsum(lcp[i:j] == d)))  # below this interval
             sub = dict(zip(members[i:j + 1].tolist(), child.tolist()))
             for depth, x, y in lcp_intervals(lc.tolist()):
@@ -278,15 +289,18 @@ def _scan(gram, before, offsets, data, min_len):
                 out.append((who, np.full(len(who), depth), np.full(len(who), d),
                             np.full(len(who), repeat)))
                 repeat += 1
+    if not listing and (who := np.flatnonzero(far_right)).size:
+        out.append((who, far_left[who], far_right[who], np.zeros(len(who), dtype=np.int64)))
     return out
 
 
-def _repeat_batches(min_len):
+def _repeat_batches(min_len, listing):
     """Scans runs of whole gram groups; rows come sorted by gram."""
     def solve(t):
         gram = t.column(0).to_numpy()
         offsets, data = binary(t.column(7))
-        found = _scan(gram, t.column(6).to_numpy().astype(np.int64), offsets, data, min_len)
+        found = _scan(gram, t.column(6).to_numpy().astype(np.int64), offsets, data, min_len,
+                      listing)
         if not found:
             return None
         who, left, right, repeat = (np.concatenate(x) for x in zip(*found))
@@ -391,7 +405,7 @@ def _find(docs, folder, min_len, text, key, hot_contexts, combine=True):
     any_hot = not hot.isEmpty()
     cool = contexts.join(hot, "gram", "left_anti") if any_hot else contexts
     groups = (cool.repartition("gram").sortWithinPartitions("gram").mapInArrow(
-        _repeat_batches(min_len),
+        _repeat_batches(min_len, listing=not combine),
         f"gram long, repeat long, ctx long, key {kind}, th long, lo long, hi long"))
     groups = materialize(groups, folder, "groups")
     if not any_hot:
