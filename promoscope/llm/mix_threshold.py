@@ -133,13 +133,24 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, max_repeat: int
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = (targets.withColumn("whole", F.floor(ratio).cast("long"))
                .withColumn("need", F.col("target") - F.col("whole") * F.col("source_size")))
-    targets = materialize(targets.withColumnRenamed("source", "__source"), folder, "targets")
+    targets = materialize(targets.withColumnRenamed("source", "__plan_source"), folder, "targets")
 
-    ranked = narrow.join(targets, F.col(source).eqNullSafe(F.col("__source"))).select(
+    ranked = narrow.join(targets, F.col(source).eqNullSafe(F.col("__plan_source"))).select(
         "rank", F.col("__h").alias("h"), "size")
     cuts = _cut(ranked, targets.select("rank", "need"), folder)
     plan = materialize(targets.join(cuts, "rank").select(
-        "__source", "source_size", "target", "whole", "below"), folder, "plan")
-    return (sized.join(plan, F.col(source).eqNullSafe(F.col("__source")))
+        "__plan_source", "source_size", "target", "whole", "below"), folder, "plan")
+    return (sized.join(plan, F.col(source).eqNullSafe(F.col("__plan_source")))
             .withColumn("copies", F.col("whole") + (F.col("__h") < F.col("below")).cast("long"))
-            .drop("__source", "whole", "below", "__h"))
+            .drop("__plan_source", "whole", "below", "__h"))
+
+
+def mixed(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, max_repeat: int = 2,
+          text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as often as it is taken."""
+    packed = docs.select(F.struct("*").alias("__row"), F.col(key).alias("__key"),
+                         F.col(source).alias("__source"), F.col(text).alias("__text"))
+    out = mix(packed, weights, share, max_repeat, "__text", "__source", "__key", keep_text=True)
+    taken = out.where(F.col("copies") > 0)
+    return taken.select("__row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+                        .alias("__copy")).select("__row.*")

@@ -92,7 +92,7 @@ def op10_repeat_intervals(spark, sf_dir):
 _BLANK = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
-OP7_SQL = rf"""
+OP7_METRICS = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, {_WORDS.format('text')} AS w FROM d),
 win AS (SELECT doc_id, i, w[i] || ' ' || w[i+1] || ' ' || w[i+2] AS g
@@ -107,14 +107,20 @@ m AS (SELECT w.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))
         coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(n_lines, 0)::BIGINT AS n_lines,
         coalesce(cov.n, 0)::BIGINT AS n_repeat_words
       FROM w LEFT JOIN cov USING (doc_id) LEFT JOIN lc USING (doc_id))
+"""
+
+_REJECTED = f"""100 * n_symbols > {rule_cascade.MAX_SYMBOL_PCT} * n_words
+    OR (n_dup_lines >= {rule_cascade.MIN_DUP_LINES}
+      AND 100 * n_dup_lines > {rule_cascade.MAX_DUP_LINE_PCT} * n_lines)
+    OR (n_words >= {rule_cascade.MIN_MEAN_OVER}
+      AND (word_chars < {rule_cascade.MIN_MEAN_WORD} * n_words
+        OR word_chars > {rule_cascade.MAX_MEAN_WORD} * n_words))"""
+
+OP7_SQL = OP7_METRICS + rf"""
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (n_words < {rule_cascade.MIN_WORDS} OR 100 * n_repeat_words > {rule_cascade.MAX_REPEAT_PCT} * n_words) AS base_failed,
   NOT (n_words < {rule_cascade.MIN_WORDS} OR 100 * n_repeat_words > {rule_cascade.MAX_REPEAT_PCT} * n_words
-    OR 100 * n_symbols > {rule_cascade.MAX_SYMBOL_PCT} * n_words
-    OR (n_dup_lines >= {rule_cascade.MIN_DUP_LINES}
-      AND 100 * n_dup_lines > {rule_cascade.MAX_DUP_LINE_PCT} * n_lines)
-    OR word_chars < {rule_cascade.MIN_MEAN_WORD} * n_words
-    OR word_chars > {rule_cascade.MAX_MEAN_WORD} * n_words) AS kept
+    OR {_REJECTED}) AS kept
 FROM m
 """
 
@@ -202,14 +208,16 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM m GROUP BY doc_id
 """
 
-OP6_SQL = rf"""
+def near_sql(k: int) -> str:
+    """Near-duplicate groups of ``documents`` on k-word shingles."""
+    joined = " || ' ' || ".join(f"w[i + {j}]" for j in range(k))
+    return rf"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(
     "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, g FROM (
-  SELECT doc_id, unnest(CASE WHEN len(w) = 1 THEN w
-    ELSE list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]) END) AS g
+  SELECT doc_id, unnest(CASE WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+    ELSE list_transform(generate_series(1, len(w) - {k - 1}), lambda i: {joined}) END) AS g
   FROM w WHERE len(w) > 0)),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 c AS (SELECT doc_id, list_sort(list(g)) AS gs FROM s GROUP BY doc_id),
 node AS (SELECT gs, min(doc_id) AS rep, len(gs) AS n FROM c GROUP BY gs),
 ns AS (SELECT rep, unnest(gs) AS g, n FROM node),
@@ -226,6 +234,9 @@ SELECT d.doc_id, coalesce(node.n, 0)::BIGINT AS n_shingles,
 FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN node USING (gs) LEFT JOIN comp ON comp.x = node.rep
 """
 
+
+OP6_SQL = near_sql(2)
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_trees, op2_shard_by_extendible_hash, op3_warc_captures, op4_toxicity_cnn, op5_line_dedup, op6_near_dedup, op7_quality_cascade, op8_mix_sources, op9_decontaminate,
     op10_repeat_intervals)}

@@ -25,6 +25,7 @@ MAX_DUP_LINE_PCT = 30
 MIN_DUP_LINES = 3
 MIN_MEAN_WORD = 2
 MAX_MEAN_WORD = 15
+MIN_MEAN_OVER = 10  # words that a mean word length needs
 SAMPLE_ROWS = 2000
 SYMBOLS = "[#*$%&|<>]"
 
@@ -115,16 +116,25 @@ class Rule:
     reject: Callable[[dict[str, Column]], Column]
 
 
-#: The two base rules come first only in this listing; the cascade orders them by estimate.
-RULES = (
-    Rule("few_words", lambda m: m["n_words"] < MIN_WORDS),
-    Rule("repeated_words", lambda m: 100 * m["n_repeat_words"] > MAX_REPEAT_PCT * m["n_words"]),
-    Rule("symbols", lambda m: 100 * m["n_symbols"] > MAX_SYMBOL_PCT * m["n_words"]),
-    Rule("repeated_lines", lambda m: (m["n_dup_lines"] >= MIN_DUP_LINES)
-         & (100 * m["n_dup_lines"] > MAX_DUP_LINE_PCT * m["n_lines"])),
-    Rule("word_length", lambda m: (m["word_chars"] < MIN_MEAN_WORD * m["n_words"])
-         | (m["word_chars"] > MAX_MEAN_WORD * m["n_words"])),
-)
+def rules(min_words: int = MIN_WORDS, min_repeat_words: int = 0) -> tuple[Rule, ...]:
+    """The rules in no special order: the cascade orders them by estimate.
+
+    The repetition rule leaves texts under ``min_repeat_words`` alone.
+    """
+    return (
+        Rule("few_words", lambda m: m["n_words"] < min_words),
+        Rule("repeated_words", lambda m: (m["n_words"] >= min_repeat_words)
+             & (100 * m["n_repeat_words"] > MAX_REPEAT_PCT * m["n_words"])),
+        Rule("symbols", lambda m: 100 * m["n_symbols"] > MAX_SYMBOL_PCT * m["n_words"]),
+        Rule("repeated_lines", lambda m: (m["n_dup_lines"] >= MIN_DUP_LINES)
+             & (100 * m["n_dup_lines"] > MAX_DUP_LINE_PCT * m["n_lines"])),
+        Rule("word_length", lambda m: (m["n_words"] >= MIN_MEAN_OVER)
+             & ((m["word_chars"] < MIN_MEAN_WORD * m["n_words"])
+                | (m["word_chars"] > MAX_MEAN_WORD * m["n_words"]))),
+    )
+
+
+RULES = rules()
 
 
 def base_failed(m: dict[str, Column]) -> Column:
@@ -194,3 +204,9 @@ def cascade(docs: DataFrame, rules=RULES, text: str = "text",
     ordered = [e.rule for e in order_rules(docs, rules, text)]
     return docs.withColumn("rejected_by",
                            verdict(ordered, metrics or text_metrics(F.col(text))))
+
+
+def accepted(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with their columns."""
+    ordered = [e.rule for e in order_rules(docs, rules, text)]
+    return docs.where(verdict(ordered, text_metrics(F.col(text))).isNull())
