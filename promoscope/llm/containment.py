@@ -125,7 +125,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text",
                   key: str = "doc_id") -> DataFrame:
     """``docs`` without the rows that contain an item; all columns stay."""
     hits = contained_items(docs, items, text=text, key=key).select(
-        F.col(key).alias("__key"), "text_hash").distinct()
+        F.col(key).alias("__key"), F.col("text_hash").alias("__th")).distinct()
     hits = materialize(hits, scratch_dir(docs.sparkSession), "hits")
     return docs.join(hits, F.col(key).eqNullSafe(F.col("__key"))
-                     & (F.xxhash64(text) == F.col("text_hash")), "left_anti")
+                     & (F.xxhash64(text) == F.col("__th")), "left_anti")
