@@ -2,8 +2,8 @@
 
     top-items      --log L --out O [--day 1111] [--k 100] [--text]
     top-merchants  --log L --users U --out O [--day 1111] [--k 100] [--text]
-    gender         --log L --users U [--day 1111]
-    age            --log L --users U [--day 1111] [--strict]
+    gender         --log L --users U [--out O] [--day 1111]
+    age            --log L --users U [--out O] [--day 1111] [--strict]
     repeat-buyers  --log L --users U --train T --test S --out O [--refit] [--train-out P]
 
 Inputs are CSV with a header unless ``--parquet``.  On a cluster, run
@@ -47,16 +47,17 @@ def main(argv=None) -> int:
     elif a.job == "top-merchants":
         jobs.top_merchants_job(spark, a.log, a.users, a.out, a.day, a.day_to, a.k, fmt, out_format)
     elif a.job == "gender":
-        share, ratio = jobs.buyer_gender_job(spark, a.log, a.users, a.day, a.day_to, fmt)
+        share, ratio = jobs.buyer_gender_job(spark, a.log, a.users, a.day, a.day_to, fmt, a.out)
         share.show()
         ratio.show()
     elif a.job == "age":
         jobs.buyer_age_job(spark, a.log, a.users, a.day, a.day_to,
-                           "drop" if a.strict else "keep_zero", fmt).show()
+                           "drop" if a.strict else "keep_zero", fmt, a.out).show()
     else:
-        jobs.repeat_buyer_job(spark, a.log, a.users, a.train, a.test, a.out,
-                              "refit" if a.refit else "train", fmt=fmt,
-                              train_out_path=a.train_out)
+        skipped = jobs.repeat_buyer_job(spark, a.log, a.users, a.train, a.test, a.out,
+                                        "refit" if a.refit else "train", fmt=fmt,
+                                        train_out_path=a.train_out)
+        print(f"training rows left out of the fit: {skipped}")
     spark.stop()
     return 0
 

@@ -14,6 +14,7 @@ from promoscope.operators import demographics as demo
 from promoscope.operators import popularity as pop
 from promoscope.operators import scoring
 from promoscope.schemas import PROMO_DAY, TOP_K
+from promoscope.session import clear_scratch
 from promoscope.sources import files, sinks
 
 
@@ -49,31 +50,43 @@ def top_merchants_job(spark: SparkSession, log_path: str, users_path: str, out_p
 
 def buyer_gender_job(spark: SparkSession, log_path: str, users_path: str,
                      day_from: int = PROMO_DAY, day_to: int | None = None,
-                     fmt: str = "csv") -> tuple[DataFrame, DataFrame]:
-    """A3: (gender share table, male/female ratio row)."""
+                     fmt: str = "csv", out_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """A3: (gender share table, male/female ratio row), with ``out_path``
+    also as CSV in its folders ``share`` and ``ratio``."""
     log = _read(spark, "user_log", log_path, fmt)
     users = _read(spark, "user_info", users_path, fmt)
     b = demo.buyers(log, users, day_from, day_to)
-    return demo.gender_share(b), demo.gender_ratio(b)
+    share, ratio = demo.gender_share(b), demo.gender_ratio(b)
+    if out_path:
+        sinks.write_table(share, f"{out_path}/share")
+        sinks.write_table(ratio, f"{out_path}/ratio")
+    return share, ratio
 
 
 def buyer_age_job(spark: SparkSession, log_path: str, users_path: str,
                   day_from: int = PROMO_DAY, day_to: int | None = None,
-                  unknown: str = "keep_zero", fmt: str = "csv") -> DataFrame:
-    """A4: age share table; ``unknown="drop"`` excludes the unknown code 0."""
+                  unknown: str = "keep_zero", fmt: str = "csv",
+                  out_path: str | None = None) -> DataFrame:
+    """A4: age share table, with ``out_path`` also as CSV;
+    ``unknown="drop"`` excludes the unknown code 0."""
     log = _read(spark, "user_log", log_path, fmt)
     users = _read(spark, "user_info", users_path, fmt)
-    return demo.age_share(demo.buyers(log, users, day_from, day_to), unknown)
+    share = demo.age_share(demo.buyers(log, users, day_from, day_to), unknown)
+    if out_path:
+        sinks.write_table(share, out_path)
+    return share
 
 
 def repeat_buyer_job(spark: SparkSession, log_path: str, users_path: str, train_path: str,
                      test_path: str, out_path: str, scaler: str = "train",
                      max_iter: int = 10, fmt: str = "csv",
-                     train_out_path: str | None = None) -> DataFrame:
+                     train_out_path: str | None = None) -> int:
     """A5 + A6: features, fills, weighted logistic regression, and the
     `user_id,merchant_id,prob` table for the pairs to score.  With
-    ``train_out_path`` the scored training rows are written too (SNK-3,
-    vector columns as JSON arrays)."""
+    ``train_out_path`` every training row is written too, those that
+    cannot be scored without a score (SNK-3, vector columns as JSON
+    arrays).  Returns the number of training rows that were not fitted;
+    the scratch tables of the flow are removed."""
     log = _read(spark, "user_log", log_path, fmt)
     users = _read(spark, "user_info", users_path, fmt)
     # Missing features are filled in the pair files' row order.
@@ -83,6 +96,9 @@ def repeat_buyer_job(spark: SparkSession, log_path: str, users_path: str, train_
                                      max_iter=max_iter, order_cols=files.FILE_ORDER)
     sinks.write_scores(flow.scores, out_path)
     if train_out_path:
-        scored = scoring.transform(flow.model, scoring.with_class_weights(flow.train))
+        weights = scoring.class_weight_table(scoring.complete_rows(flow.train))
+        scored = scoring.transform(flow.model, scoring.with_class_weights(flow.train, weights))
         sinks.write_train_scores(scored.drop(*files.FILE_ORDER), train_out_path)
-    return flow.scores
+    skipped = flow.skipped.first()["skipped"]
+    clear_scratch(spark)
+    return skipped

@@ -1,44 +1,28 @@
-"""Spark session settings and the shared checkpoint folder."""
+"""Spark session, the shared checkpoint folder and scratch tables in it."""
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "promoscope") -> SparkSession:
-    """Session with the settings the library's plans are tuned for.
+                  app_name: str = "promoscope", config: dict[str, str] | None = None) -> SparkSession:
+    """A session that leaves the cluster's settings alone.
 
-    On a cluster the master and partition count come from spark-submit;
-    these defaults are for local runs (tests, bench).
+    Master, partition count and memory come from spark-submit (or the
+    Spark defaults) unless passed here, as the bench does for its local
+    runs.
     """
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    master = master or f"local[{cpus}]"
-    partitions = shuffle_partitions or 2 * cpus
-    builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(partitions))
-        # AQE: coalesce small shuffle partitions, split skewed join
-        # partitions, and turn sort-merge joins into broadcast joins when
-        # the measured size of one side falls under the threshold.
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Allow the skew split even when it costs one more shuffle after
-        # the join (semi joins feeding a dedup on a superset of the keys).
-        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # Remove checkpoint files once their DataFrames are garbage.
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("PROMOSCOPE_DRIVER_MEMORY", "16g"))
-    )
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in (config or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -71,3 +55,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="promoscope-ckpt-")
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
+
+
+_scratch: list[str] = []
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the checkpoint folder, known to ``clear_scratch``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in a scratch folder, read back: its
+    lineage ends there, and any executor can read it again."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes this process's scratch tables; DataFrames over them end."""
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,12 +7,12 @@ parallel.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promoscope.functions.text import ranked_line
+from promoscope.functions.vectors import vector_values
 
 
 def write_ranked_csv(ranked: DataFrame, path: str, key: str, mode: str = "overwrite") -> None:
@@ -29,12 +29,17 @@ def write_ranked_text(ranked: DataFrame, path: str, key: str, mode: str = "overw
      .write.mode(mode).text(path))
 
 
+def write_table(table: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A small result table as CSV with header."""
+    table.coalesce(1).write.mode(mode).option("header", True).csv(path)
+
+
 def write_train_scores(scored: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Scored training rows as CSV; vector columns become JSON arrays."""
     cols = []
     for f in scored.schema.fields:
         if isinstance(f.dataType, VectorUDT):
-            cols.append(F.to_json(vector_to_array(f.name)).alias(f.name))
+            cols.append(F.to_json(vector_values(f.name)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     scored.select(*cols).write.mode(mode).option("header", True).csv(path)

@@ -66,7 +66,8 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or list(queries())
-    spark = build_session(shuffle_partitions=8)
+    spark = build_session("local[8]", 8, config={"spark.ui.enabled": "false",
+                                                 "spark.sql.session.timeZone": "UTC"})
     con = duck(sf_dir)
     qs, oracles = queries(), oracle_sql()
     bad = 0

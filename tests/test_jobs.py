@@ -4,6 +4,7 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 
@@ -19,7 +20,10 @@ def inputs(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("shop"))
     t = Tables(spark, SF_SMALL)
     paths = {}
-    for name, df in [("user_log", t.user_log()), ("user_info", t.user_info()),
+    log = t.user_log()
+    for c in ("cat_id", "brand_id"):  # integer codes, as the real log has
+        log = log.withColumn(c, F.abs(F.xxhash64(c)) % 1000)
+    for name, df in [("user_log", log), ("user_info", t.user_info()),
                      ("train", t.train_pairs()), ("test", t.test_pairs())]:
         paths[name] = os.path.join(root, name)
         df.write.option("header", True).csv(paths[name])
@@ -27,6 +31,11 @@ def inputs(spark, tmp_path_factory):
     return paths
 
 
+def _checkpoint_folder(spark):
+    from promoscope.session import ensure_checkpoint_dir
+    return ensure_checkpoint_dir(spark).removeprefix("file:")
+
+
 def _lines(path):
     [f] = glob.glob(os.path.join(path, "part-*"))
     with open(f) as fh:
@@ -66,15 +75,27 @@ def test_gender_and_age_jobs(spark, inputs):
 def test_repeat_buyer_job_scores_every_pair(spark, inputs):
     out = os.path.join(inputs["root"], "scores")
     train_out = os.path.join(inputs["root"], "train_scores")
-    jobs.repeat_buyer_job(spark, inputs["user_log"], inputs["user_info"], inputs["train"],
-                          inputs["test"], out, train_out_path=train_out)
+    before = set(os.listdir(_checkpoint_folder(spark)))
+    skipped = jobs.repeat_buyer_job(spark, inputs["user_log"], inputs["user_info"], inputs["train"],
+                                    inputs["test"], out, train_out_path=train_out)
+    assert set(os.listdir(_checkpoint_folder(spark))) <= before  # no scratch tables left
     back = spark.read.option("header", True).csv(out)
     assert back.columns == ["user_id", "merchant_id", "prob"]
     assert back.count() == Tables(spark, SF_SMALL).test_pairs().count()
     scored = spark.read.option("header", True).csv(train_out)
     assert {"label", "classWeights", "features", "Scaled_features", "probability",
             "prediction"} <= set(scored.columns)
-    assert scored.first().features.startswith("[")
+    assert scored.count() == Tables(spark, SF_SMALL).train_pairs().count()
+    assert scored.where("prediction IS NULL").count() == skipped
+    assert scored.where("features IS NOT NULL").first().features.startswith("[")
+
+
+def test_share_jobs_write_their_tables(spark, inputs, tmp_path):
+    jobs.buyer_gender_job(spark, inputs["user_log"], inputs["user_info"], *NOV, out_path=f"{tmp_path}/g")
+    jobs.buyer_age_job(spark, inputs["user_log"], inputs["user_info"], *NOV, out_path=f"{tmp_path}/a")
+    assert _lines(f"{tmp_path}/g/share")[0] == "gender,count,proportion,percent"
+    assert _lines(f"{tmp_path}/g/ratio")[0] == "male,female,ratio"
+    assert _lines(f"{tmp_path}/a")[0] == "age_range,count,proportion,percent"
 
 
 def test_sql_over_registered_views(spark):
@@ -104,7 +125,8 @@ def test_command_line_top_items(spark, inputs, tmp_path):
     import subprocess
     import sys
     out = str(tmp_path / "cli_top")
-    env = dict(os.environ, BENCH_CPUS="2", PROMOSCOPE_DRIVER_MEMORY="2g")
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--master local[2] --conf spark.ui.enabled=false "
+                                               "pyspark-shell")
     proc = subprocess.run(
         [sys.executable, "-m", "promoscope", "top-items", "--log", inputs["user_log"],
          "--out", out, "--day", "1101", "--day-to", "1130", "--text"],
