@@ -76,13 +76,15 @@ def behaviour_features(log: DataFrame) -> DataFrame:
 
     Two aggregation levels.  The first groups by every column a distinct
     count looks at (pair, item, category, day), with row and per-action
-    counts; its shuffle is keyed by all five columns, so a hot pair is
-    spread over many tasks, and repeated events collapse map-side.  The
-    second sums those counts and counts distinct values per pair; the
-    Expand Catalyst plans for the three distinct counts now runs over
-    the (smaller, narrower) first-level rows instead of the raw log.
+    counts.  The repartition on those five columns makes that its own
+    shuffle: a partitioning by item or user that the log happens to come
+    with would otherwise be reused and keep a hot one in a single task.
+    The second level sums those counts and counts distinct values per
+    pair; the Expand Catalyst plans for the three distinct counts runs
+    over the first-level rows instead of the raw log.
     """
-    level1 = log.groupBy("user_id", "seller_id", "item_id", "cat_id", "time_stamp").agg(
+    keys = ("user_id", "seller_id", "item_id", "cat_id", "time_stamp")
+    level1 = log.repartition(*keys).groupBy(*keys).agg(
         F.count("item_id").alias("_rows"),
         *[_action_count(code).alias(name) for name, code in ACTION_FEATURES])
     return level1.groupBy(*_pair_group()).agg(

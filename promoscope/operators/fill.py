@@ -5,11 +5,13 @@ A forward fill is a prefix scan over a global row order.  A single
 in two levels:
 
 1. ``repartitionByRange`` on the (unique) order key cuts the rows into
-   balanced, ordered ranges; each row is tagged with its range id and the
-   tagged table is checkpointed to the shared checkpoint folder, so the
-   ids stay fixed if a task is re-run after an executor loss.
+   balanced, ordered ranges; sorted inside their range, rows are numbered
+   with one LONG that grows in order over all ranges.  The numbered table
+   is written to the shared checkpoint folder, so the numbers stay fixed
+   if a task is re-run after an executor loss.  From here on rows are
+   ordered by the LONG, whatever the key's columns.
 2. Per range and column, the last (first) non-NULL value by order is one
-   row of a summary table: at most one row per range.
+   row of a summary table (a hash aggregate): one row per range.
 3. A window over that summary (bounded by the number of ranges, not by
    the data) gives each range the value carried in from the ranges
    before (after) it; the carry table is broadcast back.
@@ -18,16 +20,12 @@ in two levels:
 
 Because the key is unique, range sampling balances the ranges even when
 one user owns a large share of the pairs.  The result does not depend on
-where the range boundaries fall; what matters is that the summary and
-the local window see the same range ids, which the checkpoint guarantees
-(with ``checkpoint=False`` it rests on Spark reusing the one range
-exchange within the query).
-
-Cost: one range shuffle before the checkpoint and one hash shuffle on the
-range id after it (a checkpoint taken under AQE does not carry its
-partitioning, so the window re-groups the rows; the summary, carry and
-broadcast are bounded by the range count).  Opposite passes are fused,
-so a backward-then-forward fill is still one window pass.
+where the range boundaries fall.
+
+Cost: one range shuffle before the table is written and one after it, on
+the range number, which keeps the ranges apart (a hash of it would put
+several into one task).  Opposite passes are fused, so a
+backward-then-forward fill is still one window pass.
 """
 
 from __future__ import annotations
@@ -37,25 +35,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from promoscope.session import ensure_checkpoint_dir
+from promoscope.session import written
 
 RANGE = "_fill_range"
+ORDINAL = "_fill_ordinal"
+# monotonically_increasing_id holds the partition in the bits above these.
+_PARTITION_SHIFT = 33
 
 
-def tag_ranges(df: DataFrame, order_cols: Sequence[str], num_ranges: int | None = None,
-               checkpoint: bool = True) -> DataFrame:
-    """Range-partition on the order key and tag rows with their range id."""
-    spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = df.repartitionByRange(n, *order_cols).withColumn(RANGE, F.spark_partition_id())
-    if checkpoint:
-        ensure_checkpoint_dir(spark)
-        tagged = tagged.checkpoint(eager=True)
-    return tagged
+def tag_ranges(df: DataFrame, order_cols: Sequence[str],
+               num_ranges: int | None = None) -> DataFrame:
+    """Number the rows in order and tag them with their range."""
+    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                .withColumn(ORDINAL, F.monotonically_increasing_id()))
+    return written(numbered, "fill").withColumn(RANGE, F.shiftright(ORDINAL, _PARTITION_SHIFT))
 
 
-def _fill_pass(df: DataFrame, order_cols: Sequence[str], fill_cols: Sequence[str],
-               direction: str, then_opposite: bool = False) -> DataFrame:
+def _fill_pass(df: DataFrame, fill_cols: Sequence[str], direction: str,
+               then_opposite: bool = False) -> DataFrame:
     """One window pass in ``direction``.
 
     ``then_opposite`` also applies the opposite pass, exactly, without a
@@ -65,7 +63,7 @@ def _fill_pass(df: DataFrame, order_cols: Sequence[str], fill_cols: Sequence[str
     value is the edge of the per-range summary, so it costs one more
     column of the small summary table, not a second scan of the data.
     """
-    order_key = F.struct(*[F.col(c) for c in order_cols])
+    order_key = F.col(ORDINAL)
     forward = direction == "forward"
     if not forward and direction != "backward":
         raise ValueError("direction must be 'forward' or 'backward'")
@@ -82,9 +80,9 @@ def _fill_pass(df: DataFrame, order_cols: Sequence[str], fill_cols: Sequence[str
     # over the reversed order.  (A current .. unbounded-following frame is
     # re-aggregated for every row: quadratic in the range size.)
     if forward:
-        range_order, row_order = [F.asc(RANGE)], [F.asc(c) for c in order_cols]
+        range_order, row_order = [F.asc(RANGE)], [F.asc(ORDINAL)]
     else:
-        range_order, row_order = [F.desc(RANGE)], [F.desc(c) for c in order_cols]
+        range_order, row_order = [F.desc(RANGE)], [F.desc(ORDINAL)]
     across = Window.orderBy(*range_order).rowsBetween(Window.unboundedPreceding, -1)
     within = (Window.partitionBy(RANGE).orderBy(*row_order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -100,7 +98,8 @@ def _fill_pass(df: DataFrame, order_cols: Sequence[str], fill_cols: Sequence[str
         carry_cols += [F.first(F.col(f"_o_{c}"), ignorenulls=True).over(everything)
                        .alias(f"_back_{c}") for c in fill_cols]
     carry = summary.select(RANGE, *carry_cols)
-    joined = df.join(F.broadcast(carry), RANGE, "left")
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    joined = df.repartitionByRange(ranges, RANGE).join(F.broadcast(carry), RANGE, "left")
     out = []
     for c in df.columns:
         if c in fill_cols:
@@ -114,16 +113,22 @@ def _fill_pass(df: DataFrame, order_cols: Sequence[str], fill_cols: Sequence[str
 
 
 def ordered_fill(df: DataFrame, order_cols: Sequence[str], fill_cols: Sequence[str],
-                 directions: Sequence[str] = ("forward",), num_ranges: int | None = None,
-                 checkpoint: bool = True) -> DataFrame:
+                 directions: Sequence[str] = ("forward",), num_ranges: int | None = None) -> DataFrame:
     """Fill NULLs of ``fill_cols`` from neighbours in ``order_cols`` order.
 
     ``directions`` run in sequence, e.g. ``("backward", "forward")``.  The
     order key must be unique, or the fill is as arbitrary as the order of
     tied rows.  Leading (trailing) NULLs stay NULL after a forward
-    (backward) pass.
+    (backward) pass.  The numbered table stays in the checkpoint folder
+    until ``session.clear_scratch``.
     """
-    tagged = tag_ranges(df, order_cols, num_ranges, checkpoint)
+    return fill_tagged(tag_ranges(df, order_cols, num_ranges), fill_cols, directions)
+
+
+def fill_tagged(tagged: DataFrame, fill_cols: Sequence[str],
+                directions: Sequence[str]) -> DataFrame:
+    """``ordered_fill`` of a table that ``tag_ranges`` has numbered, or of
+    some of its rows."""
     out = tagged
     steps = list(directions)
     while steps:
@@ -132,5 +137,5 @@ def ordered_fill(df: DataFrame, order_cols: Sequence[str], fill_cols: Sequence[s
         fuse = bool(steps) and steps[0] == opposite
         if fuse:
             steps.pop(0)
-        out = _fill_pass(out, order_cols, list(fill_cols), direction, then_opposite=fuse)
-    return out.drop(RANGE)
+        out = _fill_pass(out, list(fill_cols), direction, then_opposite=fuse)
+    return out.drop(RANGE, ORDINAL)

@@ -61,11 +61,12 @@ def merchant_counts(log: DataFrame, users: DataFrame, day_from: int,
     """
     young = young_users(users, ages).select("user_id")
     rows = promo_non_click(log, day_from, day_to).select(*MERCHANT_KEYS)
-    # Join first, dedup after: the join leaves the rows hash-partitioned on
-    # user_id, which already clusters the four dedup keys, so the dedup
-    # needs no shuffle of its own (one full shuffle fewer than dedup-first).
+    # The dedup gets a shuffle of its own, on all four keys: on the join's
+    # partitioning by user it would pin every row of a hot user to one task,
+    # and AQE could not split the join's skewed partitions.
     if join == "semi":
-        kept = rows.join(young, "user_id", "left_semi").distinct()
+        kept = (rows.join(young, "user_id", "left_semi")
+                .repartition(*MERCHANT_KEYS).distinct())
     elif join == "inner":
         # Set semantics of the dedup are kept per joined user row: a user
         # listed twice contributes twice.

@@ -14,14 +14,13 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from promoscope.functions.vectors import vector_values
 from promoscope.operators.features import behaviour_features, feature_table
-from promoscope.operators.fill import ordered_fill
+from promoscope.operators.fill import fill_tagged, ordered_fill, tag_ranges
 from promoscope.schemas import FEATURES, PAIR_KEYS
-from promoscope.session import ensure_checkpoint_dir
 
 
 def fill_train(features: DataFrame, order_cols=PAIR_KEYS) -> DataFrame:
@@ -32,62 +31,85 @@ def fill_train(features: DataFrame, order_cols=PAIR_KEYS) -> DataFrame:
 def fill_test(features: DataFrame, order_cols=PAIR_KEYS) -> DataFrame:
     """Pairs to score: backward, then forward fill; a column that is NULL
     everywhere becomes 0 so that no pair is ever dropped."""
-    filled = ordered_fill(features, order_cols, FEATURES, ("backward", "forward"))
+    return _never_null(ordered_fill(features, order_cols, FEATURES, ("backward", "forward")))
+
+
+def _never_null(filled: DataFrame) -> DataFrame:
     return filled.fillna(0, subset=list(FEATURES))
 
 
+def _balancing_ratio(ones, total):
+    """Share of rows without label 1, NULL for no rows."""
+    return F.try_divide((total - ones).cast("double"), total)
+
+
 def class_balance(train: DataFrame) -> DataFrame:
     """ML-4: one row (total, ones, zeros, percent_ones, balancing_ratio)."""
     # The label predicate is SQL text, as callers may pass it (FLT-8).
     counts = train.agg(F.count(F.lit(1)).alias("total"),
                        F.count_if(F.expr("label = 1")).alias("ones"))
-    zeros = F.col("total") - F.col("ones")
     return counts.select(
-        "total", "ones", zeros.alias("zeros"),
+        "total", "ones", (F.col("total") - F.col("ones")).alias("zeros"),
         F.try_divide(F.col("ones") * 100.0, F.col("total")).alias("percent_ones"),
-        F.try_divide(zeros.cast("double"), F.col("total")).alias("balancing_ratio"))
+        _balancing_ratio(F.col("ones"), F.col("total")).alias("balancing_ratio"))
 
 
 def class_weight_table(train: DataFrame) -> DataFrame:
-    """(label, classWeights): share of negatives for label 1, its
+    """(label, classWeights): the balancing ratio for label 1, its
     complement for any other label.  One row per distinct label."""
     per_label = train.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     everyone = Window.partitionBy()  # over the few label rows only
-    total = F.sum("n").over(everyone)
     ones = F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).over(everyone)
-    ratio = (total - ones).cast("double") / total
+    ratio = _balancing_ratio(ones, F.sum("n").over(everyone))
     return per_label.select(
         "label", F.when(F.col("label") == 1, ratio).otherwise(1 - ratio).alias("classWeights"))
 
 
-def with_class_weights(train: DataFrame) -> DataFrame:
-    """ML-5: train rows + classWeights.
+def with_class_weights(train: DataFrame, weights: DataFrame | None = None) -> DataFrame:
+    """ML-5: train rows + classWeights, by default of these rows' classes.
 
     The weight table has one row per distinct label (0, 1, maybe NULL),
     so broadcasting it is bounded; the null-safe key keeps NULL labels.
     """
-    weights = F.broadcast(class_weight_table(train).withColumnRenamed("label", "_w_label"))
-    joined = train.join(weights, train.label.eqNullSafe(weights._w_label), "left")
+    weights = class_weight_table(train) if weights is None else weights
+    weights = F.broadcast(weights.withColumnRenamed("label", "_w_label"))
+    joined = train.join(weights, F.col("label").eqNullSafe(F.col("_w_label")), "left")
     return joined.drop("_w_label")
 
 
+def is_complete():
+    """True for rows without a NULL feature."""
+    out = F.lit(True)
+    for c in FEATURES:
+        out = out & F.col(c).isNotNull()
+    return out
+
+
+def complete_rows(filled: DataFrame) -> DataFrame:
+    """The rows a model is fitted on."""
+    return filled.where(is_complete())
+
+
 def skipped_rows(filled: DataFrame) -> DataFrame:
-    """One row (skipped): filled rows the assembler drops for a NULL
+    """One row (skipped): filled rows left out of the fit for a NULL
     feature (leading NULLs a forward fill cannot reach)."""
-    any_null = F.lit(False)
-    for c in FEATURES:
-        any_null = any_null | F.col(c).isNull()
-    return filled.agg(F.count_if(any_null).alias("skipped"))
+    return filled.agg(F.count_if(~is_complete()).alias("skipped"))
+
+
+def fit_weights(filled: DataFrame) -> DataFrame:
+    """The rows of the fit with their class weights (ML-5 after ML-1):
+    incomplete rows go first, the classes are then counted over the rest."""
+    return with_class_weights(complete_rows(filled))
 
 
 def scoring_pipeline(max_iter: int = 10) -> Pipeline:
     """ML-1, ML-2, ML-6: assemble, scale by std (no centring), weighted LR.
 
-    Rows with a NULL feature (leading NULLs the forward fill could not
-    reach) are skipped by the assembler instead of failing the fit.
+    A NULL feature becomes NaN in the vector; ``fit`` keeps such rows out
+    and ``transform`` gives them no score.
     """
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features",
-                                handleInvalid="skip")
+                                handleInvalid="keep")
     scaler = StandardScaler(inputCol="features", outputCol="Scaled_features",
                             withMean=False, withStd=True)
     lr = LogisticRegression(labelCol="label", featuresCol="Scaled_features",
@@ -96,35 +118,43 @@ def scoring_pipeline(max_iter: int = 10) -> Pipeline:
 
 
 def fit(train_filled: DataFrame, max_iter: int = 10) -> PipelineModel:
-    """Fit the pipeline.  The weighted input is read by several passes
-    (scaler statistics, LR summary, LR iterations), so it is persisted for
-    the fit; a lost block is recomputed from the fill's checkpoint."""
-    weighted = with_class_weights(train_filled).persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit the pipeline on the complete rows.  The weighted input is read
+    by several passes (scaler statistics, LR summary, LR iterations), so
+    it is persisted for the fit; a lost block is recomputed from the
+    fill's written table."""
+    weighted = fit_weights(train_filled).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return scoring_pipeline(max_iter).fit(weighted)
     finally:
         weighted.unpersist()
 
 
+_MODEL_COLUMNS = ("features", "Scaled_features", "rawPrediction", "probability", "prediction")
+
+
 def transform(model: PipelineModel, pairs: DataFrame, scaler: str = "train") -> DataFrame:
     """ML-7: score rows.  ``scaler="refit"`` fits the scaler again on these
     rows (ML-3, the original script's behaviour) instead of reusing the
-    training scaler."""
-    if scaler == "train":
-        return model.transform(pairs)
-    if scaler != "refit":
+    training scaler.  Every row comes back; the model's columns are NULL
+    in rows with a NULL feature."""
+    if scaler not in ("train", "refit"):
         raise ValueError("scaler must be 'train' or 'refit'")
     assembler, train_scaler, lr_model = model.stages
     assembled = assembler.transform(pairs)
-    refit = StandardScaler(inputCol=train_scaler.getInputCol(),
-                           outputCol=train_scaler.getOutputCol(),
-                           withMean=False, withStd=True).fit(assembled)
-    return lr_model.transform(refit.transform(assembled))
+    used = train_scaler if scaler == "train" else refit_scaler(train_scaler, assembled)
+    scored = lr_model.transform(used.transform(assembled))
+    return scored.withColumns({c: F.when(is_complete(), F.col(c)) for c in _MODEL_COLUMNS})
+
+
+def refit_scaler(train_scaler, assembled: DataFrame):
+    """ML-3: the scaler fitted again, on the complete rows to be scored."""
+    return StandardScaler(inputCol=train_scaler.getInputCol(), outputCol=train_scaler.getOutputCol(),
+                          withMean=False, withStd=True).fit(complete_rows(assembled))
 
 
 def prob_of_one(scored: DataFrame) -> DataFrame:
     """ML-9, ML-10: (user_id, merchant_id, prob) with prob a 32-bit float."""
-    prob = vector_to_array(F.col("probability"))[1].cast("float")
+    prob = vector_values("probability")[1].cast("float")
     return scored.select("user_id", "merchant_id", prob.alias("prob"))
 
 
@@ -133,24 +163,27 @@ def score(model: PipelineModel, pairs: DataFrame, scaler: str = "train") -> Data
 
 
 def accuracy_table(scored: DataFrame) -> DataFrame:
-    """ML-8: (correct, count) of right (1) and wrong (0) predictions."""
+    """ML-8: (correct, count) of right (1) and wrong (0) predictions, over
+    the rows that have one."""
     correct = F.when(F.col("label") == F.col("prediction"), 1).otherwise(0)
-    return (scored.select(correct.alias("correct")).groupBy("correct")
+    return (scored.where(F.col("prediction").isNotNull()).select(correct.alias("correct")).groupBy("correct")
             .agg(F.count(F.lit(1)).alias("count")))
 
 
 def feature_columns(df: DataFrame, vector_col: str, names=FEATURES, digits: int = 6) -> DataFrame:
     """Vector column back to one named column per feature, rounded."""
-    arr = vector_to_array(F.col(vector_col))
+    arr = vector_values(vector_col)
     return df.select(*PAIR_KEYS, *[F.round(arr[i], digits).alias(n) for i, n in enumerate(names)])
 
 
 class Flow(NamedTuple):
-    """Results of the A5 + A6 flow: fitted model, filled tables, scores."""
+    """Results of the A5 + A6 flow: fitted model, filled tables, scores
+    and the one-row count of training rows that were not fitted."""
     model: PipelineModel
     train: DataFrame
     test: DataFrame
     scores: DataFrame
+    skipped: DataFrame
 
 
 def repeat_buyer_flow(log: DataFrame, users: DataFrame, train_pairs: DataFrame,
@@ -162,19 +195,20 @@ def repeat_buyer_flow(log: DataFrame, users: DataFrame, train_pairs: DataFrame,
     tagged and joined with that table, and with the users, in ONE pass:
     the per-pair feature table (nearly as large as the log) is shuffled
     once instead of once per pair set.  The joined, pair-sized table is
-    checkpointed to the shared checkpoint folder and split for the two
-    fills, so a lost executor re-reads it instead of re-running the log
-    aggregation.  ``order_cols`` is the fill order: the pair key by
-    default, or ``files.FILE_ORDER`` from ``read_table(..., row_order=True)``.
+    numbered in fill order, set by set, and written once to the shared
+    checkpoint folder; both fills read it from there, and a lost executor
+    re-reads it instead of re-running the log aggregation.  ``order_cols``
+    is the fill order: the pair key by default, or ``files.FILE_ORDER``
+    from ``read_table(..., row_order=True)``.
     """
-    ensure_checkpoint_dir(log.sparkSession)
     both = (train_pairs.withColumn(_SET, F.lit(0))
             .unionByName(test_pairs.withColumn(_SET, F.lit(1)), allowMissingColumns=True))
-    table = feature_table(both, users, behaviour_features(log)).checkpoint(eager=True)
-    train = fill_train(table.filter(F.col(_SET) == 0).drop(_SET, "prob"), order_cols)
-    test = fill_test(table.filter(F.col(_SET) == 1).drop(_SET, "label"), order_cols)
+    table = tag_ranges(feature_table(both, users, behaviour_features(log)), (_SET, *order_cols))
+    train = fill_tagged(table.filter(F.col(_SET) == 0).drop(_SET, "prob"), FEATURES, ("forward",))
+    test = _never_null(fill_tagged(table.filter(F.col(_SET) == 1).drop(_SET, "label"), FEATURES,
+                                   ("backward", "forward")))
     model = fit(train, max_iter)
-    return Flow(model, train, test, score(model, test, scaler))
+    return Flow(model, train, test, score(model, test, scaler), skipped_rows(train))
 
 
 def repeat_buyer_scores(log: DataFrame, users: DataFrame, train_pairs: DataFrame,

@@ -11,20 +11,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promoscope.functions.text import ranked_line
+from promoscope.functions.vectors import vector_values
 from promoscope.operators import demographics as demo
 from promoscope.operators import features as feat
 from promoscope.operators import filters as flt
 from promoscope.operators import popularity as pop
 from promoscope.operators import scoring
 from promoscope.plans import oracle as sql
-from promoscope.schemas import FEATURES, LOG_COLUMNS, PROMO_DAY, TOP_K
+from promoscope.schemas import FEATURES, LOG_COLUMNS, PROMO_DAY, TEXT_CODED_LOG, TOP_K
+from promoscope.session import scratch_folder
+from promoscope.sources import sinks
 from promoscope.sources.driver_tables import Tables
-from promoscope.sources.files import lines_of, parse_log_lines, parse_user_lines
+from promoscope.sources.files import lines_of, parse_log_lines, parse_user_lines, read_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +46,9 @@ def register(name: str, oracle: str | None = None):
 
 
 DAY = PROMO_DAY
+# A wide window, in which more items and merchants compete than k.
+NOVEMBER = (1101, 1130)
+FEW = 10
 
 # Log columns each family of queries reads; asking only for these keeps
 # the part table (category, brand) out of plans that do not use it.
@@ -51,7 +56,7 @@ ITEM_COLS = ("user_id", "item_id", "time_stamp", "action_type")
 MERCHANT_COLS = ("user_id", "item_id", "seller_id", "time_stamp", "action_type")
 BASE = sql.with_ctes(*sql.BASE)
 WITH_PAIRS = sql.with_ctes(*sql.BASE, sql.PAIRS)
-WITH_FEATS = sql.with_ctes(*sql.BASE, sql.PAIRS, sql.FEATS)
+WITH_TWICE = sql.with_ctes(*sql.BASE, sql.USER_INFO_TWICE)
 
 # ---------------------------------------------------------------- sources
 register("user_log_scan", BASE + "SELECT * FROM user_log")(
@@ -70,6 +75,8 @@ register("promo_non_click",
 register("promo_purchases",
          BASE + f"SELECT * FROM user_log WHERE time_stamp = {DAY} AND action_type = 2")(
     lambda spark, d: flt.promo_purchases(Tables(spark, d).user_log(), DAY))
+register("user_info_twice_scan", WITH_TWICE + "SELECT * FROM user_info_twice")(
+    lambda spark, d: Tables(spark, d).user_info_twice())
 register("young_users", BASE + "SELECT * FROM user_info WHERE age_range IN (1, 2, 3)")(
     lambda spark, d: flt.young_users(Tables(spark, d).user_info()))
 register("known_gender", BASE + "SELECT * FROM user_info WHERE gender IN (0, 1)")(
@@ -111,8 +118,20 @@ register("top_items_raw_counts",
     lambda spark, d: pop.item_counts(Tables(spark, d).user_log(ITEM_COLS), DAY, dedup=False))
 
 
+_ITEMS_NOVEMBER = (f"SELECT item_id, count(*) AS number FROM ("
+                   f"SELECT DISTINCT user_id, item_id, action_type FROM user_log "
+                   f"WHERE time_stamp BETWEEN {NOVEMBER[0]} AND {NOVEMBER[1]} AND action_type <> 0) "
+                   f"GROUP BY item_id ORDER BY number DESC, item_id LIMIT {TOP_K}")
+register("top_items_november", BASE + _ITEMS_NOVEMBER)(
+    lambda spark, d: pop.top_items(Tables(spark, d).user_log(ITEM_COLS), *NOVEMBER))
+
+
+def _ranked_top_items(spark: SparkSession, d: str) -> DataFrame:
+    return pop.top_items(Tables(spark, d).user_log(ITEM_COLS), DAY, with_rank=True)
+
+
 def _ranked_lines(spark: SparkSession, d: str) -> DataFrame:
-    top = pop.top_items(Tables(spark, d).user_log(ITEM_COLS), DAY, with_rank=True)
+    top = _ranked_top_items(spark, d)
     return top.select(ranked_line("rank", "item_id", "number").alias("line"))
 
 
@@ -121,6 +140,23 @@ register("ranked_lines",
          + "SELECT CAST(rank AS VARCHAR) || chr(9) || CAST(item_id AS VARCHAR) || ', ' "
            "|| CAST(number AS VARCHAR) AS line FROM ranked")(_ranked_lines)
 
+
+def _ranked_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_folder(spark, "ranked-csv")
+    sinks.write_ranked_csv(_ranked_top_items(spark, d), path, "item_id")
+    return (spark.read.option("header", True).schema("item_id long, Number long").csv(path)
+            .withColumnRenamed("Number", "number"))
+
+
+def _ranked_text_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_folder(spark, "ranked-text")
+    sinks.write_ranked_text(_ranked_top_items(spark, d), path, "item_id")
+    return read_lines(spark, path).withColumnRenamed("value", "line")
+
+
+register("ranked_csv_roundtrip", ORACLES["top_items"])(_ranked_csv_roundtrip)
+register("ranked_text_roundtrip", ORACLES["ranked_lines"])(_ranked_text_roundtrip)
+
 # ---------------------------------------------------------------- A2 merchants
 _YOUNG_DEDUP = (f"SELECT DISTINCT user_id, item_id, seller_id, action_type FROM user_log "
                 f"WHERE time_stamp = {DAY} AND action_type <> 0")
@@ -144,6 +180,29 @@ register("top_merchants_young",
     lambda spark, d: pop.top_merchants(Tables(spark, d).user_log(MERCHANT_COLS), Tables(spark, d).user_info(),
                                        DAY))
 
+
+def _merchants_twice(join: str) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        t = Tables(spark, d)
+        return pop.merchant_counts(t.user_log(MERCHANT_COLS), t.user_info_twice(), *NOVEMBER, join=join)
+    return run
+
+
+_NOVEMBER_DEDUP = _YOUNG_DEDUP.replace(f"time_stamp = {DAY}",
+                                       f"time_stamp BETWEEN {NOVEMBER[0]} AND {NOVEMBER[1]}")
+_NOVEMBER_SEMI = _MERCHANTS_SEMI.replace(_YOUNG_DEDUP, _NOVEMBER_DEDUP)
+# Users listed twice: the semi join counts their rows once, the inner join twice.
+register("merchants_twice_semi", BASE + _NOVEMBER_SEMI)(_merchants_twice("semi"))
+register("merchants_twice_inner",
+         WITH_TWICE + f"SELECT k.seller_id AS merchant_id, count(*) AS number FROM ({_NOVEMBER_DEDUP}) k "
+                      f"JOIN user_info_twice u ON k.user_id = u.user_id "
+                      f"WHERE u.age_range IN (1, 2, 3) GROUP BY k.seller_id")(_merchants_twice("inner"))
+register("top_merchants_november_10",
+         BASE + f"SELECT CAST(row_number() OVER (ORDER BY number DESC, merchant_id) AS INTEGER) AS rank, "
+                f"merchant_id, number FROM ({_NOVEMBER_SEMI}) ORDER BY number DESC, merchant_id LIMIT {FEW}")(
+    lambda spark, d: pop.top_merchants(Tables(spark, d).user_log(MERCHANT_COLS),
+                                       Tables(spark, d).user_info(), *NOVEMBER, k=FEW))
+
 # ---------------------------------------------------------------- A3 / A4 demographics
 _BUYERS = (f"buyers AS (SELECT * FROM user_info WHERE user_id IN "
            f"(SELECT user_id FROM user_log WHERE time_stamp = {DAY} AND action_type = 2))")
@@ -178,6 +237,21 @@ def _buyers_one_per_user(spark: SparkSession, d: str) -> DataFrame:
 register("buyers_one_per_user",
          WITH_BUYERS + "SELECT user_id, min(age_range) AS age_range, min(gender) AS gender "
                        "FROM buyers GROUP BY user_id")(_buyers_one_per_user)
+
+
+def _buyers_twice(one_row_per_user: bool) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        t = Tables(spark, d)
+        return demo.buyers(t.user_log(("user_id", "time_stamp", "action_type")), t.user_info_twice(),
+                           *NOVEMBER, one_row_per_user=one_row_per_user)
+    return run
+
+
+_BUYERS_TWICE = (f"b AS (SELECT * FROM user_info_twice WHERE user_id IN (SELECT user_id FROM user_log "
+                 f"WHERE time_stamp BETWEEN {NOVEMBER[0]} AND {NOVEMBER[1]} AND action_type = 2))")
+_WITH_BUYERS_TWICE = sql.with_ctes(*sql.BASE, sql.USER_INFO_TWICE, _BUYERS_TWICE)
+register("buyers_twice", _WITH_BUYERS_TWICE + "SELECT * FROM b")(_buyers_twice(False))
+register("buyers_twice_one_per_user", _WITH_BUYERS_TWICE + "SELECT DISTINCT * FROM b")(_buyers_twice(True))
 register("buyers_by_gender",
          WITH_BUYERS + "SELECT gender, count(*) AS count FROM buyers WHERE gender IN (0, 1) "
                        "GROUP BY gender")(
@@ -235,16 +309,18 @@ register("demographics_clean", sql.with_ctes(*sql.BASE, sql.FEATS) + "SELECT * F
 
 def _train_features(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    return feat.feature_table(t.train_pairs(), t.user_info(), feat.behaviour_features(t.user_log()))
+    return feat.feature_table(t.train_pairs(), t.user_info(),
+                              feat.behaviour_features(t.log_before_split()))
 
 
 def _test_features(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    return feat.feature_table(t.test_pairs(), t.user_info(), feat.behaviour_features(t.user_log()))
+    return feat.feature_table(t.test_pairs(), t.user_info(),
+                              feat.behaviour_features(t.log_before_split()))
 
 
-WITH_TRAIN_FEATURES = sql.with_ctes(*sql.BASE, sql.PAIRS, sql.FEATS, sql.TRAIN_FEATURES)
-WITH_TEST_FEATURES = sql.with_ctes(*sql.BASE, sql.PAIRS, sql.FEATS, sql.TEST_FEATURES)
+WITH_TRAIN_FEATURES = sql.with_ctes(*sql.BASE, sql.PAIRS, sql.EARLY_FEATS, sql.TRAIN_FEATURES)
+WITH_TEST_FEATURES = sql.with_ctes(*sql.BASE, sql.PAIRS, sql.EARLY_FEATS, sql.TEST_FEATURES)
 register("train_features", WITH_TRAIN_FEATURES + "SELECT * FROM train_features")(_train_features)
 register("test_features", WITH_TEST_FEATURES + "SELECT * FROM test_features")(_test_features)
 
@@ -259,11 +335,11 @@ def _test_filled(spark: SparkSession, d: str) -> DataFrame:
     return scoring.fill_test(_test_features(spark, d))
 
 
-WITH_TRAIN_FILLED = sql.with_ctes(*sql.BASE, sql.PAIRS, sql.FEATS, sql.TRAIN_FEATURES,
+WITH_TRAIN_FILLED = sql.with_ctes(*sql.BASE, sql.PAIRS, sql.EARLY_FEATS, sql.TRAIN_FEATURES,
                                   sql.TRAIN_FILLED)
 register("train_filled", WITH_TRAIN_FILLED + "SELECT * FROM train_filled")(_train_filled)
 register("test_filled",
-         sql.with_ctes(*sql.BASE, sql.PAIRS, sql.FEATS, sql.TEST_FEATURES, sql.TEST_FILLED)
+         sql.with_ctes(*sql.BASE, sql.PAIRS, sql.EARLY_FEATS, sql.TEST_FEATURES, sql.TEST_FILLED)
          + "SELECT * FROM test_filled")(_test_filled)
 
 register("train_skipped_rows",
@@ -289,19 +365,31 @@ register("class_weights",
     lambda spark, d: scoring.with_class_weights(Tables(spark, d).train_pairs()))
 
 
+register("fit_weights",
+         WITH_TRAIN_FILLED.rstrip() + ", c AS (SELECT * FROM train_filled WHERE "
+         + " AND ".join(f"{c} IS NOT NULL" for c in sql.FEATURE_NAMES)
+         + "), b AS (SELECT CAST(count(*) - count(*) FILTER (WHERE label = 1) AS DOUBLE) / count(*) AS r "
+           "FROM c) SELECT user_id, merchant_id, label, "
+           "CASE WHEN label = 1 THEN r ELSE 1 - r END AS classWeights FROM c, b")(
+    lambda spark, d: scoring.fit_weights(_train_filled(spark, d)).select(
+        "user_id", "merchant_id", "label", "classWeights"))
+
+
+# The rows a model is fitted on: those without a NULL feature.
 def _assembled(spark: SparkSession, d: str) -> DataFrame:
-    model_input = scoring.scoring_pipeline().getStages()[0].transform(_train_filled(spark, d))
+    model_input = scoring.scoring_pipeline().getStages()[0].transform(
+        scoring.complete_rows(_train_filled(spark, d)))
     return scoring.feature_columns(model_input, "features")
 
 
 def _scaled(spark: SparkSession, d: str) -> DataFrame:
     stages = scoring.scoring_pipeline().getStages()
-    assembled = stages[0].transform(_train_filled(spark, d))
+    assembled = stages[0].transform(scoring.complete_rows(_train_filled(spark, d)))
     scaled = stages[1].fit(assembled).transform(assembled)
     return scoring.feature_columns(scaled, "Scaled_features")
 
 
-WITH_ASSEMBLED = sql.with_ctes(*sql.BASE, sql.PAIRS, sql.FEATS, sql.TRAIN_FEATURES,
+WITH_ASSEMBLED = sql.with_ctes(*sql.BASE, sql.PAIRS, sql.EARLY_FEATS, sql.TRAIN_FEATURES,
                                sql.TRAIN_FILLED, sql.ASSEMBLED)
 register("assembled_features",
          WITH_ASSEMBLED + "SELECT user_id, merchant_id, "
@@ -314,54 +402,78 @@ register("scaled_features",
              f"round(CASE WHEN s.{c} = 0 OR s.{c} IS NULL THEN 0.0 ELSE a.{c} * (1.0 / s.{c}) END,"
              f" 6) AS {c}" for c in sql.FEATURE_NAMES) + " FROM assembled a, s")(_scaled)
 
-# ---------------------------------------------------------------- raw text lines
 
 
-def _raw_log_parse(spark: SparkSession, d: str) -> DataFrame:
-    lines = lines_of(Tables(spark, d).user_log(), LOG_COLUMNS)
-    parsed = parse_log_lines(lines)
-    return flt.promo_non_click(parsed, DAY).select(
-        "user_id", "item_id", "seller_id", "time_stamp", "action_type")
+def _test_scaled_refit(spark: SparkSession, d: str) -> DataFrame:
+    assembler, scaler, _ = scoring.scoring_pipeline().getStages()
+    assembled = assembler.transform(_test_filled(spark, d))
+    return scoring.feature_columns(scoring.refit_scaler(scaler, assembled).transform(assembled),
+                                   "Scaled_features")
 
 
-register("raw_log_parse",
-         BASE + "SELECT user_id, item_id, seller_id, time_stamp, action_type FROM ("
-                "SELECT TRY_CAST(NULLIF(split_part(v, ',', 1), '') AS BIGINT) AS user_id, "
-                "TRY_CAST(NULLIF(split_part(v, ',', 2), '') AS BIGINT) AS item_id, "
-                "TRY_CAST(NULLIF(split_part(v, ',', 4), '') AS BIGINT) AS seller_id, "
-                "TRY_CAST(NULLIF(split_part(v, ',', 6), '') AS INTEGER) AS time_stamp, "
-                "TRY_CAST(NULLIF(split_part(v, ',', 7), '') AS INTEGER) AS action_type "
-                "FROM (SELECT concat_ws(',', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), "
-                "coalesce(cat_id, ''), CAST(seller_id AS VARCHAR), coalesce(brand_id, ''), "
-                "CAST(time_stamp AS VARCHAR), CAST(action_type AS VARCHAR)) AS v FROM user_log)) "
-                f"WHERE time_stamp = {DAY} AND action_type <> 0")(_raw_log_parse)
+_WITH_TEST_FILLED = sql.with_ctes(*sql.BASE, sql.PAIRS, sql.EARLY_FEATS, sql.TEST_FEATURES, sql.TEST_FILLED)
+register("test_scaled_refit",
+         _WITH_TEST_FILLED.rstrip() + ", s AS (SELECT " + ", ".join(
+             f"stddev_samp({c}) AS {c}" for c in sql.FEATURE_NAMES) + " FROM test_filled) "
+         + "SELECT a.user_id, a.merchant_id, " + ", ".join(
+             f"round(CASE WHEN s.{c} = 0 OR s.{c} IS NULL THEN 0.0 ELSE a.{c} * (1.0 / s.{c}) END,"
+             f" 6) AS {c}" for c in sql.FEATURE_NAMES) + " FROM test_filled a, s")(_test_scaled_refit)
 
+# ---------------------------------------------------------------- raw text lines
+
+
+def _parsed_log(spark: SparkSession, d: str) -> DataFrame:
+    return parse_log_lines(lines_of(Tables(spark, d).user_log(), LOG_COLUMNS), TEXT_CODED_LOG)
 
-def _raw_user_lines(spark: SparkSession, d: str) -> DataFrame:
-    lines = lines_of(Tables(spark, d).user_info(), ("user_id", "age_range", "gender"))
-    return flt.young_users(parse_user_lines(lines, reject_blank_fields=True))
 
+_PARSED_LOG = (
+    "SELECT TRY_CAST(NULLIF(split_part(v, ',', 1), '') AS BIGINT) AS user_id, "
+    "TRY_CAST(NULLIF(split_part(v, ',', 2), '') AS BIGINT) AS item_id, "
+    "NULLIF(split_part(v, ',', 3), '') AS cat_id, "
+    "TRY_CAST(NULLIF(split_part(v, ',', 4), '') AS BIGINT) AS seller_id, "
+    "NULLIF(split_part(v, ',', 5), '') AS brand_id, "
+    "TRY_CAST(NULLIF(split_part(v, ',', 6), '') AS INTEGER) AS time_stamp, "
+    "TRY_CAST(NULLIF(split_part(v, ',', 7), '') AS INTEGER) AS action_type "
+    "FROM (SELECT concat_ws(',', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), "
+    "coalesce(cat_id, ''), CAST(seller_id AS VARCHAR), coalesce(brand_id, ''), "
+    "CAST(time_stamp AS VARCHAR), CAST(action_type AS VARCHAR)) AS v FROM user_log)")
+register("raw_log_parse", BASE + _PARSED_LOG)(_parsed_log)
+register("raw_log_promo",
+         BASE + f"SELECT * FROM ({_PARSED_LOG}) WHERE time_stamp = {DAY} AND action_type <> 0")(
+    lambda spark, d: flt.promo_non_click(_parsed_log(spark, d), DAY))
 
-register("raw_user_lines",
-         BASE + "SELECT * FROM (SELECT "
-                "TRY_CAST(NULLIF(split_part(v, ',', 1), '') AS BIGINT) AS user_id, "
-                "TRY_CAST(NULLIF(split_part(v, ',', 2), '') AS INTEGER) AS age_range, "
-                "TRY_CAST(NULLIF(split_part(v, ',', 3), '') AS INTEGER) AS gender "
-                "FROM (SELECT CAST(user_id AS VARCHAR) || ',' || coalesce(CAST(age_range AS VARCHAR), '')"
-                " || ',' || coalesce(CAST(gender AS VARCHAR), '') AS v FROM user_info) "
-                "WHERE NOT contains(v, ',,')) WHERE age_range IN (1, 2, 3)")(_raw_user_lines)
+
+def _parsed_users(spark: SparkSession, d: str, reject_blank_fields: bool) -> DataFrame:
+    lines = lines_of(Tables(spark, d).user_info(), ("user_id", "age_range", "gender"))
+    return parse_user_lines(lines, reject_blank_fields)
+
+
+_USER_LINES = (
+    "SELECT CAST(user_id AS VARCHAR) || ',' || coalesce(CAST(age_range AS VARCHAR), '')"
+    " || ',' || coalesce(CAST(gender AS VARCHAR), '') AS v FROM user_info")
+_PARSED_USERS = (
+    "SELECT TRY_CAST(NULLIF(split_part(v, ',', 1), '') AS BIGINT) AS user_id, "
+    "TRY_CAST(NULLIF(split_part(v, ',', 2), '') AS INTEGER) AS age_range, "
+    "TRY_CAST(NULLIF(split_part(v, ',', 3), '') AS INTEGER) AS gender "
+    f"FROM ({_USER_LINES})")
+register("raw_user_lines", BASE + _PARSED_USERS)(lambda spark, d: _parsed_users(spark, d, False))
+register("raw_user_lines_checked", BASE + _PARSED_USERS + " WHERE NOT contains(v, ',,')")(
+    lambda spark, d: _parsed_users(spark, d, True))
+register("raw_young_user_lines",
+         BASE + f"SELECT * FROM ({_PARSED_USERS} WHERE NOT contains(v, ',,')) WHERE age_range IN (1, 2, 3)")(
+    lambda spark, d: flt.young_users(_parsed_users(spark, d, True)))
 
 # ---------------------------------------------------------------- A6 model (rows-only checks)
 
 
 def _train_scored(spark: SparkSession, d: str) -> DataFrame:
     filled = _train_filled(spark, d)
-    return scoring.transform(scoring.fit(filled), scoring.with_class_weights(filled))
+    return scoring.transform(scoring.fit(filled), filled)
 
 
 def _train_scores(spark: SparkSession, d: str) -> DataFrame:
     scored = _train_scored(spark, d)
-    prob = vector_to_array(F.col("probability"))[1].cast("float")
+    prob = vector_values("probability")[1].cast("float")
     return scored.select("user_id", "merchant_id", "label", "prediction", prob.alias("prob"))
 
 
@@ -372,7 +484,7 @@ register("train_accuracy")(lambda spark, d: scoring.accuracy_table(_train_scored
 def _test_scores(scaler: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         t = Tables(spark, d)
-        return scoring.repeat_buyer_scores(t.user_log(), t.user_info(), t.train_pairs(),
+        return scoring.repeat_buyer_scores(t.log_before_split(), t.user_info(), t.train_pairs(),
                                            t.test_pairs(), scaler=scaler)
     return run
 
@@ -380,5 +492,76 @@ def _test_scores(scaler: str) -> Query:
 register("test_scores")(_test_scores("train"))
 register("test_scores_refit")(_test_scores("refit"))
 
+# What SQL can state about the scored rows: how many there are, how many
+# have no score, and that no score breaks a rule.
+_INCOMPLETE = " OR ".join(f"{c} IS NULL" for c in sql.FEATURE_NAMES)
+_NONE = "CAST(0 AS BIGINT)"
+
+
+def _train_score_check(spark: SparkSession, d: str) -> DataFrame:
+    p = vector_values("probability")
+    return _train_scored(spark, d).select("prediction", p[0].alias("p0"), p[1].alias("p1")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("p1").isNull()).alias("unscored"),
+        F.count_if(~F.col("p1").between(0, 1) | (F.abs(F.col("p0") + F.col("p1") - 1) > 1e-9))
+        .alias("bad_probability"),
+        F.count_if((F.col("p1") > 0.5) != (F.col("prediction") == 1)).alias("bad_prediction"),
+        F.count_if(F.col("p1").isNull() != F.col("prediction").isNull()).alias("half_scored"))
+
+
+register("train_score_check",
+         WITH_TRAIN_FILLED + f"SELECT count(*) AS n_rows, count(*) FILTER (WHERE {_INCOMPLETE}) AS unscored, "
+                             f"{_NONE} AS bad_probability, {_NONE} AS bad_prediction, {_NONE} AS half_scored "
+                             "FROM train_filled")(_train_score_check)
+# Right and wrong predictions together are the scored rows.
+register("train_accuracy_check",
+         WITH_TRAIN_FILLED + f"SELECT count(*) FILTER (WHERE NOT ({_INCOMPLETE})) AS counted, "
+                             f"{_NONE} AS other_rows FROM train_filled")(
+    lambda spark, d: scoring.accuracy_table(_train_scored(spark, d)).agg(
+        F.sum("count").alias("counted"), F.count_if(~F.col("correct").isin(0, 1)).alias("other_rows")))
+
+
+def _score_check(scores: DataFrame) -> DataFrame:
+    return scores.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("prob").isNull()).alias("unscored"),
+        F.count_if(~F.col("prob").between(0, 1)).alias("bad_probability"),
+        F.sum("user_id").alias("users"), F.sum("merchant_id").alias("merchants"))
+
+
+_TEST_CHECK = (WITH_PAIRS + f"SELECT count(*) AS n_rows, {_NONE} AS unscored, {_NONE} AS bad_probability, "
+                            "CAST(sum(user_id) AS BIGINT) AS users, "
+                            "CAST(sum(merchant_id) AS BIGINT) AS merchants FROM test")
+register("test_score_check", _TEST_CHECK)(
+    lambda spark, d: _score_check(_test_scores("train")(spark, d)))
+register("test_score_refit_check", _TEST_CHECK)(
+    lambda spark, d: _score_check(_test_scores("refit")(spark, d)))
+
+
+def _scores_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_folder(spark, "scores-csv")
+    sinks.write_scores(_test_scores("train")(spark, d), path)
+    return _score_check(spark.read.option("header", True).schema(
+        "user_id long, merchant_id long, prob float").csv(path))
+
+
+register("scores_csv_roundtrip", _TEST_CHECK)(_scores_csv_roundtrip)
+
+
+def _train_scores_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_folder(spark, "train-scores-csv")
+    sinks.write_train_scores(_train_scored(spark, d), path)
+    back = spark.read.option("header", True).option("quote", '"').option("escape", "\\").csv(path)
+    size = F.size(F.from_json("features", "array<double>"))
+    return back.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("label").cast("long")).alias("ones"),
+        F.count_if(F.col("prediction").isNull()).alias("unscored"),
+        F.count_if(size == len(FEATURES)).alias("with_features"))
+
+
+register("train_scores_roundtrip",
+         WITH_TRAIN_FILLED + "SELECT count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS ones, "
+                             f"count(*) FILTER (WHERE {_INCOMPLETE}) AS unscored, "
+                             f"count(*) FILTER (WHERE NOT ({_INCOMPLETE})) AS with_features "
+                             "FROM train_filled")(_train_scores_roundtrip)
+
 assert all(name in QUERIES for name in ORACLES)
 __all__ = ["QUERIES", "ORACLES", "FEATURES"]

@@ -16,7 +16,8 @@ user_log AS (
          CAST(CASE WHEN l_returnflag = 'A' THEN 1 WHEN l_returnflag = 'R' THEN 3
                    WHEN l_linestatus = 'O' THEN 2 ELSE 0 END AS INTEGER) AS action_type
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-       LEFT JOIN part ON l_partkey = p_partkey)"""
+       LEFT JOIN part ON l_partkey = p_partkey
+       JOIN (VALUES (1), (2)) AS copies(copy) ON copy = 1 OR l_linenumber = 5)"""
 
 USER_INFO = """
 user_info AS (
@@ -25,16 +26,24 @@ user_info AS (
          CAST(CASE WHEN c_custkey % 4 = 3 THEN NULL ELSE c_custkey % 4 END AS INTEGER) AS gender
   FROM customer)"""
 
+USER_INFO_TWICE = """
+user_info_twice AS (
+  SELECT * FROM user_info UNION ALL SELECT * FROM user_info WHERE user_id % 7 = 0)"""
+
 PAIRS = """
+later AS (
+  SELECT user_id, seller_id % 10 AS class, count(*) AS n
+  FROM user_log WHERE action_type = 2 AND time_stamp >= 701 GROUP BY user_id, seller_id % 10),
 pairs AS (
-  SELECT user_id, seller_id AS merchant_id,
-         CAST(CASE WHEN count(DISTINCT time_stamp) >= 2 THEN 1 ELSE 0 END AS INTEGER) AS label,
-         min(time_stamp) AS first_day
-  FROM user_log WHERE action_type = 2 GROUP BY user_id, seller_id),
-train AS (SELECT user_id, merchant_id, label FROM pairs WHERE first_day < 701),
-test AS (SELECT user_id, merchant_id, CAST(NULL AS DOUBLE) AS prob FROM pairs WHERE first_day >= 701)"""
-
-FEATS = """
+  SELECT p.user_id, p.merchant_id,
+         CAST(CASE WHEN coalesce(n, 0) >= 2 THEN 1 ELSE 0 END AS INTEGER) AS label
+  FROM (SELECT DISTINCT user_id, seller_id AS merchant_id FROM user_log
+        WHERE action_type = 2 AND time_stamp BETWEEN 601 AND 831) p
+       LEFT JOIN later l ON p.user_id = l.user_id AND p.merchant_id % 10 = l.class),
+train AS (SELECT * FROM pairs WHERE user_id % 2 = 0),
+test AS (SELECT user_id, merchant_id, CAST(NULL AS DOUBLE) AS prob FROM pairs WHERE user_id % 2 = 1)"""
+
+_FEATS = """
 feats AS (
   SELECT user_id, seller_id AS merchant_id,
          count(item_id) AS total_logs,
@@ -45,11 +54,15 @@ feats AS (
          count(CASE WHEN action_type = 1 THEN item_id END) AS shopping_carts,
          count(CASE WHEN action_type = 2 THEN item_id END) AS purchase_times,
          count(CASE WHEN action_type = 3 THEN item_id END) AS favourite_times
-  FROM user_log GROUP BY user_id, seller_id),
+  FROM user_log WHERE {where} GROUP BY user_id, seller_id),
 demo AS (
   SELECT user_id, nullif(age_range, 0) AS age_range, nullif(gender, 2) AS gender
   FROM user_info)"""
 
+FEATS = _FEATS.format(where="true")
+# Features of the pairs: from the log before the split day.
+EARLY_FEATS = _FEATS.format(where="time_stamp < 701")
+
 FEATURE_LIST = ("age_range, gender, total_logs, unique_item_ids, categories, browse_days, "
                 "one_clicks, shopping_carts, purchase_times, favourite_times")
 FEATURE_NAMES = [c.strip() for c in FEATURE_LIST.split(",")]

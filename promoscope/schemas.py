@@ -22,14 +22,19 @@ TOP_K = 100
 USER_LOG = T.StructType([
     T.StructField("user_id", T.LongType()),
     T.StructField("item_id", T.LongType()),
-    T.StructField("cat_id", T.StringType()),
+    T.StructField("cat_id", T.LongType()),
     T.StructField("seller_id", T.LongType()),
-    T.StructField("brand_id", T.StringType()),
+    T.StructField("brand_id", T.LongType()),
     T.StructField("time_stamp", T.IntegerType()),
     T.StructField("action_type", T.IntegerType()),
 ])
 LOG_COLUMNS = tuple(f.name for f in USER_LOG.fields)
 
+# The adapter over the driver tables has category and brand as text.
+TEXT_CODED_LOG = T.StructType([
+    T.StructField(f.name, T.StringType() if f.name in ("cat_id", "brand_id") else f.dataType)
+    for f in USER_LOG.fields])
+
 USER_INFO = T.StructType([
     T.StructField("user_id", T.LongType()),
     T.StructField("age_range", T.IntegerType()),

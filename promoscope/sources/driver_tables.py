@@ -4,16 +4,20 @@ The driver ships TPC-H-like tables, not a shop log.  The views below
 stand in for the four inputs (user log, user info, training pairs, pairs
 to score); FIXTURES.md holds the same text as SQL for the DuckDB oracle.
 
-    user_log   one row per line item: user = order's customer, item = part,
+    user_log   one row per line item, the fifth line of an order twice
+               (a repeated event): user = order's customer, item = part,
                seller = supplier, category/brand = part type/brand,
                time_stamp = month*100 + day of the order date,
                action from return flag / line status
     user_info  one row per customer; codes from the key, with NULLs
-    pairs      (user, merchant) pairs with at least one purchase in the
-               log; label 1 when the purchases fall on two or more days
-               (a repeat buyer).  Train holds the pairs whose first purchase
-               falls before 1 July, test the rest: a time split that keeps
-               every pair exactly once.
+    user_info_twice  the same, every seventh customer listed twice
+    pairs      (user, merchant) pairs with a purchase from 1 June to 31
+               August.  Features come from the log before the split day
+               (1 July), so pairs first seen after it have none.  Label 1:
+               from the split day on the user buys at least twice from
+               merchants of the pair's class (merchant id modulo 10), a
+               rule whose share of ones does not depend on the scale.
+               Users with an even id train, the others are scored.
 
 Every view is lazy and column-pruned: the part table is joined only
 when a category or brand column is asked for (p_partkey is unique, so a
@@ -29,9 +33,13 @@ from pyspark.sql import functions as F
 
 from promoscope.schemas import LOG_COLUMNS, PURCHASE
 
-# Train/test split of the pairs: first purchase before 1 July (mmdd 701)
-# trains, the rest is scored; the two sets hold every pair exactly once.
+# Features before, labels from this day on (mmdd).
 SPLIT_DAY = 701
+PAIR_DAYS = (601, 831)
+MERCHANT_CLASSES = 10
+REPEAT_PURCHASES = 2
+# An order's line of this number is logged twice.
+TWICE_LINE = 5
 
 
 class Tables:
@@ -51,7 +59,9 @@ class Tables:
         if unknown:
             raise ValueError(f"not log columns: {sorted(unknown)}")
         lines = self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+            "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
+            F.explode(F.when(F.col("l_linenumber") == TWICE_LINE, F.array(F.lit(1), F.lit(2)))
+                      .otherwise(F.array(F.lit(1)))).alias("_copy"))
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         log = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
         if {"cat_id", "brand_id"} & set(columns):
@@ -81,29 +91,38 @@ class Tables:
             key.alias("user_id"), age.cast("int").alias("age_range"),
             gender.cast("int").alias("gender"))
 
+    def user_info_twice(self) -> DataFrame:
+        """Users in which every seventh id occurs twice (equal rows)."""
+        users = self.user_info()
+        return users.unionByName(users.where(F.col("user_id") % 7 == 0))
+
     # -- pairs ----------------------------------------------------------------
-    def _pair_days(self) -> DataFrame:
-        """(user, merchant, first and last purchase day) of every purchase pair."""
-        log = self.user_log(("user_id", "seller_id", "time_stamp", "action_type"))
-        bought = log.filter(F.col("action_type") == PURCHASE)
-        return bought.groupBy("user_id", F.col("seller_id").alias("merchant_id")).agg(
-            F.min("time_stamp").alias("_first"), F.max("time_stamp").alias("_last"))
+    def log_before_split(self, columns: Iterable[str] = LOG_COLUMNS) -> DataFrame:
+        """The log that the features of the pairs are taken from."""
+        return self.user_log(columns).where(F.col("time_stamp") < SPLIT_DAY)
 
     def labelled_pairs(self) -> DataFrame:
-        """All purchase pairs with their repeat-buyer label (one aggregation).
-
-        "Two or more distinct purchase days" is min(day) <> max(day): plain
-        aggregates, no distinct-count rewrite and its extra shuffle.
-        """
-        return self._pair_days().select(
+        """All pairs with their label."""
+        log = self.user_log(("user_id", "seller_id", "time_stamp", "action_type"))
+        bought = log.where(F.col("action_type") == PURCHASE)
+        pairs = (bought.where(F.col("time_stamp").between(*PAIR_DAYS))
+                 .select("user_id", F.col("seller_id").alias("merchant_id")).distinct())
+        later = (bought.where(F.col("time_stamp") >= SPLIT_DAY)
+                 .groupBy("user_id", (F.col("seller_id") % MERCHANT_CLASSES).alias("_class"))
+                 .agg(F.count(F.lit(1)).alias("_later")))
+        keyed = pairs.withColumn("_class", F.col("merchant_id") % MERCHANT_CLASSES)
+        return keyed.join(later, ["user_id", "_class"], "left").select(
             "user_id", "merchant_id",
-            F.when(F.col("_first") != F.col("_last"), 1).otherwise(0).cast("int").alias("label"),
-            "_first")
+            (F.coalesce("_later", F.lit(0)) >= REPEAT_PURCHASES).cast("int").alias("label"))
 
     def train_pairs(self) -> DataFrame:
-        """Pairs whose first purchase falls before the split day."""
-        return (self.labelled_pairs().filter(F.col("_first") < SPLIT_DAY)
-                .select("user_id", "merchant_id", "label"))
+        """Labelled pairs of the users with an even id."""
+        return self.labelled_pairs().where(F.col("user_id") % 2 == 0)
+
+    def test_pairs(self) -> DataFrame:
+        """Pairs of the other users, to be scored."""
+        return (self.labelled_pairs().where(F.col("user_id") % 2 == 1)
+                .select("user_id", "merchant_id", F.lit(None).cast("double").alias("prob")))
 
     def register_views(self) -> None:
         """Temp views user_log, user_info, train, test for ``spark.sql``."""
@@ -111,8 +130,3 @@ class Tables:
         self.user_info().createOrReplaceTempView("user_info")
         self.train_pairs().createOrReplaceTempView("train")
         self.test_pairs().createOrReplaceTempView("test")
-
-    def test_pairs(self) -> DataFrame:
-        """Pairs whose first purchase falls on or after the split day."""
-        return (self.labelled_pairs().filter(F.col("_first") >= SPLIT_DAY)
-                .select("user_id", "merchant_id", F.lit(None).cast("double").alias("prob")))

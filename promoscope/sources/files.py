@@ -73,14 +73,14 @@ def _typed(line, index: int, dtype: T.DataType):
     return F.nullif(field(line, index), F.lit("")).try_cast(dtype)
 
 
-def parse_log_lines(lines: DataFrame) -> DataFrame:
+def parse_log_lines(lines: DataFrame, schema: T.StructType = USER_LOG) -> DataFrame:
     """Positional fields of raw log lines to the typed log schema.
 
     A header line or a malformed field yields NULL in that column (never
     an error); callers' predicates then drop it.
     """
     return lines.select(*[
-        _typed("value", i, f.dataType).alias(f.name) for i, f in enumerate(USER_LOG.fields)])
+        _typed("value", i, f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
 
 
 def parse_user_lines(lines: DataFrame, reject_blank_fields: bool = True) -> DataFrame:

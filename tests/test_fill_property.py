@@ -41,9 +41,9 @@ def test_fill_matches_pandas(spark, case):
        st.integers(min_value=1, max_value=10))
 def test_top_items_matches_pandas(spark, events, k):
     from promoscope.operators.popularity import top_items
-    from promoscope.schemas import USER_LOG
+    from promoscope.schemas import TEXT_CODED_LOG
     rows = [(u, i, "c", 1, "b", 1111, a) for u, i, a in events]
-    got = [tuple(r) for r in top_items(spark.createDataFrame(rows, USER_LOG), 1111, k=k).collect()]
+    got = [tuple(r) for r in top_items(spark.createDataFrame(rows, TEXT_CODED_LOG), 1111, k=k).collect()]
     pdf = pd.DataFrame(events, columns=["u", "i", "a"]).drop_duplicates()
     c = pdf.groupby("i").size().reset_index(name="n").sort_values(["n", "i"], ascending=[False, True])
     assert got == [tuple(x) for x in c.head(k).itertuples(index=False)]

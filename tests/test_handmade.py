@@ -10,14 +10,14 @@ from promoscope.operators import demographics as demo
 from promoscope.operators import features as feat
 from promoscope.operators import fill
 from promoscope.operators import popularity as pop
-from promoscope.schemas import USER_INFO, USER_LOG
+from promoscope.schemas import TEXT_CODED_LOG, USER_INFO
 
 DAY = 1111
 
 
 def log_df(spark, rows):
     # (user, item, cat, seller, brand, day, action)
-    return spark.createDataFrame(rows, USER_LOG)
+    return spark.createDataFrame(rows, TEXT_CODED_LOG)
 
 
 def users_df(spark, rows):

@@ -20,10 +20,10 @@ def _write(path, text):
 def test_csv_reader_permissive(spark, tmp_out):
     p = os.path.join(tmp_out, "log.csv")
     _write(p, "user_id,item_id,cat_id,seller_id,brand_id,time_stamp,action_type\n"
-              "1,10,c,7,b,1111,2\n"
-              "2,11,c,8\n"          # short line
-              "3,12,c,9,b,1111,\n"  # blank action
-              "4,x,c,9,b,1111,1\n")  # unparsable item
+              "1,10,3,7,5,1111,2\n"
+              "2,11,3,8\n"          # short line
+              "3,12,3,9,5,1111,\n"  # blank action
+              "4,x,3,9,5,1111,1\n")  # unparsable item
     df = files.read_table(spark, "user_log", p)
     rows = {r.user_id: r for r in df.collect()}
     assert len(rows) == 4  # header skipped
@@ -120,3 +120,16 @@ def test_fill_follows_row_order_across_files(spark, tmp_out):
     got = ordered_fill(df, list(files.FILE_ORDER), ["v"], ("forward",), num_ranges=3)
     by_user = {r.user_id: r.v for r in got.collect()}
     assert by_user == {8: 8, 3: 8, 6: 8, 1: 1, 4: 1, 2: 1, 7: 1, 5: 1}
+
+
+def test_integer_coded_logs_give_equal_features(spark, tmp_out):
+    from promoscope.operators.features import behaviour_features
+    log = Tables(spark, SF_SMALL).user_log()
+    coded = log.withColumn("cat_id", F.abs(F.xxhash64("cat_id")) % 1000).withColumn(
+        "brand_id", F.abs(F.xxhash64("brand_id")) % 1000)
+    coded.write.parquet(f"{tmp_out}/parquet")
+    coded.write.option("header", True).csv(f"{tmp_out}/csv")
+    a, b = (sorted(behaviour_features(files.read_table(spark, "user_log", f"{tmp_out}/{f}", fmt=f)).collect())
+            for f in ("parquet", "csv"))
+    assert a == b and all(r.categories > 0 for r in a)
+    assert a == sorted(behaviour_features(coded).collect())

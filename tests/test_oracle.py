@@ -5,9 +5,14 @@ import pytest
 from conftest import SF_CHECK
 from oracle_compare import compare, duck
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import queries
+from promoscope.plans.catalog import ORACLES
 
-NAMES = sorted(oracle_sql())
+NAMES = sorted(ORACLES)
+
+
+def oracle_sql():
+    return ORACLES
 
 
 @pytest.fixture(scope="module")

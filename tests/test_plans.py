@@ -4,11 +4,17 @@ import pytest
 
 from conftest import SF_SMALL
 
-from __spark_entry__ import queries
+from promoscope.plans.catalog import QUERIES
 from promoscope.sources.driver_tables import Tables
 
+# Queries that fit a model or write files before they return.
 ROWS_ONLY_ML = {"train_scores", "train_accuracy", "test_scores", "test_scores_refit",
-                "assembled_features", "scaled_features"}
+                "assembled_features", "scaled_features", "test_scaled_refit"} | {
+    n for n in QUERIES if n.endswith(("_check", "_roundtrip"))}
+
+
+def queries():
+    return QUERIES
 
 
 def plan_of(df) -> str:
@@ -77,16 +83,25 @@ def test_popularity_and_buyer_plans_skip_part_table(spark, name):
     assert "part.parquet" not in formatted(queries()[name](spark, SF_SMALL))
 
 
-def test_merchant_dedup_reuses_semi_join_partitioning(spark):
+def test_merchant_dedup_has_a_shuffle_of_its_own(spark):
     # Broadcast off: the shape a cluster gets when user_info is large.
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = formatted(queries()["merchants_young_semi"](spark, SF_SMALL))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # Exchanges: lineitem + orders (log join), log + users (semi join),
-    # partial counts by seller.  No separate shuffle for the dedup.
-    assert plan.count("Arguments: hashpartitioning(") == 5, plan
+    # Exchanges: lineitem + orders (log join), log + users (semi join), the
+    # four dedup keys, partial counts by seller.
+    assert plan.count("Arguments: hashpartitioning(") == 6, plan
+
+
+def test_fill_plan_has_no_sort_aggregate_and_no_hash_of_ranges(spark):
+    plan = formatted(queries()["test_filled"](spark, SF_SMALL))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert "rangepartitioning(_fill_range" in plan
+    hashed = [ln for ln in plan.splitlines()
+              if ln.startswith("Arguments: hashpartitioning(_fill_range") and "REPARTITION" in ln]
+    assert not hashed
 
 
 UNUSED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
@@ -96,8 +111,7 @@ UNUSED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
 @pytest.mark.parametrize("name", sorted(set(queries()) - ROWS_ONLY_ML))
 def test_scans_read_only_used_columns(spark, name):
     plan = formatted(queries()[name](spark, SF_SMALL))
-    # Queries that checkpoint (the fills) read their scan in the checkpoint
-    # job; their final plan starts from the checkpoint and has no ReadSchema.
+    # Queries that write a table first (the fills) scan the log in that job.
     schemas = [ln for ln in plan.splitlines() if ln.startswith("ReadSchema")]
     for ln in schemas:
         for col in UNUSED:

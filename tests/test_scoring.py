@@ -22,6 +22,25 @@ def test_class_weights_exact(spark):
     assert b.balancing_ratio == pytest.approx(0.8)
 
 
+def test_weights_of_the_fit_leave_incomplete_rows_out(spark):
+    names = ", ".join(f"{c} int" for c in scoring.FEATURES)
+    rows = [(i, 1, i % 2, *[i] * 10) for i in range(4)] + [(9, 1, 1, None, *[0] * 9)] * 3
+    df = spark.createDataFrame(rows, f"user_id int, merchant_id int, label int, {names}")
+    weights = scoring.fit_weights(df).collect()
+    assert len(weights) == 4 and {r.classWeights for r in weights} == {0.5}
+
+
+def test_label_is_not_a_function_of_the_features(spark):
+    # Shares of ones alike at different scales, pairs without features.
+    from promoscope.sources.driver_tables import Tables
+    for d in ("/root/testdata/sf0.001", SF_CHECK, "/root/testdata/sf0.1"):
+        b = scoring.class_balance(Tables(spark, d).train_pairs()).first()
+        assert 20 < b.percent_ones < 60, (d, b)
+    table = queries()["train_features"](spark, SF_CHECK)
+    missing = table.where("total_logs IS NULL").count()
+    assert 0 < missing < table.count()
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     q = queries()
@@ -43,10 +62,12 @@ def test_every_test_pair_scored(scored):
         assert p.notna().all() and (p >= 0).all() and (p <= 1).all()
 
 
-def test_train_rows_skip_only_null_features(scored):
+def test_every_training_row_comes_back(scored):
     filled = scored["train_filled"]
     complete = filled.dropna(subset=list(scoring.FEATURES)).count()
-    assert len(scored["train"]) == complete
+    assert len(scored["train"]) == filled.count() > complete
+    assert int(scored["train"]["prob"].notna().sum()) == complete
+    assert scoring.skipped_rows(filled).first()["skipped"] == filled.count() - complete
     assert int(scored["acc"]["count"].sum()) == complete
     assert set(scored["acc"]["correct"]) <= {0, 1}
 

@@ -87,3 +87,46 @@ def test_features_under_skew(skewed):
     assert len(got) == len(want)
     for c in want.columns:
         assert got[c].astype("int64").tolist() == want[c].astype("int64").tolist(), c
+
+
+@pytest.fixture()
+def stock_session(spark):
+    """No broadcast and low thresholds; nothing that this library sets."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "false"
+    yield spark
+    for k in conf:
+        spark.conf.unset(k)
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _over_several_tasks(log):
+    # A skewed partition is split by the map tasks that wrote it.
+    spread = log.repartition(6, F.xxhash64("user_id", "item_id", "seller_id", "time_stamp"))
+    return spread.checkpoint(eager=True)
+
+
+def test_hot_user_is_split_on_a_stock_session(stock_session, skewed):
+    log, users, _, _ = skewed
+    young = 12  # the hot user of the fixture is not young
+    log = _over_several_tasks(log.withColumn(
+        "user_id", F.when(F.col("user_id") == HOT_USER, young).otherwise(F.col("user_id"))))
+    assert "skew=true" in _final_plan(pop.merchant_counts(log, users, *DAYS))
+    assert "skew=true" in _final_plan(pop.top_merchants(log, users, *DAYS))
+
+
+def test_hot_item_is_split_on_a_stock_session(stock_session, skewed):
+    log, _, pl, _ = skewed
+    parts = Tables(stock_session, SF_CHECK).table("part").select(
+        F.col("p_partkey").alias("item_id"), F.col("p_type").alias("cat_id"))
+    joined = _over_several_tasks(log.drop("cat_id")).join(parts, "item_id", "left")
+    assert "skew=true" in _final_plan(feat.behaviour_features(joined))
