@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,17 @@ def materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def findable(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package from where
+    the driver did, whatever folder they start in.  On a cluster the
+    package is installed or shipped with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def let(value: Column, body) -> Column:
     """``body(x)`` with ``value`` evaluated once per row and bound to x."""
     return F.transform(F.array(value), body)[0]

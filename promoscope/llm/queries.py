@@ -16,9 +16,11 @@ from promoscope.llm import (
     toxicity_cnn,
     warc_captures,
 )
+from promoscope.llm._common import findable
 
 
 def _table(spark, sf_dir, name):
+    findable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
