@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from promoscope.llm import containment, extendible, mix_threshold, rule_cascade, setsketch
 from promoscope.llm import queries as _sql
-from promoscope.llm._common import materialize, scratch_dir
+from promoscope.llm._common import findable, materialize, scratch_dir
 
 #: Short clean texts stay: only texts without words are too short here,
 #: and repetition is judged from 20 words on.
@@ -56,6 +56,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shards of ``documents`` after all stages."""
+    findable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = scratch_dir(spark)
     for i, (name, stage) in enumerate(STAGES):
