@@ -41,7 +41,7 @@ def count_by(df: DataFrame, column: str) -> DataFrame:
 def share_by(df: DataFrame, column: str) -> DataFrame:
     """AGG-4 + AGG-6: (column, count, proportion, percent).
 
-    The total is a window over the grouped rows, whose number is bounded
+    ``column`` must have few distinct values, as the code columns do.  The total is a window over the grouped rows, whose number is bounded
     by the code domain of ``column`` (a handful), so the unpartitioned
     window moves only those few rows to one task.
     """
