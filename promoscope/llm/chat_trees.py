@@ -58,20 +58,24 @@ def branches(messages: DataFrame, folder: str, k: int = 1) -> DataFrame:
             .select("m.tree", "m.node", F.when(F.col("there"), F.col("m.parent")).alias("anc"),
                     F.coalesce("m.score", F.lit(0.0)).cast("double").alias("total"),
                     F.lit(1).cast("long").alias("depth")))
-    steps = [materialize(step, folder, "up0")]
-    open_rows = steps[0].where("anc IS NOT NULL").count()
+    first = materialize(step, folder, "up0")
+    is_open = F.col("anc").isNotNull()
+    steps, done = [first.where(is_open)], first.where(~is_open)
+    open_rows = steps[0].count()
     while open_rows and len(steps) < MAX_ROUNDS:
+        # Only messages that have not seen their root go on.
         now = steps[-1]
-        step = now.alias("a").join(now.alias("b"), _up("a", "b"), "left").select(
+        step = now.alias("a").join(now.unionByName(done).alias("b"), _up("a", "b")).select(
             "a.tree", "a.node", F.col("b.anc").alias("anc"),
-            (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total"),
-            (F.col("a.depth") + F.coalesce("b.depth", F.lit(0).cast("long"))).alias("depth"))
-        steps.append(materialize(step, folder, f"up{len(steps)}"))
-        was, open_rows = open_rows, steps[-1].where("anc IS NOT NULL").count()
+            (F.col("a.total") + F.col("b.total")).alias("total"),
+            (F.col("a.depth") + F.col("b.depth")).alias("depth"))
+        step = materialize(step, folder, f"up{len(steps)}")
+        done = done.unionByName(step.where(~is_open))
+        was, open_rows = open_rows, step.where(is_open).count()
         if open_rows == was:  # only circles keep their number
             break
-    done = steps[-1].where("anc IS NULL")
-    parents = steps[0].where("anc IS NOT NULL").select("tree", F.col("anc").alias("node")).distinct()
+        steps.append(step.where(is_open))
+    parents = steps[0].select("tree", F.col("anc").alias("node")).distinct()
     leaves = done.alias("d").join(parents.alias("p"), F.col("d.tree").eqNullSafe(F.col("p.tree"))
                                   & (F.col("d.node") == F.col("p.node")), "left_anti")
     best = Window.partitionBy("tree").orderBy(F.col("score").desc(), "node")
@@ -80,9 +84,9 @@ def branches(messages: DataFrame, folder: str, k: int = 1) -> DataFrame:
               .select("tree", F.col("node").alias("leaf"), "rank", "score", "depth", "node",
                       F.lit(0).cast("long").alias("dist")))
     path = materialize(chosen, folder, "path")
-    for i, up in enumerate(steps[:-1] if len(steps) > 1 else []):
+    for i, up in enumerate(steps):
         above = path.alias("a").join(up.alias("b"), F.col("a.tree").eqNullSafe(F.col("b.tree"))
-                                     & (F.col("a.node") == F.col("b.node"))).where("anc IS NOT NULL")
+                                     & (F.col("a.node") == F.col("b.node")))
         above = above.select("a.tree", "leaf", "rank", "score", "a.depth", F.col("anc").alias("node"),
                              (F.col("dist") + F.lit(1 << i)).alias("dist"))
         path = materialize(path.unionByName(above), folder, f"path{i}")
