@@ -8,6 +8,7 @@ from promoscope.llm import (
     chat_trees,
     containment,
     cuckoo_lines,
+    dialog_repair,
     extendible,
     mix_threshold,
     repeat_intervals,
@@ -91,6 +92,30 @@ def op10_repeat_intervals(spark, sf_dir):
     return repeat_intervals.repeated_spans(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def damaged_turns(turns):
+    """The rows of ``turns`` as the contract of operator 13 damages them."""
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"),
+                   F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    code = F.crc32(key.cast("binary")) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    times = F.when(code == 0, 0).when(code == 3, 2).otherwise(1)
+    return turns.select(
+        "conv_id", "turn", F.when(code == 4, "user").otherwise(role).alias("role"),
+        F.when(code == 1, "").when(code == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), times)).alias("copy")).drop("copy")
+
+
+def op13_dialog_repair(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations")
+    done = dialog_repair.repair_digests(damaged_turns(turns)).withColumnRenamed("conv_id", "__conv")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return turns.select("conv_id").distinct().join(
+        done, F.col("conv_id").eqNullSafe(F.col("__conv")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 _BLANK = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
@@ -239,9 +264,89 @@ FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN node USING (gs) LEFT JOIN
 
 OP6_SQL = near_sql(2)
 
+
+def _crc32_sql(text: str, columns: str, source: str) -> str:
+    """CTEs ending in ``crc``: ``columns`` of ``source`` with the CRC-32 c of ``text``."""
+    last = "SELECT i::BIGINT AS i, i::BIGINT AS v FROM range(256) AS r(i)"
+    for _ in range(8):
+        last = f"SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END AS v FROM ({last})"
+    return f"""tab AS (SELECT list(v ORDER BY i) AS t FROM ({last})),
+hx AS (SELECT {columns}, hex(encode({text})) AS x FROM {source}),
+crc AS (SELECT * EXCLUDE (x, t), xor(list_reduce(list_prepend(4294967295, list_transform(
+    generate_series(1, len(x) - 1, 2), lambda p: ('0x' || substr(x, p, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS c FROM hx, tab)"""
+
+
+def _repair_step() -> str:
+    """Cheapest edits after one more row, per state; an entry is the cost
+    in six digits and the edits, so the least string is the best."""
+    def add(entry, cost, edit):
+        return f"lpad((left({entry}, 6)::INT + {cost})::VARCHAR, 6, '0') || substr({entry}, 7) || '{edit}'"
+
+    keep, again = "CASE WHEN f = 3 THEN 5 ELSE 0 END", "CASE WHEN f = 3 THEN 6 ELSE 1 END"
+    into = {"s0": [], "s1": [("s0", "s")], "s2": [("s0", "u"), ("s1", "u"), ("s3", "u")], "s3": [("s2", "a")]}
+    out = []
+    for state, froms in into.items():
+        best = [add(state, 2, "D")]
+        for source, who in froms:
+            best.append(f"CASE WHEN f IN (0, 3) AND who = '{who}' THEN {add(source, keep, 'K')} END")
+            if who != "s":
+                best.append(f"CASE WHEN f IN (0, 3) THEN {add(source, again, 'R')} END")
+        out.append(f"least({', '.join(best)}) AS {state}" if len(best) > 1 else f"{best[0]} AS {state}")
+    return ", ".join(out)
+
+
+def _repair_inserts(source: str) -> str:
+    def add(entry):
+        return f"lpad((left({entry}, 6)::INT + 5)::VARCHAR, 6, '0') || substr({entry}, 7) || 'I'"
+
+    for _ in range(2):
+        source = (f"SELECT * REPLACE (least(s2, {add('s0')}, {add('s1')}, {add('s3')}) AS s2, "
+                  f"least(s3, {add('s2')}) AS s3) FROM ({source})")
+    return source
+
+
+_FAR = "'900000'"
+
+OP13_SQL = rf"""
+WITH RECURSIVE src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS ck FROM conversations),
+{_crc32_sql("ck", "conv_id, turn, role, text", "src")},
+dmg AS (SELECT conv_id, turn, CASE WHEN c % 20 = 4 THEN 'user' ELSE role END AS role,
+  CASE c % 20 WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM crc, (VALUES (1), (2)) AS t(k) WHERE c % 20 <> 0 AND (k = 1 OR c % 20 = 3)),
+num AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), md5(text)) AS j,
+  trim(text, {_BLANK}) AS body FROM dmg),
+flt AS (SELECT conv_id, turn, role, text, j, left(role, 1) AS who, CASE WHEN body = '' THEN 1
+  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY j) > 1 THEN 2
+  WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS f FROM num),
+adj AS (SELECT *, lag(who) OVER (PARTITION BY conv_id ORDER BY j) || who AS pair FROM flt),
+cnt AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+  count(*) FILTER (f = 1)::BIGINT AS blank, count(*) FILTER (f = 2)::BIGINT AS duplicate,
+  count(*) FILTER (f = 3)::BIGINT AS truncated,
+  count(*) FILTER (pair NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal FROM adj GROUP BY conv_id),
+dp AS ({_repair_inserts(f"SELECT conv_id, 0::BIGINT AS j, '000000' AS s0, {_FAR} AS s1, {_FAR} AS s2, {_FAR} AS s3 FROM cnt")}
+  UNION ALL ({_repair_inserts(f"SELECT dp.conv_id, flt.j, {_repair_step()} FROM dp JOIN flt ON dp.conv_id IS NOT DISTINCT FROM flt.conv_id AND flt.j = dp.j + 1")})),
+best AS (SELECT cnt.*, least(s0, s3) AS b FROM cnt JOIN dp ON cnt.conv_id IS NOT DISTINCT FROM dp.conv_id AND cnt.n = dp.j),
+ed AS (SELECT conv_id, p, substr(b, 6 + p, 1) AS e FROM (
+  SELECT conv_id, b, unnest(generate_series(1, len(b) - 6)) AS p FROM best)),
+ej AS (SELECT conv_id, p, e, count(*) FILTER (e <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS j FROM ed),
+kept AS (SELECT ej.conv_id, p, e, CASE WHEN e = 'I' THEN '' ELSE text END AS text, role, who,
+    count(*) FILTER (e <> 'K' OR who <> 's') OVER (PARTITION BY ej.conv_id ORDER BY p) AS place
+  FROM ej LEFT JOIN flt ON ej.conv_id IS NOT DISTINCT FROM flt.conv_id AND ej.j = flt.j WHERE e <> 'D'),
+fixed AS (SELECT conv_id, sha256(string_agg((CASE WHEN e = 'K' THEN role WHEN place % 2 = 1 THEN 'user'
+  ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY p)) AS sha FROM kept GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(left(b, 6)::BIGINT, 0) AS cost,
+  coalesce(substr(b, 7), '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN best ON o.conv_id IS NOT DISTINCT FROM best.conv_id
+LEFT JOIN fixed ON o.conv_id IS NOT DISTINCT FROM fixed.conv_id
+"""
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_trees, op2_shard_by_extendible_hash, op3_warc_captures, op4_toxicity_cnn, op5_line_dedup, op6_near_dedup, op7_quality_cascade, op8_mix_sources, op9_decontaminate,
-    op10_repeat_intervals)}
+    op10_repeat_intervals, op13_dialog_repair)}
 
 ORACLES = {
     "op1_chat_trees": OP1_SQL,
@@ -252,4 +357,5 @@ ORACLES = {
     "op7_quality_cascade": OP7_SQL,
     "op8_mix_sources": OP8_SQL,
     "op9_decontaminate": OP9_SQL,
+    "op13_dialog_repair": OP13_SQL,
 }
