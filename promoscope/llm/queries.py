@@ -14,6 +14,7 @@ from promoscope.llm import (
     repeat_intervals,
     rule_cascade,
     setsketch,
+    spelling_variants,
     toxicity_cnn,
     warc_captures,
 )
@@ -116,6 +117,24 @@ def op13_dialog_repair(spark, sf_dir):
         F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
+def misspelt_words(docs):
+    """One row (word) per letter run of ``docs``, some with a deletion, as
+    the contract of operator 12 has them."""
+    run = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc"), F.explode(
+        spelling_variants.runs(F.col("text"))).alias("run"))
+    run = run.where(F.char_length("run") >= spelling_variants.MIN_CHARS)
+    code = F.crc32(F.concat("doc", F.lit(":"), "run").cast("binary"))
+    run = run.select("run", code.alias("code"))
+    at = (F.col("code") % F.char_length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))
+    return run.select(F.when(F.col("code") % 97 == 0, cut).otherwise(F.col("run")).alias("word"))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling_variants.variants(misspelt_words(docs))
+
+
 _BLANK = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
@@ -306,6 +325,29 @@ def _repair_inserts(source: str) -> str:
     return source
 
 
+OP12_SQL = rf"""
+WITH RECURSIVE src AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS ck, run, count(*) AS times FROM (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+{_crc32_sql("ck", "run, times", "src")},
+v AS (SELECT word, sum(times)::BIGINT AS n FROM (SELECT times, CASE WHEN c % 97 = 0
+    THEN left(run, (c % length(run))::INT) || substr(run, (c % length(run))::INT + 2) ELSE run END AS word FROM crc)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+cut AS (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(generate_series(1, length(word))) AS i FROM v)),
+near AS (SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest
+    AND length(a.word) = length(b.word) AND a.word <> b.word
+  UNION SELECT cut.word, v.word FROM cut JOIN v ON cut.rest = v.word
+  UNION SELECT v.word, cut.word FROM cut JOIN v ON cut.rest = v.word),
+ranked AS (SELECT a, b, n, count(*) OVER (PARTITION BY a) AS n_near,
+  row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS k FROM near JOIN v ON v.word = b),
+form AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN r.n >= 2 * v.n THEN b END AS form,
+  CASE WHEN r.n >= 2 * v.n THEN r.n END AS form_n FROM v LEFT JOIN ranked r ON r.a = v.word AND k = 1),
+walk AS (SELECT word, word AS here, form AS onward FROM form
+  UNION ALL SELECT walk.word, form.word, form.form FROM walk JOIN form ON form.word = walk.onward)
+SELECT form.word, n, n_near, form, form_n, here AS root FROM form JOIN walk ON walk.word = form.word AND onward IS NULL
+"""
+
 _FAR = "'900000'"
 
 OP13_SQL = rf"""
@@ -346,7 +388,7 @@ LEFT JOIN fixed ON o.conv_id IS NOT DISTINCT FROM fixed.conv_id
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_trees, op2_shard_by_extendible_hash, op3_warc_captures, op4_toxicity_cnn, op5_line_dedup, op6_near_dedup, op7_quality_cascade, op8_mix_sources, op9_decontaminate,
-    op10_repeat_intervals, op13_dialog_repair)}
+    op10_repeat_intervals, op12_spelling_variants, op13_dialog_repair)}
 
 ORACLES = {
     "op1_chat_trees": OP1_SQL,
@@ -357,5 +399,6 @@ ORACLES = {
     "op7_quality_cascade": OP7_SQL,
     "op8_mix_sources": OP8_SQL,
     "op9_decontaminate": OP9_SQL,
+    "op12_spelling_variants": OP12_SQL,
     "op13_dialog_repair": OP13_SQL,
 }
