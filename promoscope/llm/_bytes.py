@@ -80,6 +80,26 @@ _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 
+def _long_word(data, at, bound, inside_table, prefixes):
+    """(end, hashes) of the word that starts at ``at``, read piece by piece
+    up to its end or ``bound``, where its text ends."""
+    start, total = at, 0
+    while at < bound:
+        buf = _LOWER[data[at:min(at + CHUNK, bound)]]
+        breaks = np.flatnonzero(~inside_table[buf])
+        buf = buf[:int(breaks[0])] if len(breaks) else buf
+        roll = Rolling(buf)
+        if at == start:
+            heads = [roll.of(0, min(len(buf), k)) for k in prefixes]
+        total = (total + int(roll.of(0, len(buf))) * pow(_R, at - start, 2**64)) % 2**64
+        at += len(buf)
+        if len(breaks):
+            break
+    h = np.array([total, *heads], dtype=U)
+    with np.errstate(over="ignore"):
+        return at, mix(h + np.array([at - start, *[1000 + k for k in prefixes]], dtype=U))
+
+
 def word_hashes(offsets, data, letters=False, prefixes=()):
     """(text number, hash) of every word of the texts, in order.
 
@@ -104,9 +124,15 @@ def word_hashes(offsets, data, letters=False, prefixes=()):
             bounds = offsets[(offsets > at) & (offsets < stop)] - at
             last = max([int(breaks[-1]) + 1] if len(breaks) else [0])
             last = max(last, int(bounds[-1]) if len(bounds) else 0)
-            if last:
-                stop = at + last
-                buf, inside = buf[:last], inside[:last]
+            if not last:  # one word fills the whole piece
+                bound = int(offsets[np.searchsorted(offsets, at, side="right")])
+                stop, h = _long_word(data, at, bound, inside_table, prefixes)
+                texts.append(np.searchsorted(offsets, [at], side="right") - 1)
+                hashes.append(h[None, :] if prefixes else h)
+                at = stop
+                continue
+            stop = at + last
+            buf, inside = buf[:last], inside[:last]
         first = np.zeros(len(buf) + 1, dtype=bool)
         cuts = offsets[(offsets >= at) & (offsets <= stop)] - at
         first[cuts] = True
