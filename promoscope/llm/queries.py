@@ -15,6 +15,7 @@ from promoscope.llm import (
     rule_cascade,
     setsketch,
     spelling_variants,
+    token_groups,
     toxicity_cnn,
     warc_captures,
 )
@@ -117,6 +118,10 @@ def op13_dialog_repair(spark, sf_dir):
         F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
+def op11_token_group_join(spark, sf_dir):
+    return token_groups.jaccard_join(_table(spark, sf_dir, "documents"), shingle=3, threshold_pct=90)
+
+
 def misspelt_words(docs):
     """One row (word) per letter run of ``docs``, some with a deletion, as
     the contract of operator 12 has them."""
@@ -254,7 +259,7 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM m GROUP BY doc_id
 """
 
-def near_sql(k: int) -> str:
+def near_sql(k: int, pct: int = 80) -> str:
     """Near-duplicate groups of ``documents`` on k-word shingles."""
     joined = " || ' ' || ".join(f"w[i + {j}]" for j in range(k))
     return rf"""
@@ -268,9 +273,9 @@ c AS (SELECT doc_id, list_sort(list(g)) AS gs FROM s GROUP BY doc_id),
 node AS (SELECT gs, min(doc_id) AS rep, len(gs) AS n FROM c GROUP BY gs),
 ns AS (SELECT rep, unnest(gs) AS g, n FROM node),
 p AS (SELECT a.rep AS a, b.rep AS b, count(*) AS k, any_value(a.n) AS na, any_value(b.n) AS nb
-  FROM ns a JOIN ns b ON a.g = b.g AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  FROM ns a JOIN ns b ON a.g = b.g AND a.rep < b.rep AND 100 * least(a.n, b.n) >= {pct} * greatest(a.n, b.n)
   GROUP BY a.rep, b.rep),
-e AS (SELECT a, b FROM p WHERE 100 * k >= 80 * (na + nb - k)),
+e AS (SELECT a, b FROM p WHERE 100 * k >= {pct} * (na + nb - k)),
 sym AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 reach(x, y) AS (SELECT rep, rep FROM node UNION SELECT reach.x, sym.b FROM reach JOIN sym ON reach.y = sym.a),
 comp AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
@@ -325,6 +330,8 @@ def _repair_inserts(source: str) -> str:
     return source
 
 
+OP11_SQL = f"SELECT doc_id, n_shingles, component_id FROM ({near_sql(3, 90)})"
+
 OP12_SQL = rf"""
 WITH RECURSIVE src AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS ck, run, count(*) AS times FROM (
   SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -388,7 +395,7 @@ LEFT JOIN fixed ON o.conv_id IS NOT DISTINCT FROM fixed.conv_id
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_trees, op2_shard_by_extendible_hash, op3_warc_captures, op4_toxicity_cnn, op5_line_dedup, op6_near_dedup, op7_quality_cascade, op8_mix_sources, op9_decontaminate,
-    op10_repeat_intervals, op12_spelling_variants, op13_dialog_repair)}
+    op10_repeat_intervals, op11_token_group_join, op12_spelling_variants, op13_dialog_repair)}
 
 ORACLES = {
     "op1_chat_trees": OP1_SQL,
@@ -399,6 +406,7 @@ ORACLES = {
     "op7_quality_cascade": OP7_SQL,
     "op8_mix_sources": OP8_SQL,
     "op9_decontaminate": OP9_SQL,
+    "op11_token_group_join": OP11_SQL,
     "op12_spelling_variants": OP12_SQL,
     "op13_dialog_repair": OP13_SQL,
 }
