@@ -3,10 +3,11 @@
 Two words are near if one inserted, deleted or replaced code point turns
 one into the other.  Their letters are mapped to a few symbols; words
 that are near have reduced words that are equal or one edit apart.  So
-the full one-edit neighbourhood of every word's reduced form (every
-deletion, replacement and insertion of a symbol) is generated and joined
-with the reduced vocabulary, and the pairs found are verified on the
-words themselves.  The neighbourhood grows with the few symbols, not
+the one-edit neighbourhood of every word's reduced form is generated and
+joined with the reduced vocabulary, and the pairs found are verified on
+the words themselves.  Being neighbours is mutual: every deletion and
+every replacement by a lesser symbol is written out, insertions and the
+other replacements are the same pairs seen from the other word.  The neighbourhood grows with the few symbols, not
 with the letters of the script.
 
 Reduced words travel as 64-bit hashes and words as row ids of the
@@ -30,7 +31,7 @@ MIN_CHARS = 5
 MIN_COUNT = 3
 #: A form must be this many times as frequent as the word.
 FORM_RATIO = 2
-#: Keys written at once.
+#: Letters worked on at once.
 CHUNK = 1 << 18
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -96,48 +97,46 @@ def _pieces(word, s):
 
 def neighbour_keys(offsets, data, n):
     """Yields (word, hash): the one-edit neighbourhood of each reduced
-    word, itself included, each member once, in slices of bounded length."""
+    word, each member once, in slices of bounded length.
+
+    A reduced word is in the neighbourhood of each of its neighbours, so
+    of two neighbours only one yields the other: the longer one, or the
+    one with the greater symbol where they differ.
+    """
     word, s = _symbols(offsets, data, n)
     with np.errstate(over="ignore"):
         lengths = np.bincount(word, minlength=n)
         start = np.concatenate(([0], np.cumsum(lengths)))
         position = np.arange(len(word)) - start[word]
         power = _power(position)
-        # before: hash of what stands before; after: of what follows,
-        # moved one place left (deletion), in place, or one place right.
+        # before: hash of what stands before a symbol; after: of what
+        # follows, which a deletion moves one place to the left.
         term = s * power
         total = np.zeros(n, dtype=U)
         np.add.at(total, word, term)
         run = np.cumsum(term)
         base = np.concatenate((np.zeros(1, dtype=U), run))[start[word]]
-        upto = run - base                       # through this letter
+        upto = run - base                       # through this symbol
         before = upto - term
         after = total[word] - upto
         left = U(pow(_B, -1, 2**64))
-        # Of equal letters in a row, deleting the last is enough.
+        # Of equal symbols in a row, deleting the last is enough.
         last = np.append((word[1:] != word[:-1]) | (s[1:] != s[:-1]), True) if len(word) else s == s
-        yield np.arange(n), mix(total)
         for i in range(0, len(word), CHUNK):
             j = slice(i, i + CHUNK)
             w, b, a, p = word[j], before[j], after[j], power[j]
             yield w[last[j]], mix(b + a * left)[last[j]]
-            for symbol in range(1, SYMBOLS + 1):
-                x = U(symbol)
-                other = s[j] != x
-                yield w[other], mix(b + x * p + a)[other]
-                # Inserted before this letter; before an equal one it is
-                # what the insertion behind that gives.
-                yield w[other], mix(b + x * p + (total[w] - b) * U(_B))[other]
-        for symbol in range(1, SYMBOLS + 1):
-            yield np.arange(n), mix(total + U(symbol) * _power(lengths))
+            for symbol in range(1, SYMBOLS):
+                less = s[j] > U(symbol)
+                yield w[less], mix(b + U(symbol) * p + a)[less]
 
 
 def _reduced_batches(batches):
     for b in parts(batches, 1):
         offsets, data = binary(b.column(1))
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(reduced_keys(offsets, data, b.num_rows).view(np.int64))],
-            names=["id", "key"])
+            [b.column(0), b.column(1), pa.array(reduced_keys(offsets, data, b.num_rows).view(np.int64))],
+            names=["near_id", "b", "key"])
 
 
 def _neighbour_batches(batches):
@@ -153,14 +152,16 @@ def near_words(vocab: DataFrame) -> DataFrame:
     """(id, near_id): the ordered pairs of near words of ``vocab``
     (id, word), both directions."""
     bytes_ = vocab.select("id", F.col("word").cast("binary").alias("bytes"))
-    reduced = bytes_.mapInArrow(_reduced_batches, "id long, key long").select(
-        F.col("id").alias("near_id"), "key")
+    reduced = bytes_.mapInArrow(_reduced_batches, "near_id long, b binary, key long").select(
+        "near_id", F.decode("b", "UTF-8").alias("b"), "key")
     around = bytes_.mapInArrow(_neighbour_batches, "id long, key long")
-    pairs = around.join(reduced, "key").where("id != near_id").select("id", "near_id")
+    same = reduced.select(F.col("near_id").alias("id"), "key").join(reduced, "key").where("id < near_id")
+    pairs = around.join(reduced, "key").unionByName(same).select("id", "near_id", "b")
     a = vocab.select("id", F.col("word").alias("a"))
-    b = vocab.select(F.col("id").alias("near_id"), F.col("word").alias("b"))
     near = F.levenshtein("a", "b", 1) == 1
-    return pairs.join(a, "id").join(b, "near_id").where(near).select("id", "near_id")
+    found = pairs.join(a, "id").where(near).select(F.array(
+        F.struct("id", "near_id"), F.struct(F.col("near_id").alias("id"), F.col("id").alias("near_id"))).alias("two"))
+    return found.select(F.inline("two"))
 
 
 def follow(links: DataFrame, folder: str) -> DataFrame:
