@@ -23,14 +23,24 @@ def buyers(log: DataFrame, users: DataFrame, day_from: int, day_to: int | None =
     """User rows of everyone who bought in the window (JOIN-3).
 
     A user listed twice in ``users`` keeps both rows (counted twice, the
-    DataFrame variant's rule).  ``one_row_per_user=True`` collapses them,
-    keeping one of the rows (DED-4, the RDD variant's rule); the semi
-    join leaves the rows hash-partitioned on user_id, so that dedup runs
-    without another shuffle.
+    DataFrame variant's rule).  ``one_row_per_user=True`` keeps one row
+    per user (DED-4, the RDD variant's rule): the least by the other
+    columns in order, nulls first.  That is a mergeable aggregate, so the
+    row does not depend on the partitioning; the semi join leaves the
+    rows hash-partitioned on user_id, so it runs without another shuffle.
     """
     ids = promo_purchases(log, day_from, day_to).select("user_id").distinct()
     rows = users.join(ids, "user_id", "left_semi")
-    return rows.dropDuplicates(["user_id"]) if one_row_per_user else rows
+    return least_row(rows, "user_id") if one_row_per_user else rows
+
+
+def least_row(df: DataFrame, key: str) -> DataFrame:
+    """One row per ``key``: the least by the other columns, in their order."""
+    rest = [c for c in df.columns if c != key]
+    if not rest:
+        return df.select(key).distinct()
+    return df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row")).select(
+        *[key if c == key else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def count_by(df: DataFrame, column: str) -> DataFrame:

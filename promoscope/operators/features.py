@@ -76,17 +76,19 @@ def behaviour_features(log: DataFrame) -> DataFrame:
 
     Two aggregation levels.  The first groups by every column a distinct
     count looks at (pair, item, category, day), with row and per-action
-    counts.  The repartition on those five columns makes that its own
-    shuffle: a partitioning by item or user that the log happens to come
-    with would otherwise be reused and keep a hot one in a single task.
+    counts.  Grouped as one struct, those columns need a shuffle of their
+    own: a partitioning by item or user that the log happens to come with
+    would otherwise be reused and keep a hot one in a single task.  Rows
+    equal in them are combined before that shuffle.
     The second level sums those counts and counts distinct values per
     pair; the Expand Catalyst plans for the three distinct counts runs
     over the first-level rows instead of the raw log.
     """
     keys = ("user_id", "seller_id", "item_id", "cat_id", "time_stamp")
-    level1 = log.repartition(*keys).groupBy(*keys).agg(
+    level1 = log.groupBy(F.struct(*keys).alias("_event")).agg(
         F.count("item_id").alias("_rows"),
         *[_action_count(code).alias(name) for name, code in ACTION_FEATURES])
+    level1 = level1.select("_event.*", "_rows", *[name for name, _ in ACTION_FEATURES])
     return level1.groupBy(*_pair_group()).agg(
         F.sum("_rows").alias("total_logs"),
         F.count_distinct("item_id").alias("unique_item_ids"),

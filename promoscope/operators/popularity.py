@@ -61,12 +61,13 @@ def merchant_counts(log: DataFrame, users: DataFrame, day_from: int,
     """
     young = young_users(users, ages).select("user_id")
     rows = promo_non_click(log, day_from, day_to).select(*MERCHANT_KEYS)
-    # The dedup gets a shuffle of its own, on all four keys: on the join's
-    # partitioning by user it would pin every row of a hot user to one task,
-    # and AQE could not split the join's skewed partitions.
+    # The dedup gets a shuffle of its own, on all four keys as one struct: on
+    # the join's partitioning by user it would pin every row of a hot user to
+    # one task, and AQE could not split the join's skewed partitions.  Equal
+    # rows meet before that shuffle already.
     if join == "semi":
         kept = (rows.join(young, "user_id", "left_semi")
-                .repartition(*MERCHANT_KEYS).distinct())
+                .select(F.struct(*MERCHANT_KEYS).alias("_row")).distinct().select("_row.*"))
     elif join == "inner":
         # Set semantics of the dedup are kept per joined user row: a user
         # listed twice contributes twice.

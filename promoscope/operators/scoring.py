@@ -102,7 +102,11 @@ def fit_weights(filled: DataFrame) -> DataFrame:
     return with_class_weights(complete_rows(filled))
 
 
-def scoring_pipeline(max_iter: int = 10) -> Pipeline:
+#: (iterations, tolerance) with which a fit runs to its optimum.
+CONVERGED = (500, 1e-14)
+
+
+def scoring_pipeline(max_iter: int = 10, tol: float = 1e-6) -> Pipeline:
     """ML-1, ML-2, ML-6: assemble, scale by std (no centring), weighted LR.
 
     A NULL feature becomes NaN in the vector; ``fit`` keeps such rows out
@@ -113,18 +117,18 @@ def scoring_pipeline(max_iter: int = 10) -> Pipeline:
     scaler = StandardScaler(inputCol="features", outputCol="Scaled_features",
                             withMean=False, withStd=True)
     lr = LogisticRegression(labelCol="label", featuresCol="Scaled_features",
-                            weightCol="classWeights", maxIter=max_iter)
+                            weightCol="classWeights", maxIter=max_iter, tol=tol)
     return Pipeline(stages=[assembler, scaler, lr])
 
 
-def fit(train_filled: DataFrame, max_iter: int = 10) -> PipelineModel:
+def fit(train_filled: DataFrame, max_iter: int = 10, tol: float = 1e-6) -> PipelineModel:
     """Fit the pipeline on the complete rows.  The weighted input is read
     by several passes (scaler statistics, LR summary, LR iterations), so
     it is persisted for the fit; a lost block is recomputed from the
     fill's written table."""
     weighted = fit_weights(train_filled).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return scoring_pipeline(max_iter).fit(weighted)
+        return scoring_pipeline(max_iter, tol).fit(weighted)
     finally:
         weighted.unpersist()
 
@@ -188,7 +192,7 @@ class Flow(NamedTuple):
 
 def repeat_buyer_flow(log: DataFrame, users: DataFrame, train_pairs: DataFrame,
                       test_pairs: DataFrame, scaler: str = "train",
-                      max_iter: int = 10, order_cols=PAIR_KEYS) -> Flow:
+                      max_iter: int = 10, order_cols=PAIR_KEYS, tol: float = 1e-6) -> Flow:
     """The whole A5 + A6 flow: features, fills, weighted fit, scores.
 
     The log (the largest input) is aggregated once.  Both pair sets are
@@ -207,7 +211,7 @@ def repeat_buyer_flow(log: DataFrame, users: DataFrame, train_pairs: DataFrame,
     train = fill_tagged(table.filter(F.col(_SET) == 0).drop(_SET, "prob"), FEATURES, ("forward",))
     test = _never_null(fill_tagged(table.filter(F.col(_SET) == 1).drop(_SET, "label"), FEATURES,
                                    ("backward", "forward")))
-    model = fit(train, max_iter)
+    model = fit(train, max_iter, tol)
     return Flow(model, train, test, score(model, test, scaler), skipped_rows(train))
 
 

@@ -23,7 +23,7 @@ from promoscope.operators import popularity as pop
 from promoscope.operators import scoring
 from promoscope.plans import oracle as sql
 from promoscope.schemas import FEATURES, LOG_COLUMNS, PROMO_DAY, TEXT_CODED_LOG, TOP_K
-from promoscope.session import scratch_folder
+from promoscope.session import scratch_folder, written
 from promoscope.sources import sinks
 from promoscope.sources.driver_tables import Tables
 from promoscope.sources.files import lines_of, parse_log_lines, parse_user_lines, read_lines
@@ -252,6 +252,17 @@ _BUYERS_TWICE = (f"b AS (SELECT * FROM user_info_twice WHERE user_id IN (SELECT
 _WITH_BUYERS_TWICE = sql.with_ctes(*sql.BASE, sql.USER_INFO_TWICE, _BUYERS_TWICE)
 register("buyers_twice", _WITH_BUYERS_TWICE + "SELECT * FROM b")(_buyers_twice(False))
 register("buyers_twice_one_per_user", _WITH_BUYERS_TWICE + "SELECT DISTINCT * FROM b")(_buyers_twice(True))
+# A user's two rows differ here: the least one stays, nulls first.
+def _buyers_differing(spark: SparkSession, d: str) -> DataFrame:
+    t = Tables(spark, d)
+    return demo.buyers(t.user_log(("user_id", "time_stamp", "action_type")), t.user_info_differing(),
+                       *NOVEMBER, one_row_per_user=True)
+
+
+register("buyers_differing_one_per_user",
+         sql.with_ctes(*sql.BASE, sql.USER_INFO_DIFFERING, _BUYERS_TWICE.replace("_twice", "_differing"))
+         + "SELECT user_id, age_range, gender FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
+           "ORDER BY age_range NULLS FIRST, gender NULLS FIRST) AS k FROM b) WHERE k = 1")(_buyers_differing)
 register("buyers_by_gender",
          WITH_BUYERS + "SELECT gender, count(*) AS count FROM buyers WHERE gender IN (0, 1) "
                        "GROUP BY gender")(
@@ -563,5 +574,102 @@ register("train_scores_roundtrip",
                              f"count(*) FILTER (WHERE NOT ({_INCOMPLETE})) AS with_features "
                              "FROM train_filled")(_train_scores_roundtrip)
 
+# ---------------------------------------------------------------- A6 model, by value
+# The same flow fitted to its optimum, which SQL finds by Newton steps of
+# its own; a model of few iterations has no value that SQL could state.
+DIGITS = 5
+
+
+def _converged(spark: SparkSession, d: str) -> scoring.Flow:
+    t = Tables(spark, d)
+    max_iter, tol = scoring.CONVERGED
+    return scoring.repeat_buyer_flow(t.log_before_split(), t.user_info(), t.train_pairs(), t.test_pairs(),
+                                     max_iter=max_iter, tol=tol)
+
+
+def _chance():
+    return F.round(vector_values("probability")[1], DIGITS).alias("prob")
+
+
+def _train_scores_converged(spark: SparkSession, d: str) -> DataFrame:
+    flow = _converged(spark, d)
+    return scoring.transform(flow.model, flow.train).select(
+        "user_id", "merchant_id", "label", F.col("prediction").cast("int").alias("prediction"), _chance())
+
+
+def _train_accuracy_converged(spark: SparkSession, d: str) -> DataFrame:
+    flow = _converged(spark, d)
+    return scoring.accuracy_table(scoring.transform(flow.model, flow.train))
+
+
+def _test_scores_converged(scaler: str) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        flow = _converged(spark, d)
+        return scoring.transform(flow.model, flow.test, scaler).select("user_id", "merchant_id", _chance())
+    return run
+
+
+_WITH_FIT = "WITH RECURSIVE" + sql.with_ctes(
+    *sql.BASE, sql.PAIRS, sql.EARLY_FEATS, sql.TRAIN_FEATURES, sql.TRAIN_FILLED, sql.ASSEMBLED,
+    sql.newton_ctes()).removeprefix("WITH").rstrip()
+_TRAIN_CHANCE = (f", chance AS (SELECT user_id, merchant_id, label, {sql.probability('t', 'sd')} AS p "
+                 "FROM train_filled t, sd, fit), "
+                 "scored AS (SELECT c.*, CASE WHEN p > 0.5 THEN 1 WHEN p IS NOT NULL THEN 0 END AS prediction FROM "
+                 f"(SELECT t.user_id, t.merchant_id, t.label, CASE WHEN NOT ({_INCOMPLETE}) THEN p END AS p "
+                 "FROM train_filled t JOIN chance USING (user_id, merchant_id)) c) ")
+register("train_scores_converged",
+         _WITH_FIT + _TRAIN_CHANCE + "SELECT user_id, merchant_id, label, CAST(prediction AS INTEGER) AS prediction, "
+         f"round(p, {DIGITS}) AS prob FROM scored")(_train_scores_converged)
+register("train_accuracy_converged",
+         _WITH_FIT + _TRAIN_CHANCE + "SELECT CAST(CASE WHEN label = prediction THEN 1 ELSE 0 END AS INTEGER) AS correct, "
+         "count(*) AS count FROM scored WHERE prediction IS NOT NULL GROUP BY 1")(_train_accuracy_converged)
+_TEST_VIEWS = "," + sql.TEST_FEATURES + "," + sql.TEST_FILLED
+_TEST_SD = ", tsd AS (SELECT " + ", ".join(f"stddev_samp({c}) AS {c}" for c in sql.FEATURE_NAMES) + " FROM test_filled) "
+register("test_scores_converged",
+         _WITH_FIT + _TEST_VIEWS + f" SELECT user_id, merchant_id, round({sql.probability('t', 'sd')}, {DIGITS}) AS prob "
+         "FROM test_filled t, sd, fit")(_test_scores_converged("train"))
+register("test_scores_refit_converged",
+         _WITH_FIT + _TEST_VIEWS + _TEST_SD
+         + f"SELECT user_id, merchant_id, round({sql.probability('t', 'tsd')}, {DIGITS}) AS prob "
+           "FROM test_filled t, tsd, fit")(_test_scores_converged("refit"))
+
+
+# ---------------------------------------------------------------- score files, row by row
+def _same_rows(before: DataFrame, back: DataFrame, keys: tuple[str, ...], shown: tuple[str, ...]) -> DataFrame:
+    """Keys, ``shown`` as read back, and whether all columns equal those written."""
+    values = [c for c in before.columns if c not in keys]
+    ours = before.select(*keys, F.struct(*values).alias("_written"))
+    theirs = back.select(*keys, F.struct(*values).alias("_back"))
+    return ours.join(theirs, list(keys), "full").select(
+        *keys, *[F.col("_back")[c].alias(c) for c in shown],
+        F.col("_written").eqNullSafe(F.col("_back")).alias("same"))
+
+
+def _scores_csv_rows(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_folder(spark, "scores-csv")
+    scores = written(_test_scores("train")(spark, d), "scores")
+    sinks.write_scores(scores, path)
+    back = spark.read.option("header", True).schema(scores.schema).csv(path)
+    return _same_rows(scores, back, ("user_id", "merchant_id"), ())
+
+
+register("scores_csv_rows", WITH_PAIRS + "SELECT user_id, merchant_id, true AS same FROM test")(_scores_csv_rows)
+
+
+def _train_scores_rows(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_folder(spark, "train-scores-csv")
+    scored = _train_scored(spark, d)
+    vectors = ("features", "Scaled_features", "rawPrediction", "probability")
+    values = written(scored.withColumns({c: vector_values(c) for c in vectors}), "train-scores")
+    sinks.write_train_scores(scored, path)
+    back = spark.read.option("header", True).option("quote", '"').option("escape", "\\").csv(path)
+    back = back.select(*[F.from_json(f.name, f.dataType.simpleString()).alias(f.name) if f.name in vectors
+                         else F.col(f.name).cast(f.dataType).alias(f.name) for f in values.schema.fields])
+    return _same_rows(values, back, ("user_id", "merchant_id"), ("label",))
+
+
+register("train_scores_rows", WITH_TRAIN_FILLED + "SELECT user_id, merchant_id, label, true AS same FROM train_filled")(
+    _train_scores_rows)
+
 assert all(name in QUERIES for name in ORACLES)
 __all__ = ["QUERIES", "ORACLES", "FEATURES"]

@@ -110,6 +110,74 @@ ASSEMBLED = ("\nassembled AS (SELECT user_id, merchant_id, label, "
              + " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_NAMES) + ")")
 
 
+# Newton steps of the weighted logistic regression.
+NEWTON_STEPS = 12
+
+
+def _dot(z: str, b: str) -> str:
+    return f"list_dot_product({z}, {b})"
+
+
+def newton_ctes() -> str:
+    """CTEs ending in ``fit``: its ``b`` holds intercept and coefficients of
+    the class-weighted logistic regression on ``assembled``.
+
+    Each step sums the gradient and the Hessian over all rows and solves
+    for the step by elimination; a column that depends on those before
+    it (a constant one, a sum of others) takes no part.
+    """
+    n = len(FEATURE_NAMES) + 1
+    z = ", ".join(f"CASE WHEN s.{c} > 0 THEN a.{c} / s.{c} ELSE 0.0 END" for c in FEATURE_NAMES)
+    out = ["\nsd AS MATERIALIZED (SELECT " + ", ".join(
+        f"stddev_samp({c}) AS {c}" for c in FEATURE_NAMES)
+        + ", (count(*) - count(*) FILTER (label = 1)) / count(*)::DOUBLE AS ratio FROM assembled)",
+        f"\nx AS MATERIALIZED (SELECT a.label::DOUBLE AS y, [1.0, {z}]::DOUBLE[] AS z, "
+        "CASE WHEN label = 1 THEN ratio ELSE 1 - ratio END AS w FROM assembled a, sd s)",
+        f"\nb0 AS MATERIALIZED (SELECT list_transform(generate_series(1, {n}), lambda i: 0.0::DOUBLE) AS b)"]
+    for t in range(1, NEWTON_STEPS + 1):
+        rows = ", ".join("[" + ", ".join([f"sum(h * z[{min(i, j)}] * z[{max(i, j)}])" for j in range(1, n + 1)]
+                                         + [f"sum(r * z[{i}])"]) + "]" for i in range(1, n + 1))
+        out.append(
+            f"\ng{t} AS MATERIALIZED (SELECT [{rows}] AS m FROM (SELECT z, w * p * (1 - p) AS h, w * (y - p) AS r "
+            f"FROM (SELECT z, w, y, 1 / (1 + exp(-{_dot('z', 'b')})) AS p FROM x, b{t - 1})))")
+        out.append(
+            f"\ne{t} AS (SELECT 1 AS k, m, list_transform(m, lambda r, i: r[i]) AS d FROM g{t} UNION ALL "
+            "SELECT k + 1, CASE WHEN m[k][k] <= 1e-9 * d[k] OR d[k] = 0 "
+            "THEN list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: 0.0::DOUBLE) ELSE r END) "
+            "ELSE list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / m[k][k]) "
+            f"ELSE list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) END) END, d FROM e{t} WHERE k <= {n})")
+        out.append(
+            f"\nb{t} AS MATERIALIZED (SELECT list_transform(b, lambda v, i: v + m[i][{n + 1}]) AS b "
+            f"FROM e{t}, b{t - 1} WHERE k = {n + 1})")
+    # A dependent column leaves one direction in which the coefficients are
+    # free.  A solver that starts at 0 does not move in it, measured in
+    # features of weighted deviation 1: the least solution in that measure.
+    spread = ", ".join(["0.0"] + [f"sum(w * z[{i}] * z[{i}]) - sum(w * z[{i}]) ** 2 / sum(w)" for i in range(2, n + 1)])
+    out.append(f"\nwd AS MATERIALIZED (SELECT [{spread}]::DOUBLE[] AS s FROM x)")
+    v = "list_transform(m, lambda r, i: CASE WHEN i = k THEN 1.0::DOUBLE ELSE -r[k] END)"
+    out.append(
+        f"\nfree AS (SELECT 1 AS k, m, s, d, b FROM e{NEWTON_STEPS}, b{NEWTON_STEPS}, wd WHERE k = {n + 1} UNION ALL "
+        "SELECT k + 1, m, s, d, CASE WHEN m[k][k] = 0 AND d[k] > 0 THEN list_transform(b, lambda t, i: t - v[i] "
+        "* list_sum(list_transform(v, lambda q, j: q * s[j] * b[j])) / list_sum(list_transform(v, lambda q, j: q * q * s[j]))) "
+        f"ELSE b END FROM (SELECT *, {v} AS v FROM free WHERE k <= {n}))")
+    out.append(f"\nfit AS MATERIALIZED (SELECT b FROM free WHERE k = {n + 1})")
+    return ",".join(out)
+
+
+def probability(row: str, scale: str) -> str:
+    """The fit's probability of label 1, features of ``row`` scaled by ``scale``."""
+    z = ", ".join(f"CASE WHEN {scale}.{c} > 0 THEN coalesce({row}.{c}, 0) / {scale}.{c} ELSE 0.0 END"
+                  for c in FEATURE_NAMES)
+    return f"1 / (1 + exp(-{_dot(f'[1.0, {z}]::DOUBLE[]', 'fit.b')}))"
+
+
+# Users of which every seventh is listed twice, the second time otherwise.
+USER_INFO_DIFFERING = """
+user_info_differing AS (
+  SELECT user_id, age_range, gender FROM user_info
+  UNION ALL SELECT user_id, (coalesce(age_range, 0) + 3) % 9, 1 - gender % 2 FROM user_info WHERE user_id % 7 = 0)"""
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 

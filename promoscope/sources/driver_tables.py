@@ -11,6 +11,7 @@ to score); FIXTURES.md holds the same text as SQL for the DuckDB oracle.
                action from return flag / line status
     user_info  one row per customer; codes from the key, with NULLs
     user_info_twice  the same, every seventh customer listed twice
+    user_info_differing  the same, the second row with another age and gender
     pairs      (user, merchant) pairs with a purchase from 1 June to 31
                August.  Features come from the log before the split day
                (1 July), so pairs first seen after it have none.  Label 1:
@@ -96,6 +97,14 @@ class Tables:
         users = self.user_info()
         return users.unionByName(users.where(F.col("user_id") % 7 == 0))
 
+    def user_info_differing(self) -> DataFrame:
+        """Users in which every seventh id occurs again with another age and gender."""
+        users = self.user_info()
+        again = users.where(F.col("user_id") % 7 == 0).select(
+            "user_id", ((F.coalesce("age_range", F.lit(0)) + 3) % 9).alias("age_range"),
+            (1 - F.col("gender") % 2).alias("gender"))
+        return users.unionByName(again)
+
     # -- pairs ----------------------------------------------------------------
     def log_before_split(self, columns: Iterable[str] = LOG_COLUMNS) -> DataFrame:
         """The log that the features of the pairs are taken from."""

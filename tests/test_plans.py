@@ -116,3 +116,21 @@ def test_scans_read_only_used_columns(spark, name):
     for ln in schemas:
         for col in UNUSED:
             assert col not in ln, f"{name} reads {col}: {ln}"
+
+
+def _below_exchange(plan: str, keys: str):
+    """Node names under the shuffle by ``keys`` in an explain tree."""
+    lines = plan.split("\n")
+    at = next(i for i, ln in enumerate(lines) if "Exchange hashpartitioning(" + keys in ln)
+    return lines[at + 1:at + 3]
+
+
+@pytest.mark.parametrize("name,keys", [("behaviour_features", "_groupingexpression"), ("merchants_young_semi", "_row")])
+def test_rows_are_combined_below_the_wide_shuffle(spark, name, keys):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    below = _below_exchange(plan, keys)
+    assert any("HashAggregate" in ln for ln in below), plan

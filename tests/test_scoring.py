@@ -83,3 +83,62 @@ def test_prob_is_float_column(spark):
     df = queries()["test_scores"](spark, "/root/testdata/sf0.001")
     assert dict(df.dtypes)["prob"] == "float"
     assert df.filter(F.col("prob").isNull()).count() == 0
+
+
+@pytest.fixture(scope="module")
+def optimum(spark):
+    """Rows of the fit, and the probabilities of numpy's own Newton steps."""
+    import numpy as np
+
+    filled = queries()["train_filled"](spark, SF_CHECK).persist()
+    rows = scoring.fit_weights(filled).toPandas()
+    x = rows[list(scoring.FEATURES)].to_numpy(float)
+    sd = x.std(0, ddof=1)
+    z = np.c_[np.ones(len(x)), np.divide(x, sd, out=np.zeros_like(x), where=sd > 0)]
+    y, w = rows["label"].to_numpy(float), rows["classWeights"].to_numpy()
+    # Least solution with features of weighted deviation 1, as from a start at 0.
+    mean = (w[:, None] * z).sum(0) / w.sum()
+    unit = np.sqrt((w[:, None] * (z - mean) ** 2).sum(0))
+    unit[unit == 0] = 1
+    b = np.zeros(z.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-z @ b))
+        u = z / unit
+        b = b + np.linalg.pinv(u.T @ (u * (w * p * (1 - p))[:, None]), rcond=1e-10) @ (u.T @ (w * (y - p))) / unit
+
+    def loss(b):
+        t = z @ b
+        return float((w * (np.logaddexp(0, t) - y * t)).sum() / w.sum())
+
+    yield filled, b, loss
+    filled.unpersist()
+
+
+def _coefficients(model):
+    import numpy as np
+    lr = model.stages[-1]
+    return np.r_[lr.intercept, lr.coefficients.toArray()]
+
+
+def test_converged_coefficients_are_those_of_an_independent_solver(optimum):
+    filled, want, loss = optimum
+    got = _coefficients(scoring.fit(filled, *scoring.CONVERGED))
+    assert abs(got - want).max() < 1e-4
+    assert abs(want).max() > 0.05  # not the constant model
+
+
+def test_ten_iterations_come_near_the_least_loss(optimum):
+    filled, want, loss = optimum
+    ten = loss(_coefficients(scoring.fit(filled)))
+    constant = loss(want * 0)
+    assert loss(want) <= ten <= loss(want) + 0.01 * (constant - loss(want))
+
+
+def test_probability_of_one_is_the_second_as_a_float(spark, optimum):
+    import numpy as np
+    filled, _, _ = optimum
+    scored = scoring.transform(scoring.fit(filled), filled)
+    both = scored.select("user_id", "merchant_id", "probability").join(
+        scoring.prob_of_one(scored), ["user_id", "merchant_id"]).collect()
+    assert both and all((r.probability is None and r.prob is None)
+                        or np.float32(r.probability[1]) == np.float32(r.prob) for r in both)

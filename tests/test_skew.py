@@ -130,3 +130,13 @@ def test_hot_item_is_split_on_a_stock_session(stock_session, skewed):
         F.col("p_partkey").alias("item_id"), F.col("p_type").alias("cat_id"))
     joined = _over_several_tasks(log.drop("cat_id")).join(parts, "item_id", "left")
     assert "skew=true" in _final_plan(feat.behaviour_features(joined))
+
+
+def test_least_row_does_not_depend_on_partitioning(spark):
+    from promoscope.operators.demographics import least_row
+    rows = [(1, 3, 1), (1, 3, 0), (1, 2, 5), (2, None, 4), (2, 1, 0), (3, 1, None), (3, 1, 1), (None, 2, 2), (None, 1, 9)]
+    want = {(1, 2, 5), (2, None, 4), (3, 1, None), (None, 1, 9)}
+    for n in (1, 3, 9):
+        df = spark.createDataFrame(rows[n % 4:] + rows[:n % 4], "user_id int, age_range int, gender int").repartition(n)
+        assert {tuple(r) for r in least_row(df, "user_id").collect()} == want
+    assert least_row(spark.createDataFrame([(1,), (1,)], "user_id int"), "user_id").count() == 1
