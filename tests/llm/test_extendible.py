@@ -58,3 +58,20 @@ def test_clashing_columns(spark):
     out = ex.shard(df)
     assert out.columns == ["doc_id", "text", "n_bytes", "shard", "shard_depth", "shard_bytes"]
     assert out.collect()[0]["shard"] == ""
+
+
+def test_equal_rows_in_many_partitions_fit_the_limit(spark):
+    """One row per partition: ids with gaps would put many in one part."""
+    rows = spark.range(64, numPartitions=64).select(
+        F.lit(7).cast("long").alias("doc_id"), F.lit("x" * 100).alias("text"), F.col("id").alias("copy"))
+    more = spark.createDataFrame([(1, "a" * 30, 100), (None, None, 101), (2, "L" * 999, 102), (2, "L" * 999, 103)],
+                                 "doc_id long, text string, copy long")
+    out = ex.shard(rows.unionByName(more), 400).collect()
+    load, n = defaultdict(int), defaultdict(int)
+    for r in out:
+        load[r["shard"]] += r["n_bytes"]
+        n[r["shard"]] += 1
+    assert len(out) == 68 and len({r["copy"] for r in out}) == 68
+    assert all(b <= 400 or n[s] == 1 for s, b in load.items())
+    assert all(load[r["shard"]] == r["shard_bytes"] for r in out)
+    assert sum(1 for s in load if n[s] == 4) == 16  # no more parts than needed
