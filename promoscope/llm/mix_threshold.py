@@ -101,13 +101,14 @@ def _cut(rows: DataFrame, needs: DataFrame, folder: str) -> DataFrame:
 def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, max_repeat: int = 2,
         text: str = "text", source: str = "source", key: str = "doc_id",
         size: Column | None = None, keep_text: bool = False) -> DataFrame:
-    """Rows of ``docs`` with the number of copies the mix takes.
+    """Rows of ``docs`` with the number of copies the mix takes, at most
+    ``max_repeat``.
 
     Returns the key column, ``source``, size, source_size, target and
     copies (and all columns of ``docs`` with ``keep_text``; existing
     columns of the added names are replaced).  A row is as large as its
-    number of words (null text: 0) unless ``size`` says otherwise.  Whole
-    copies are taken of every row, and one more of the rows whose hash is
+    number of words (null text: 0) unless ``size`` says otherwise; rows
+    of size 0 add nothing and are not taken.  Whole copies are taken of every row, and one more of the rows whose hash is
     below the source's threshold.  The hash covers key and text, so rows
     equal in both are taken or left together and reruns agree.  A null
     source is a source of its own, ranked last; an empty table gives an
@@ -141,7 +142,9 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, max_repeat: int
     plan = materialize(targets.join(cuts, "rank").select(
         "__plan_source", "source_size", "target", "whole", "below"), folder, "plan")
     return (sized.join(plan, F.col(source).eqNullSafe(F.col("__plan_source")))
-            .withColumn("copies", F.col("whole") + (F.col("__h") < F.col("below")).cast("long"))
+            .withColumn("copies", F.when(F.col("size") > 0, F.least(
+                F.lit(max_repeat).cast("long"), F.col("whole") + (F.col("__h") < F.col("below")).cast("long")))
+                .otherwise(0).cast("long"))
             .drop("__plan_source", "whole", "below", "__h"))
 
 

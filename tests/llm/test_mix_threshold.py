@@ -79,3 +79,15 @@ def test_mixed_rows_keep_clashing_columns(spark):
 def test_empty_table(spark):
     df = frame(spark, [])
     assert mt.mix(df).collect() == [] and mt.mixed(df).collect() == []
+
+
+def test_empty_texts_of_a_capped_source_are_not_repeated(spark):
+    """A source at its cap takes every row twice and no row more often."""
+    rows = [(i, "small", "w " * 5) for i in range(4)] + [(100 + i, "small", ["", " ", None][i % 3]) for i in range(60)]
+    rows += [(1000 + i, "large", "w " * 500) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    taken = {r["doc_id"]: r["copies"] for r in mt.mix(df).collect()}
+    assert all(taken[i] == 2 for i in range(4)) and all(taken[100 + i] == 0 for i in range(60))
+    assert max(taken.values()) <= 2
+    times = mt.mixed(df).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in times} == {k: v for k, v in taken.items() if v}
