@@ -201,7 +201,7 @@ JOIN k ON d.source IS NOT DISTINCT FROM k.source AND d.h = k.h
 
 OP2_SQL = rf"""
 WITH d AS (SELECT doc_id, {_HASH} AS h, coalesce(strlen(text), 0)::BIGINT AS n_bytes FROM documents),
-p AS (SELECT doc_id, n_bytes, h, dep, h >> (60 - dep) AS pre FROM d, (SELECT unnest(generate_series(0, 20)) AS dep)),
+p AS (SELECT doc_id, n_bytes, h, dep, h >> (60 - dep) AS pre FROM d, (SELECT unnest(generate_series(0, 60)) AS dep)),
 s AS (SELECT dep, pre, sum(n_bytes) AS b, count(DISTINCT h) AS c FROM p GROUP BY dep, pre),
 f AS (SELECT p.doc_id, p.n_bytes, p.h, min(p.dep) AS dep FROM p JOIN s USING (dep, pre)
   WHERE b <= {extendible.SHARD_BYTES} OR c = 1 GROUP BY p.doc_id, p.n_bytes, p.h)
@@ -212,14 +212,16 @@ FROM f JOIN s ON s.dep = f.dep AND s.pre = f.h >> (60 - f.dep)
 
 OP9_SQL = rf"""
 WITH dw AS (SELECT doc_id, {_WORDS.format('lower(text)')} AS w FROM documents),
-ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS g
-       FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM dw)),
-iw AS (SELECT item_id, {_WORDS.format('lower(text)')} AS w FROM benchmark),
-it AS (SELECT DISTINCT item_id, array_to_string(w[i:i+4], ' ') AS g
-       FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM iw)),
+iw AS (SELECT item_id, w, least(len(w), 5) AS k FROM (
+       SELECT item_id, {_WORDS.format('lower(text)')} AS w FROM benchmark) WHERE len(w) > 0),
+ds AS (SELECT DISTINCT doc_id, k, array_to_string(w[i:i+k-1], ' ') AS g
+       FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+             FROM dw, (SELECT DISTINCT k FROM iw))),
+it AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i+k-1], ' ') AS g
+       FROM (SELECT item_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM iw)),
 n AS (SELECT item_id, count(*) AS n_item FROM it GROUP BY item_id)
 SELECT doc_id, item_id, count(*)::INTEGER AS n_shared, any_value(n_item)::INTEGER AS n_item
-FROM ds JOIN it USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id
+FROM ds JOIN it USING (k, g) JOIN n USING (item_id) GROUP BY doc_id, item_id
 HAVING 100 * count(*) >= {containment.THRESHOLD_PCT} * any_value(n_item)
 """
 
