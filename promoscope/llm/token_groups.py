@@ -1,8 +1,9 @@
 """N-gram Jaccard join by a token-group matrix (operator 11).
 
-Documents with equal shingle sets are one node.  Similar nodes (equal
-least hash of the set) are packed into groups of bounded size, and every
-group has the union of its members' tokens: its row of the matrix.  A
+Documents with equal shingle sets are one node.  Similar nodes (those
+that an equal least hash leads to the same, most connected node) are
+packed into groups of bounded size, and every group has the union of its
+members' tokens: its row of the matrix.  A
 query shares at most as many tokens with a member as with that union; so
 a group is opened, and its members compared with the query, only where
 the union holds ``threshold_pct`` percent of the query's tokens.
@@ -12,10 +13,11 @@ tokens are dealt by hash into more parts than two sets that reach the
 threshold can differ in tokens, so such sets agree in whole parts.  Only
 queries and groups that agree in a part meet; no pair is lost.
 
-Groups of near copies do not make all pairs: nodes that a cluster's most
-connected node links to are in one component first, and only nodes whose
-part is also found in another component are queries, from the smaller
-component to the larger.
+Groups of near copies do not make all pairs.  Leaders are compared with
+the nodes they lead and every group opens for its own members first; what
+is linked so is one component.  Only
+nodes whose part is also found in another component go on: their groups
+meet two by two, unless both are of one and the same component.
 """
 
 from __future__ import annotations
@@ -33,10 +35,10 @@ from promoscope.llm.setsketch import shingle_sets
 #: Least hashes by which similar nodes are found for the first links.
 CLUSTERINGS = 3
 #: Members and tokens of a group, about.
-GROUP = 64
+GROUP = 256
 GROUP_TOKENS = 1 << 18
-#: Queries of a group that one task takes.
-QUERIES = 1024
+#: Nodes from which on a component has groups of its own.
+OWN_GROUPS = 64
 
 
 def ladder(top: int = 1 << 40) -> list[int]:
@@ -159,12 +161,12 @@ def _signature_batches(size, pct, whole):
     return run
 
 
-def overlap(query, union):
-    """Number of tokens of ``query`` in ``union`` (both sorted, distinct)."""
-    if not len(union):
+def overlap(a, b):
+    """Number of tokens in both of two sorted sets."""
+    if not len(b):
         return 0
-    at = np.minimum(np.searchsorted(union, query), len(union) - 1)
-    return int((union[at] == query).sum())
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    return int((b[at] == a).sum())
 
 
 def _reaches(a, b, pct):
@@ -193,59 +195,97 @@ def _confirm_batches(size, pct):
 
 
 class Group:
-    """A group of sets: its members and their union."""
-
-    def __init__(self):
-        self.members = []
-        self.union = None
-
-    def add(self, node, comp, elements):
-        self.members.append((node, comp, elements))
-        self.union = None
+    """A group of sets: the union of its members' tokens, and where in it
+    the tokens of each member are."""
+
+    def __init__(self, members):
+        """``members``: (node, component, elements) each, none empty."""
+        self.nodes = [m[0] for m in members]
+        self.comps = [m[1] for m in members]
+        self.sizes = np.array([len(m[2]) for m in members], dtype=np.int64)
+        self.starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
+        self.union, self.place = np.unique(np.concatenate([m[2] for m in members]), return_inverse=True)
+        self.joined = {}
+
+    def component(self, comp):
+        """What ``comp`` is part of by the links found here."""
+        while comp in self.joined:
+            comp = self.joined[comp]
+        return comp
 
     def links(self, comp, query, pct):
-        """One member per component other than ``comp`` that the query is
+        """One member per component other than ``comp``'s that the query is
         linked to; None if the bound keeps the group shut."""
-        if self.union is None:
-            self.union = (np.unique(np.concatenate([m[2] for m in self.members]))
-                          if self.members else np.zeros(0, dtype=U))
-        if 100 * overlap(query, self.union) < pct * len(query):
+        at = np.minimum(np.searchsorted(self.union, query), len(self.union) - 1)
+        at = at[self.union[at] == query]
+        if 100 * len(at) < pct * len(query):
             return None
-        done, out = {comp}, []
-        for node, other, elements in self.members:
-            if other not in done and _reaches(query, elements, pct):
-                done.add(other)
-                out.append(node)
+        held = np.zeros(len(self.union), dtype=np.int32)
+        held[at] = 1
+        shared = np.add.reduceat(held[self.place], self.starts)
+        out = []
+        for i in np.flatnonzero(100 * shared >= pct * (len(query) + self.sizes - shared)):
+            mine, theirs = self.component(comp), self.component(self.comps[i])
+            if mine != theirs:
+                self.joined[theirs] = mine
+                out.append(self.nodes[i])
         return out
 
 
 def _open_batches(size, pct):
     """(a, b): links of queries to the members of their group.
 
-    Rows come sorted by cell, a cell's members before its queries."""
+    Rows come sorted by cell, a cell's members (role 0) before its queries
+    (role 1); rows of role 2 are members first and then queries.  A cell's
+    members are held, its queries stream by."""
     def run(batches):
-        cell, group = None, Group()
+        cell, members, group, own = None, [], None, []
+        left, right = [], []
+
+        def ask(node, comp, elements):
+            found = group.links(comp, elements, pct) or []
+            left.extend([node] * len(found))
+            right.extend(found)
+
+        def close():
+            nonlocal group
+            if own:
+                group = Group(members)
+                for row in own:
+                    ask(*row)
+
+        def flush():
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+            left.clear()
+            right.clear()
+            return out
+
         for b in parts(batches, 4):
             cells, roles, nodes, comps = (b.column(i).to_pylist() for i in range(4))
-            left, right = [], []
             for i, elements in enumerate(_sets_of(b.column(4), size)):
                 if cells[i] != cell:
-                    cell, group = cells[i], Group()
-                if roles[i] == 0:
-                    group.add(nodes[i], comps[i], elements)
-                else:
-                    found = group.links(comps[i], elements, pct) or []
-                    left += [nodes[i]] * len(found)
-                    right += found
+                    close()
+                    cell, members, group, own = cells[i], [], None, []
+                row = (nodes[i], comps[i], elements)
+                if roles[i] != 1:
+                    members.append(row)
+                    if roles[i] == 2:
+                        own.append(row)
+                elif members:
+                    group = group or Group(members)
+                    ask(*row)
             if left:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+                yield flush()
+        close()
+        if left:
+            yield flush()
     return run
 
 
-def _first_links(nodes: DataFrame, folder: str, pct: int) -> DataFrame:
-    """(a, b): in each cluster of an equal least hash its center, the
-    node that meets most others, with the nodes of a fitting size."""
+def _led(nodes: DataFrame, folder: str) -> DataFrame:
+    """(a, na, met, node, n): the nodes of each cluster of an equal least
+    hash, with its center ``a``, the node that meets most others."""
     members = nodes.select("node", "n", F.posexplode("least").alias("k", "value")).select(
         "node", "n", F.xxhash64("k", "value").alias("cluster"))
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -253,10 +293,14 @@ def _first_links(nodes: DataFrame, folder: str, pct: int) -> DataFrame:
     met = shared.groupBy("node").agg(F.sum("size").alias("met"))
     centers = shared.join(met, "node").groupBy("cluster").agg(
         F.max(F.struct("met", "node", "n")).alias("c")).select(
-        "cluster", F.col("c.node").alias("a"), F.col("c.n").alias("na"))
+        "cluster", F.col("c.node").alias("a"), F.col("c.n").alias("na"), F.col("c.met").alias("met"))
+    return materialize(shared.join(centers, "cluster").select("a", "na", "met", "node", "n"), folder, "led")
+
+
+def _first_pairs(led: DataFrame, pct: int) -> DataFrame:
+    """(a, b): leaders and the nodes of a fitting size that they lead."""
     fits = 100 * F.least("n", "na") >= pct * F.greatest("n", "na")
-    return shared.join(centers, "cluster").where((F.col("node") != F.col("a")) & fits).select(
-        "a", F.col("node").alias("b")).distinct()
+    return led.where((F.col("node") != F.col("a")) & fits).select("a", F.col("node").alias("b")).distinct()
 
 
 def _classes(docs: DataFrame, shingle: int, pct: int, text: str, key: str) -> DataFrame:
@@ -281,7 +325,8 @@ def _classes(docs: DataFrame, shingle: int, pct: int, text: str, key: str) -> Da
         _signature_batches(shingle, pct, True), "sig long, node binary").join(live, "sig").distinct(),
         folder, "signed")
 
-    first = materialize(_first_links(nodes, folder, pct), folder, "first")
+    led = _led(nodes, folder)
+    first = materialize(_first_pairs(led, pct), folder, "first")
     wanted = first.select(F.col("a").alias("node")).unionByName(
         first.select(F.col("b").alias("node"))).unionByName(signed.select("node")).distinct()
     wanted = nodes.select("node", F.col("row.key").alias("wkey"), F.col("row.th").alias("wth")).join(wanted, "node")
@@ -291,42 +336,59 @@ def _classes(docs: DataFrame, shingle: int, pct: int, text: str, key: str) -> Da
     pairs = first.join(bodies.select(F.col("node").alias("a"), F.col("bytes").alias("ta")), "a").join(
         bodies.select(F.col("node").alias("b"), F.col("bytes").alias("tb")), "b").select("a", "b", "ta", "tb")
     links = materialize(pairs.mapInArrow(_confirm_batches(shingle, pct), "a binary, b binary"), folder, "links1")
-    comps = components(links, f"{folder}/c1")
-
-    # The matrix: groups of similar nodes, and the signatures of their members.
-    packs = nodes.select("node", "n", F.get("least", F.lit(0)).alias("least"))
-    sizes = packs.groupBy("least").agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(F.sum("n") / GROUP_TOKENS)).alias("chunks"))
-    member = (packs.join(sizes, "least").join(comps, "node", "left").select(
-        "node", "n", F.coalesce("comp", "node").alias("comp"),
-        F.xxhash64("least", F.pmod(F.xxhash64("node"), F.col("chunks"))).alias("group")))
-    member = materialize(member, folder, "member")
-    weight = member.groupBy("comp").agg(F.count(F.lit(1)).alias("weight"))
-    member = member.join(weight, "comp").withColumn("rank", F.struct("weight", "comp"))
-    member = materialize(member, folder, "ranked")
-    entries = signed.join(member, "node")
-    mixed = materialize(entries.groupBy("sig").agg(
-        F.min("rank").alias("lo"), F.max("rank").alias("top")).where("lo < top").select("sig", "top"), folder, "mixed")
+
+    def opened_by(cells, name):
+        """Links that ``cells`` (cell, role, node, comp) find."""
+        cells = cells.join(bodies, "node").select("cell", "role", "node", "comp", "bytes")
+        return materialize(cells.repartition("cell").sortWithinPartitions("cell", "role").mapInArrow(
+            _open_batches(shingle, pct), "a binary, b binary"), folder, name)
+
+    # The matrix: groups of similar nodes that share a signature with others.
+    leader = led.groupBy("node").agg(F.max(F.struct("met", "a"))["a"].alias("leader"))
+    packs = signed.select("node").distinct().join(nodes.select("node", "n"), "node").join(
+        leader, "node", "left").select("node", "n", F.xxhash64(F.coalesce("leader", "node")).alias("pack"))
+    packs = materialize(packs, folder, "packs")
+
+    def grouped(packed):
+        """``packed`` with its pack cut into groups of bounded size."""
+        sizes = packed.groupBy("pack").agg(F.greatest(
+            F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(F.sum("n") / GROUP_TOKENS)).alias("chunks"),
+            F.count(F.lit(1)).alias("size"))
+        return packed.join(sizes, "pack").withColumn(
+            "group", F.xxhash64("pack", F.pmod(F.xxhash64("node"), F.col("chunks"))))
+
+    own = grouped(packs).where("size > 1").select(
+        F.col("group").alias("cell"), F.lit(2).alias("role"), "node", F.col("node").alias("comp"))
+    comps = components(links.unionByName(opened_by(own, "own")), f"{folder}/c1")
+
+    # A large component has groups of its own: they need no others of it.
+    member = packs.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    large = member.groupBy("comp").agg(F.count(F.lit(1)).alias("times")).where(
+        F.col("times") >= OWN_GROUPS).select("comp", F.xxhash64("comp").alias("own"))
+    member = member.join(large, "comp", "left").withColumn("pack", F.coalesce("own", "pack"))
+    member = materialize(grouped(member).select("node", "n", "comp", "group"), folder, "member")
+    entries = materialize(signed.join(member, "node").groupBy("sig", "group").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("short"), F.max("n").alias("long")),
+        folder, "entries")
+    mixed = materialize(entries.groupBy("sig").agg(F.min("lo").alias("a"), F.max("hi").alias("b")).where(
+        "a < b").select("sig"), folder, "mixed")
     entries = entries.join(mixed, "sig")
-    index = entries.groupBy("sig", "group").agg(
-        F.max("rank").alias("high"), F.min("n").alias("short"), F.max("n").alias("long"))
-    asked = entries.where(F.col("rank") < F.col("top")).select("sig", "node", "comp", "n", "rank")
-    fits = (100 * F.col("n") >= pct * F.col("short")) & (100 * F.col("long") >= pct * F.col("n"))
-    found = materialize(asked.join(index, "sig").where((F.col("rank") < F.col("high")) & fits).select(
-        "group", "node", "comp").distinct(), folder, "asked")
-
-    # One cell per group and block of its queries.
-    blocks = found.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    queries = found.join(blocks, "group").select(
-        F.xxhash64("group", block).alias("cell"), F.lit(1).alias("role"), "node", "comp")
-    opened = member.join(blocks, "group").withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        F.xxhash64("group", "block").alias("cell"), F.lit(0).alias("role"), "node", "comp")
-    # Members that sign nothing live are linked with nothing: no text.
-    cells = opened.unionByName(queries).join(bodies, "node").select("cell", "role", "node", "comp", "bytes")
-    more = materialize(cells.repartition("cell").sortWithinPartitions("cell", "role").mapInArrow(
-        _open_batches(shingle, pct), "a binary, b binary"), folder, "links2")
+    one = entries.select("sig", *[F.col(c).alias(f"{c}1") for c in ("group", "lo", "hi", "short", "long")])
+    two = entries.select("sig", *[F.col(c).alias(f"{c}2") for c in ("group", "lo", "hi", "short", "long")])
+    apart = (F.col("lo1") != F.col("hi1")) | (F.col("lo2") != F.col("hi2")) | (F.col("lo1") != F.col("lo2"))
+    fits = ((100 * F.col("long1") >= pct * F.col("short2")) & (100 * F.col("long2") >= pct * F.col("short1")))
+    meet = materialize(one.join(two, "sig").where((F.col("group1") <= F.col("group2")) & apart & fits).select(
+        "group1", "group2").distinct(), folder, "meet")
+
+    # One cell per pair of groups, of the nodes that sign something mixed.
+    active = signed.join(mixed, "sig", "left_semi").select("node").distinct()
+    active = materialize(member.join(active, "node"), folder, "active").select("group", "node", "comp")
+    meet = meet.withColumn("cell", F.xxhash64("group1", "group2"))
+    members = meet.where("group1 < group2").join(active, F.col("group2") == F.col("group")).select(
+        "cell", F.lit(0).alias("role"), "node", "comp")
+    queries = meet.join(active, F.col("group1") == F.col("group")).select(
+        "cell", F.when(F.col("group1") == F.col("group2"), 2).otherwise(1).alias("role"), "node", "comp")
+    more = opened_by(members.unionByName(queries), "links2")
     if not more.isEmpty():
         old = comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))
         comps = components(old.unionByName(more), f"{folder}/c2")

@@ -18,7 +18,7 @@ def run(spark, rows, k, pct):
 @pytest.mark.parametrize("k,pct,group", [(3, 90, 4), (5, 80, 64), (2, 60, 3)])
 def test_components_match_brute_force(spark, k, pct, group, monkeypatch):
     monkeypatch.setattr(tg, "GROUP", group)
-    monkeypatch.setattr(tg, "QUERIES", 8)
+    monkeypatch.setattr(tg, "OWN_GROUPS", group)
     rows = corpus(k + pct, 160)
     want = sorted((r[:3] for r in brute(rows, k, pct)), key=str)
     assert run(spark, rows, k, pct) == want
@@ -26,10 +26,9 @@ def test_components_match_brute_force(spark, k, pct, group, monkeypatch):
 
 
 def test_links_do_not_hang_on_the_first_ones(spark, monkeypatch):
-    """Without any first links the search alone finds them all."""
-    monkeypatch.setattr(tg, "_first_links", lambda nodes, folder, pct: nodes.select(
-        nodes.node.alias("a"), nodes.node.alias("b")).where("false"))
-    monkeypatch.setattr(tg, "GROUP", 5)
+    """Without any first pairs, in groups of few, the search finds them all."""
+    monkeypatch.setattr(tg, "_first_pairs", lambda led, pct: led.select("a", led.a.alias("b")).where("false"))
+    monkeypatch.setattr(tg, "GROUP", 2)
     rows = corpus(8, 140)
     assert run(spark, rows, 3, 90) == sorted((r[:3] for r in brute(rows, 3, 90)), key=str)
 
@@ -56,13 +55,12 @@ def test_sets_that_reach_the_threshold_share_a_signature():
 
 
 def test_a_group_opens_only_where_its_union_holds_enough():
-    group = tg.Group()
-    group.add("x", 1, np.arange(0, 100, dtype=np.uint64))
-    group.add("y", 2, np.arange(50, 150, dtype=np.uint64))
-    assert group.links(3, np.arange(40, 140, dtype=np.uint64), 90) == []      # open, no member
-    assert group.links(3, np.arange(70, 200, dtype=np.uint64), 90) is None    # shut
-    assert group.links(3, np.arange(2, 100, dtype=np.uint64), 90) == ["x"]
-    assert group.links(1, np.arange(2, 100, dtype=np.uint64), 90) == []       # linked already
+    def group():
+        return tg.Group([("x", 1, np.arange(0, 100, dtype=np.uint64)), ("y", 2, np.arange(50, 150, dtype=np.uint64))])
+    assert group().links(3, np.arange(40, 140, dtype=np.uint64), 90) == []      # open, no member
+    assert group().links(3, np.arange(70, 200, dtype=np.uint64), 90) is None    # shut
+    assert group().links(3, np.arange(2, 100, dtype=np.uint64), 90) == ["x"]
+    assert group().links(1, np.arange(2, 100, dtype=np.uint64), 90) == []       # linked already
 
 
 def test_long_text_and_empty_table(spark):
