@@ -12,8 +12,9 @@ Texts of equal sets are one node.  In a bucket (texts that agree in a
 band) every node is compared with the bucket's center first.  Nodes that
 end up in another component than it are compared with that component's
 nodes, and then with each other, inside tasks and in blocks of bounded
-size.  So every pair of a bucket is in one component or compared, and a
-group of near copies does not make all pairs.
+size; then with those nodes alone that have joined that component since,
+until no more join.  So every pair of a bucket is in one component or
+compared, and a group of near copies does not make all pairs.
 """
 
 from __future__ import annotations
@@ -409,14 +410,21 @@ def _groups(docs: DataFrame, shingle: int, threshold_pct: int, text: str, key: s
         old = comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))
         return components(old.unionByName(new), f"{folder}/{name}")
 
+    def still_outside(rows):
+        """Rows (band, node, goal) whose node is not in the component that
+        ``goal`` belongs to by now; adds both components, comp and now."""
+        own = comps.select("node", "comp")
+        its = comps.select(F.col("node").alias("goal"), F.col("comp").alias("now"))
+        return (rows.join(own, "node", "left").join(its, "goal", "left")
+                .select("band", "node", "goal", F.coalesce("comp", "node").alias("comp"),
+                        F.coalesce("now", "goal").alias("now"))
+                .where(F.col("comp") != F.col("now")))
+
     # Bucket members in another component than their center's.
-    own = comps.select("node", "comp")
-    of_center = comps.select(F.col("node").alias("center"), F.col("comp").alias("goal"))
-    outside = (shared.where("size > 2").join(own, "node", "left").join(of_center, "center", "left")
-               .select("band", "node", F.coalesce("comp", "node").alias("comp"),
-                       F.coalesce("goal", "center").alias("goal"))
-               .where(F.col("comp") != F.col("goal")))
-    outside = materialize(outside, folder, "outside")
+    outside = still_outside(shared.where("size > 2").select(
+        "band", "node", F.col("center").alias("goal")))
+    outside = materialize(outside.select("band", "node", "comp", F.col("now").alias("goal")),
+                          folder, "outside")
 
     pct = threshold_pct
     sketch_of = nodes.select("node", "n", "regs")
@@ -432,6 +440,16 @@ def _groups(docs: DataFrame, shingle: int, threshold_pct: int, text: str, key: s
         cells = cells.select("cell", "role", "node", "comp", "n", "regs", group, *more)
         return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(solve(pct), schema)
 
+    def ask(asked, member, name):
+        """One link to a member of its goal for each asking node that has
+        any: sifted by registers, then confirmed on full sets."""
+        hopeful = in_cells(asked, member, "goal", _hopeful_batches,
+                           "node binary, comp binary, goal binary", f"asked{name}").distinct()
+        hopeful = materialize(hopeful, folder, f"hopeful{name}")
+        goals = member.join(hopeful.select("goal").distinct(), "goal", "left_semi")
+        return materialize(in_cells(hopeful, goals, "goal", _link_batches, "a binary, b binary",
+                                    f"hopes{name}"), folder, f"links2-{name}")
+
     if not outside.isEmpty():
         # They meet all of that component: first by registers, then those that
         # may be linked by full sets.  One link is enough to join it.
@@ -440,28 +458,39 @@ def _groups(docs: DataFrame, shingle: int, threshold_pct: int, text: str, key: s
         roots = asked.select("goal").distinct().select(
             F.col("goal").alias("node"), F.col("goal").alias("comp"), "goal")
         member = member.unionByName(roots)
-        hopeful = in_cells(asked, member, "goal", _hopeful_batches,
-                           "node binary, comp binary, goal binary", "asked").distinct()
-        hopeful = materialize(hopeful, folder, "hopeful")
-        goals = member.join(hopeful.select("goal").distinct(), "goal", "left_semi")
-        found = materialize(in_cells(hopeful, goals, "goal", _link_batches, "a binary, b binary",
-                                     "hopes"), folder, "links2")
+        found = ask(asked, member, "0")
+        met = comps  # the components as the nodes outside have met them
         if (now := joined(found, "c2")) is not None:
-            new = now.select(F.col("node").alias("comp"), F.col("comp").alias("new"))
-            new_goal = now.select(F.col("node").alias("goal"), F.col("comp").alias("new_goal"))
-            # Components are named by their least node: that is where it went.
-            outside = (outside.join(new, "comp", "left").join(new_goal, "goal", "left")
-                       .select("band", "node", F.coalesce("new", "comp").alias("comp"),
-                               F.coalesce("new_goal", "goal").alias("goal"))
-                       .where(F.col("comp") != F.col("goal")))
             comps = now
+        asked_of = outside.select("band", "node", "goal")
         # What is still outside meets its like in the bucket.
-        rest = outside.select("band", "node", "comp")
+        rest = still_outside(asked_of).select("band", "node", "comp")
         rest = in_cells(rest, rest, "band", _pair_batches, "a binary, b binary", "rest")
         rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         rest = materialize(rest, folder, "rest")
         if not rest.isEmpty() and (now := joined(confirmed(rest, "links3"), "c3")) is not None:
             comps = now
+        # And those that have joined its goal since it asked, until none has.
+        turn = 0
+        while comps is not met:
+            turn += 1
+            late = materialize(still_outside(asked_of), folder, f"late{turn}")
+            if late.isEmpty():
+                break
+            goals = late.select(F.col("now").alias("comp"), "goal").distinct()
+            tops = goals.select(F.col("comp").alias("node"), "comp").distinct()
+            old = met.select("node", F.col("comp").alias("old"))
+            newcomers = (comps.select("node", "comp").unionByName(tops).join(goals, "comp")
+                         .join(old, "node", "left").where(F.coalesce("old", "node") != F.col("goal"))
+                         .select("node", "comp", "goal"))
+            newcomers = materialize(newcomers, folder, f"newcomers{turn}")
+            if newcomers.isEmpty():
+                break
+            found = ask(late.select("node", "comp", "goal").distinct(), newcomers, str(turn))
+            met, asked_of = comps, late.select("band", "node", F.col("now").alias("goal"))
+            if (now := joined(found, f"c4-{turn}")) is None:
+                break
+            comps = now
 
     member = nodes.select("node", "rep", "row").join(comps, "node", "left").select(
         "node", "rep", "row", F.coalesce("comp", "node").alias("comp"))

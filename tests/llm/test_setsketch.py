@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from promoscope.llm import setsketch as ss
@@ -73,6 +74,27 @@ def test_components_match_brute_force(spark, k, monkeypatch):
     assert len({r[2] for r in want}) < len(want) - 15
 
 
+@pytest.mark.parametrize("seed", [11, 12])
+def test_one_bucket_of_all_nodes_loses_no_link(spark, monkeypatch, seed):
+    """No other band helps: each pair is linked inside this bucket or never."""
+    def one_band(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.zeros(b.num_rows, np.int64)), b.column(0)], names=["band", "node"])
+    monkeypatch.setattr(ss, "_band_batches", one_band)
+    rng = random.Random(seed)
+    rows, w = [], ["w%d" % rng.randrange(10**6) for _ in range(60)]
+    for i in range(40):  # a chain: each text is like its neighbours only
+        at = (i * 7) % 60
+        w[at:at + 2] = ["w%d" % rng.randrange(10**6) for _ in w[at:at + 2]]
+        rows.append((i, " ".join(w)))
+    rng.shuffle(rows)
+    rows += [(i + 1000, t) for i, t in corpus(seed, 40) if i is not None]
+    want = brute(rows, 2)
+    assert run(spark, rows, 2) == want
+    assert len({r[2] for r in want if r[0] < 40}) < 20
+
+
 def test_empty_table(spark):
     assert run(spark, [], 5) == []
 
