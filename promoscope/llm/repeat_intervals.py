@@ -12,10 +12,16 @@ is partitioned by the anchor's gram, and only grams found twice matter:
 2. Distinct contexts of one gram form an enhanced suffix array: sorted by
    the bytes after the anchor, with the common prefixes of neighbours.  A
    stack scan yields its common-prefix intervals; in each, the bytes
-   before the anchor are sorted likewise and tested for diversity, which
-   gives the maximal repeats through the anchor and all occurrences.
-3. Grams with more distinct contexts than one task should hold are solved
-   by counting their 200-byte windows, hash-partitioned.
+   before the anchor are sorted likewise.  Members that agree there, but
+   lie in different children of the interval, differ on both sides: they
+   are a maximal repeat through the anchor, with all its occurrences.
+3. A gram with more distinct contexts than one task should hold is cut
+   into cells, each for the repeats that reach between some numbers of
+   bytes to the right and to the left of the anchor.  A cell's contexts
+   agree in the least of these, so they are dealt by those bytes, and
+   cells that stay too large are halved again.  Every maximal repeat
+   belongs to one cell, which holds all its occurrences: the result is
+   the same whatever the limit.
 
 Repeats longer than a context come out as the overlapping pieces that
 each anchor sees; their union is the whole repeat.
@@ -36,8 +42,12 @@ from promoscope.llm._common import materialize, scratch_dir
 
 MIN_LEN = 200
 GRAM = 48
-#: Distinct contexts of one gram that a task holds (352 bytes each).
+#: Distinct contexts of one gram that a task holds (352 bytes each);
+#: larger groups are cut into cells.
 HOT_CONTEXTS = 50_000
+#: Least and greatest reach of a cell's repeats, left and right.
+BOX = ("la", "lb", "ra", "rb")
+
 
 def _slide(a, width, f):
     """f over every run of ``width`` neighbours, in log2(width) passes."""
@@ -214,14 +224,24 @@ def lcp_intervals(lcp):
             stack.append((d, first))
 
 
-def _scan(gram, before, offsets, data, min_len, listing=False):
+def _reach(lc, edge):
+    """For each of a row of sorted neighbours, the longest prefix it
+    shares with one before it that lies beyond an edge (-1: none)."""
+    run = np.cumsum(edge)
+    apart = run * (int(lc.max()) + 2)  # a minimum never passes an edge
+    least = np.minimum.accumulate(lc - apart) + apart
+    return np.concatenate(([-1], np.where(run > 0, least, -1)))
+
+
+def _scan(gram, before, offsets, data, min_len, listing=False, box=None):
     """Maximal repeats of the contexts: (member, left, right, repeat).
 
     ``left`` and ``right`` are the bytes before and after the anchor;
     with ``listing`` every repeat is given with all members, which share
-    its number.  Nested repeats make that long, so without it each member
-    comes once, with the union of its repeats: all of them span the
-    anchor, so that is the longest on either side.
+    its number, if it lies in its group's ``box`` (columns of BOX).
+    Nested repeats make that long, so without it each member comes once,
+    with the union of its repeats: all of them span the anchor, so that
+    is the longest on either side.
     """
     size = np.diff(offsets)
     right = _side(data, offsets[:-1] + before, 1, size - before, min_len)
@@ -258,6 +278,9 @@ def _scan(gram, before, offsets, data, min_len, listing=False):
         lcp = _common(left, before, a, b)
         d = rcp[begin[two]]
         hit = lcp + d >= min_len
+        if listing:
+            la, lb, ra, rb = (x[a] for x in box)
+            hit &= (la <= lcp) & (lcp <= lb) & (ra <= d) & (d <= rb)
         k = np.arange(hit.sum())
         for x in (a[hit], b[hit]):
             out.append((x, lcp[hit], d[hit], k))
@@ -268,24 +291,30 @@ def _scan(gram, before, offsets, data, min_len, listing=False):
         members, lcp = o[begin[g]:end[g]], rcp[begin[g]:end[g] - 1]
         for d, i, j in lcp_intervals(lcp.tolist()):
             s = members[i:j + 1]
-            s = s[np.argsort(lrank[s], kind="stable")]
+            child = np.concatenate(([0], np.cumsum(lcp[i:j] == d)))  # below this interval
+            by_left = np.argsort(lrank[s], kind="stable")
+            s, child = s[by_left], child[by_left]
             lc = _common(left, before, s[1:], s[:-1])
             if int(lc.max()) + d < min_len:
                 continue
             if not listing:
-                longest = np.maximum(np.append(lc, -1), np.concatenate(([-1], lc)))
-                who = s[longest + d >= min_len]
-                far_left[who] = np.maximum(far_left[who], longest[longest + d >= min_len])
+                # Alike in one child only: extends to the right, found deeper.
+                edge = child[1:] != child[:-1]
+                longest = np.maximum(_reach(lc, edge), _reach(lc[::-1], edge[::-1])[::-1])
+                hit = longest + d >= min_len
+                who = s[hit]
+                far_left[who] = np.maximum(far_left[who], longest[hit])
                 far_right[who] = np.maximum(far_right[who], d)
                 continue
-            child = np.concatenate(([0], np.cumsum(lcp[i:j] == d)))  # below this interval
-            sub = dict(zip(members[i:j + 1].tolist(), child.tolist()))
+            la, lb, ra, rb = (int(x[s[0]]) for x in box)
+            if not ra <= d <= rb:
+                continue
             for depth, x, y in lcp_intervals(lc.tolist()):
-                if depth + d < min_len:
+                if depth + d < min_len or not la <= depth <= lb:
+                    continue
+                if (child[x:y + 1] == child[x]).all():
                     continue
                 who = s[x:y + 1]
-                if len({sub[m] for m in who.tolist()}) < 2:
-                    continue  # extends to the right: found deeper
                 out.append((who, np.full(len(who), depth), np.full(len(who), d),
                             np.full(len(who), repeat)))
                 repeat += 1
@@ -295,23 +324,22 @@ def _scan(gram, before, offsets, data, min_len, listing=False):
 
 
 def _repeat_batches(min_len, listing):
-    """Scans runs of whole gram groups; rows come sorted by gram."""
+    """Scans runs of whole cells; rows come sorted by cell."""
     def solve(t):
-        gram = t.column(0).to_numpy()
+        cell = t.column(0).to_numpy()
         offsets, data = binary(t.column(7))
-        found = _scan(gram, t.column(6).to_numpy().astype(np.int64), offsets, data, min_len,
-                      listing)
+        found = _scan(cell, t.column(6).to_numpy().astype(np.int64), offsets, data, min_len,
+                      listing, [t.column(c).to_numpy() for c in BOX] if listing else None)
         if not found:
             return None
         who, left, right, repeat = (np.concatenate(x) for x in zip(*found))
         at = t.column(5).to_numpy()[who] + t.column(6).to_numpy()[who]
         pick = pa.array(who)
         return pa.RecordBatch.from_arrays([
-            pa.array(gram[who]), pa.array(repeat.astype(np.int64)),
-            t.column(1).combine_chunks().take(pick),
-            t.column(3).combine_chunks().take(pick), t.column(4).combine_chunks().take(pick),
+            pa.array(cell[who]), pa.array(repeat.astype(np.int64)),
+            *(t.column(c).combine_chunks().take(pick) for c in ("gram", "ctx", "key", "th")),
             pa.array((at - left).astype(np.int64)), pa.array((at + right).astype(np.int64)),
-        ], names=["gram", "repeat", "ctx", "key", "th", "lo", "hi"])
+        ], names=["cell", "repeat", "gram", "ctx", "key", "th", "lo", "hi"])
 
     def run(batches):
         held, size = [], 0
@@ -333,28 +361,86 @@ def _repeat_batches(min_len, listing):
     return run
 
 
-def _window_batches(min_len):
-    """Every window of a context, by a 128-bit hash of its bytes."""
-    def run(batches):
-        for b in batches:
-            offsets, data = binary(b.column(7))
-            for i in range(0, len(offsets) - 1, 1000):
-                j = min(i + 1000, len(offsets) - 1)
-                roll = Rolling(data[offsets[i]:offsets[j]])
-                size = np.diff(offsets[i:j + 1])
-                count = np.maximum(size - min_len + 1, 0)
-                row = np.repeat(np.arange(j - i), count)
-                k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                lo = (offsets[i:j] - offsets[i])[row] + k
-                x = roll.of(lo, lo + min_len)
-                y = roll.of(lo, lo + min_len // 2)
-                take = pa.array(row + i)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(mix(x).view(np.int64)), pa.array(mix(y ^ U(77)).view(np.int64)),
-                    b.column(2).take(take), b.column(3).take(take), b.column(4).take(take),
-                    pa.array(b.column(5).to_numpy()[row + i] + k),
-                ], names=["w1", "w2", "n", "key", "th", "lo"])
-    return run
+def _halves(min_len):
+    """The two halves of a cell's box: by the right reach until that is
+    one number, then by the left."""
+    la, lb, ra, rb = (F.col(c) for c in BOX)
+    right, left = F.shiftright(ra + rb, 1), F.shiftright(la + lb, 1)
+
+    def least(r):  # what a repeat of right reach r or less has on the left
+        return F.greatest(la, F.lit(min_len) - r)
+
+    def box(*bounds):
+        return F.struct(*[b.alias(c) for b, c in zip(bounds, BOX)])
+
+    return F.when(ra < rb, F.array(box(least(right), lb, ra, right),
+                                   box(least(rb), lb, right + 1, rb))).otherwise(
+        F.array(box(la, left, ra, rb), box(left + 1, lb, ra, rb)))
+
+
+def _sized(cells, hot_contexts, folder, name):
+    """(cells that a task can scan, the others); lone contexts go."""
+    sizes = materialize(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
+                        .where("size > 1"), folder, f"{name}_sizes")
+    large = sizes.where(F.col("size") > hot_contexts).select("cell")
+    small = sizes.where(F.col("size") <= hot_contexts).select("cell")
+    return (cells.join(small, "cell", "left_semi").select(cells.columns),
+            cells.join(large, "cell", "left_semi").select(cells.columns), large.isEmpty())
+
+
+def _cells(hot, folder, min_len, hot_contexts, listing):
+    """Cuts hot cells until each can be scanned: (cells, done).
+
+    ``done`` are the repeats of cells whose box is a single reach, so that
+    all members share it; without ``listing`` one right reach is enough,
+    as other cells find what lies further left.  Boxes halve, so the
+    rounds are at most two logarithms of ``min_len``.
+    """
+    single = F.col("ra") == F.col("rb")
+    if listing:
+        single &= F.col("la") == F.col("lb")
+    cells, done, turn = [], [], 0
+    while True:
+        done.append(hot.where(single))
+        split = (hot.where(~single).withColumn("box", F.explode(_halves(min_len))).drop(*BOX)
+                 .select("*", "box.*").drop("box")
+                 .where((F.col("before") >= F.col("la"))
+                        & (F.octet_length("bytes") - F.col("before") >= F.col("ra"))))
+        shared = F.col("bytes").substr(F.col("before") - F.col("la") + 1, F.col("la") + F.col("ra"))
+        split = materialize(split.withColumn("cell", F.xxhash64("cell", *BOX, shared))
+                            .select(hot.columns), folder, f"cells_{turn}")
+        small, hot, none_left = _sized(split, hot_contexts, folder, f"cells_{turn}")
+        cells.append(small)
+        turn += 1
+        if none_left:
+            break
+    out = cells[0]
+    for c in cells[1:]:
+        out = out.unionByName(c)
+    ready = done[0]
+    for d in done[1:]:
+        ready = ready.unionByName(d)
+    return out, ready
+
+
+def _shared_by_all(done, listing):
+    """The repeats of cells whose members share one reach: with
+    ``listing`` those that differ in the next byte on both sides."""
+    at = F.col("lo") + F.col("before")
+    if listing:
+        def differs(byte):
+            # Ends of texts and of contexts differ from all else.
+            return (F.count(byte) < F.count(F.lit(1))) | (F.min(byte) != F.max(byte))
+
+        size = F.octet_length("bytes")
+        after = F.when(F.col("before") + F.col("ra") < size,
+                       F.col("bytes").substr(F.col("before") + F.col("ra") + 1, F.lit(1)))
+        prior = F.when(F.col("before") > F.col("la"),
+                       F.col("bytes").substr(F.col("before") - F.col("la"), F.lit(1)))
+        diverse = done.groupBy("cell").agg(differs(after).alias("r"), differs(prior).alias("l"))
+        done = done.join(diverse.where("r AND l"), "cell", "left_semi")
+    return done.select("cell", F.lit(0).cast("long").alias("repeat"), "gram", "ctx", "key", "th",
+                       (at - F.col("la")).alias("lo"), (at + F.col("ra")).alias("hi"))
 
 
 def _keyed(docs, text, key):
@@ -368,10 +454,7 @@ def _same(left, right):
 
 
 def _find(docs, folder, min_len, text, key, hot_contexts, combine=True):
-    """Steps 1 to 3 of the module's text: (known, marked, groups, windows).
-
-    ``windows`` is None unless some gram has more than ``hot_contexts``.
-    """
+    """Steps 1 to 3 of the module's text: (known, marked, groups)."""
     gram = min(GRAM, min_len // 2)
     kind = docs.schema[key].dataType.simpleString()
     base = _keyed(docs, text, key)
@@ -401,23 +484,23 @@ def _find(docs, folder, min_len, text, key, hot_contexts, combine=True):
                 .mapInArrow(_cut_contexts, f"gram long, ctx long, n long, key {kind}, th long, "
                                            "lo long, before int, bytes binary"))
     contexts = materialize(contexts, folder, "contexts")
-    hot = materialize(open_.where(F.col("contexts") > hot_contexts).select("gram"), folder, "hot")
-    any_hot = not hot.isEmpty()
-    cool = contexts.join(hot, "gram", "left_anti") if any_hot else contexts
-    groups = (cool.repartition("gram").sortWithinPartitions("gram").mapInArrow(
+    box = (0, min_len - gram, gram, min_len)
+    contexts = contexts.select(
+        F.col("gram").alias("cell"), "ctx", "n", "key", "th", "lo", "before", "bytes", "gram",
+        *[F.lit(v).alias(c) for v, c in zip(box, BOX)])
+    hot = materialize(open_.where(F.col("contexts") > hot_contexts)
+                      .select(F.col("gram").alias("cell")), folder, "hot")
+    cells, done = contexts, None
+    if not hot.isEmpty():
+        cut, done = _cells(contexts.join(hot, "cell", "left_semi").select(contexts.columns),
+                           folder, min_len, hot_contexts, not combine)
+        cells = contexts.join(hot, "cell", "left_anti").select(contexts.columns).unionByName(cut)
+    groups = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(
         _repeat_batches(min_len, listing=not combine),
-        f"gram long, repeat long, ctx long, key {kind}, th long, lo long, hi long"))
-    groups = materialize(groups, folder, "groups")
-    if not any_hot:
-        return known, marked, groups, None
-    windows = contexts.join(hot, "gram", "left_semi").select(contexts.columns).mapInArrow(
-        _window_batches(min_len), f"w1 long, w2 long, n long, key {kind}, th long, lo long")
-    # A place seen from two anchors is one place.
-    windows = materialize(windows.groupBy("w1", "w2", "key", "th", "lo").agg(
-        F.max("n").alias("n")), folder, "windows")
-    often = windows.groupBy("w1", "w2").agg(F.sum("n").alias("s")).where("s > 1")
-    windows = windows.join(often, ["w1", "w2"], "left_semi").withColumn("hi", F.col("lo") + min_len)
-    return known, marked, groups, windows
+        f"cell long, repeat long, gram long, ctx long, key {kind}, th long, lo long, hi long")
+    if done is not None:
+        groups = groups.unionByName(_shared_by_all(done, not combine))
+    return known, marked, materialize(groups, folder, "groups")
 
 
 def covered_ranges(docs: DataFrame, min_len: int = MIN_LEN, text: str = "text",
@@ -425,11 +508,10 @@ def covered_ranges(docs: DataFrame, min_len: int = MIN_LEN, text: str = "text",
     """(key, th, lo, hi): byte ranges equal to a range elsewhere, of
     ``min_len`` bytes or more; ``th`` is xxhash64 of the text."""
     folder = scratch_dir(docs.sparkSession)
-    known, marked, groups, windows = _find(docs, folder, min_len, text, key, hot_contexts)
+    known, marked, groups = _find(docs, folder, min_len, text, key, hot_contexts)
     place = ("key", "th", "lo", "hi")
-    covered = known.unionByName(marked.where("n > 1").select(*place)).unionByName(
+    return known.unionByName(marked.where("n > 1").select(*place)).unionByName(
         groups.select(*place))
-    return covered if windows is None else covered.unionByName(windows.select(*place))
 
 
 def maximal_repeats(docs: DataFrame, min_len: int = MIN_LEN, text: str = "text",
@@ -441,25 +523,22 @@ def maximal_repeats(docs: DataFrame, min_len: int = MIN_LEN, text: str = "text",
     equal contexts (group_1 the gram, group_2 the context).  Every window
     of a repeat has an anchor that all its occurrences chose, whose group
     lists them all; an anchor that only some chose adds a group of those.
-    Grams of more than ``hot_contexts`` contexts list their windows.
+    The groups do not depend on ``hot_contexts``, only their names do.
     """
     folder = scratch_dir(docs.sparkSession)
-    _, marked, groups, windows = _find(docs, folder, min_len, text, key, hot_contexts, False)
+    _, marked, groups = _find(docs, folder, min_len, text, key, hot_contexts, False)
     places = marked.select("gram", "ctx", F.col("key").alias("pkey"), F.col("th").alias("pth"),
                            F.col("lo").alias("plo"))
     first = marked.where("rn = 1").select("gram", "ctx", F.col("lo").alias("flo"))
     # An occurrence lies in each equal context at the same distance.
     listed = (groups.join(first, ["gram", "ctx"]).join(places, ["gram", "ctx"])
-              .select(F.col("gram").alias("group_1"), F.col("repeat").alias("group_2"),
+              .select(F.col("cell").alias("group_1"), F.col("repeat").alias("group_2"),
                       F.col("pkey").alias("key"), F.col("pth").alias("th"),
                       (F.col("lo") - F.col("flo") + F.col("plo")).alias("lo"),
                       (F.col("hi") - F.col("flo") + F.col("plo")).alias("hi")))
     twins = marked.where("n > 1").select(F.col("gram").alias("group_1"), F.col("ctx").alias("group_2"),
                                          "key", "th", "lo", "hi")
     listed = listed.unionByName(twins)
-    if windows is not None:
-        listed = listed.unionByName(windows.select(
-            F.col("w1").alias("group_1"), F.col("w2").alias("group_2"), "key", "th", "lo", "hi"))
     return listed.withColumnRenamed("key", key)
 
 
@@ -504,7 +583,9 @@ def repeated_spans(docs: DataFrame, min_len: int = MIN_LEN, text: str = "text",
 
     Texts are UTF-8 bytes, null is empty; matches never cross texts and
     are judged on the input.  Equal rows are copies of each other.  Texts
-    under ``min_len`` bytes have no spans; an empty table gives none.
+    under ``min_len`` bytes have no spans; an empty table gives none.  Long
+    texts are read whole, a chunk at a time.  Other columns of ``docs`` are
+    not used, whatever their names.
     """
     covered = covered_ranges(docs, min_len, text, key, hot_contexts)
     by_doc = covered.groupBy(F.col("key").alias("ckey"), F.col("th").alias("cth")).agg(

@@ -9,6 +9,8 @@ import pytest
 
 from promoscope.llm import repeat_intervals as ri
 
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 def brute(rows, m):
     """Row lists of (key, text): digest rows by counting every window."""
@@ -26,6 +28,27 @@ def brute(rows, m):
     return sorted(out, key=str)
 
 
+def brute_hashed(rows, m):
+    """As ``brute``, but windows are kept as 16-byte digests."""
+    texts = [(t or "").encode() for _, t in rows]
+
+    def windows(t):
+        return [hashlib.blake2b(t[i:i + m], digest_size=16).digest() for i in range(len(t) - m + 1)]
+    seen = Counter(w for t in texts for w in windows(t))
+    out = []
+    for (key, _), t in zip(rows, texts):
+        edge = np.zeros(len(t) + 1, int)
+        for i, w in enumerate(windows(t)):
+            if seen[w] > 1:
+                edge[i] += 1
+                edge[i + m] -= 1
+        cover = np.cumsum(edge)[:-1] > 0
+        kept = bytes(np.frombuffer(t, np.uint8)[~cover])
+        spans = int((np.diff(np.concatenate(([0], cover.astype(np.int8)))) == 1).sum())
+        out.append((key, len(t), int(cover.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
 def run(spark, rows, m, **kw):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = ri.repeated_spans(df, m, **kw).drop("spans").collect()
@@ -63,9 +86,69 @@ def test_spans_match_every_window(spark, m):
     assert any(r[2] for r in want) and any(r[1] and not r[2] for r in want)
 
 
-def test_hot_grams_give_the_same_spans(spark):
+@pytest.mark.parametrize("limit", [1, 2])
+def test_hot_grams_give_the_same_spans(spark, limit):
     rows = corpus(3)
-    assert run(spark, rows, 20, hot_contexts=2) == brute(rows, 20)
+    assert run(spark, rows, 20, hot_contexts=limit) == brute(rows, 20)
+
+
+def groups_of(spark, rows, m, **kw):
+    """The listed groups as sets of places, whatever their names."""
+    by = {}
+    for r in ri.maximal_repeats(spark.createDataFrame(rows, "doc_id long, text string"), m, **kw).collect():
+        by.setdefault((r["group_1"], r["group_2"]), set()).add((r["doc_id"], r["lo"], r["hi"]))
+    return {frozenset(g) for g in by.values()}
+
+
+@pytest.mark.parametrize("limit", [3])
+def test_hot_grams_give_the_same_groups(spark, limit):
+    rows = [r for r in corpus(4, 25) if r[0] is not None]
+    want = groups_of(spark, rows, 20)
+    assert want and groups_of(spark, rows, 20, hot_contexts=limit) == want
+
+
+def test_maximal_groups_are_listed_whole(spark):
+    rows = [r for r in corpus(6, 25) if r[0] is not None]
+    texts, m = {k: (t or "").encode() for k, t in rows}, 20
+    groups = groups_of(spark, rows, m)
+    for g in groups:
+        assert len(g) > 1 and len({texts[k][lo:hi] for k, lo, hi in g}) == 1
+        assert all(hi - lo >= m for _, lo, hi in g)
+    places = {}
+    for k, t in texts.items():
+        for i in range(len(t) - m + 1):
+            places.setdefault(t[i:i + m], set()).add((k, i, i + m))
+    diverse = 0
+    for g in places.values():
+        after = {texts[k][hi:hi + 1] or (k, hi) for k, _, hi in g}
+        prior = {texts[k][lo - 1:lo] if lo else (k, lo) for k, lo, _ in g}
+        if len(after) > 1 and len(prior) > 1:
+            diverse += 1
+            assert frozenset(g) in groups
+    assert diverse
+
+
+@pytest.mark.parametrize("limit", [ri.HOT_CONTEXTS, 2])
+def test_driver_documents_at_200_bytes(spark, limit):
+    table = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in table.collect()]
+    want = brute_hashed(rows, 200)
+    got = ri.repeated_spans(table, 200, hot_contexts=limit).drop("spans").collect()
+    assert sorted((tuple(r) for r in got), key=str) == want
+    assert any(r[2] for r in want) and any(r[1] and not r[2] for r in want)
+
+
+def test_reach_counts_only_beyond_an_edge():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        n = int(rng.integers(2, 12))
+        lc, child = rng.integers(0, 6, n - 1), rng.integers(0, 3, n)
+        edge = child[1:] != child[:-1]
+        want = []
+        for k in range(n):
+            seen = [lc[x:k].min() for x in range(k) if (edge[x:k]).any()]
+            want.append(max(seen, default=-1))
+        assert ri._reach(lc, edge).tolist() == want
 
 
 def test_long_text_cut_into_chunks(spark, monkeypatch):
