@@ -25,10 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from promoscope.llm._bytes import parts
 from promoscope.llm._common import materialize, scratch_dir
 
 MIN_CHARS = 10
-#: Keys per shard that a new store aims at.
+#: Keys per shard that a store aims at; with over twice as many on
+#: average, its shards are halved.
 SHARD_KEYS = 50_000
 #: Lines a task sifts at once; shards with more are dealt to several.
 PART_LINES = 100_000
@@ -133,7 +135,7 @@ def _key(line: bytes, min_chars: int):
 def _line_batches(min_chars):
     """(doc, k1, k2, n): the keys of each text with their line counts."""
     def run(batches):
-        for b in batches:
+        for b in parts(batches, 1):
             rows, k1, k2, n = [], [], [], []
             for i, t in enumerate(b.column(1).to_pylist()):
                 count = {}
@@ -154,7 +156,7 @@ def _line_batches(min_chars):
 def _drop_batches(min_chars, names):
     """Rebuilds each text without the lines whose key is listed."""
     def run(batches):
-        for b in batches:
+        for b in parts(batches, 0):
             out = {"n_lines": [], "n_dropped": [], "kept": []}
             for t, drops in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 gone = {(d["k1"], d["k2"]) for d in drops or ()}
@@ -175,7 +177,9 @@ class LineStore:
 
     Documents are told apart by their key column; rows of one key are one
     document, and a null key is a document that sorts last.  Inserting a
-    document again adds its lines to it.
+    document again adds its lines to it.  Texts of any length are split
+    whole, a few megabytes of documents at a time.  The number of shards
+    doubles as the store grows; ``shards`` is the one it starts with.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None, key: str = "doc_id",
@@ -207,13 +211,14 @@ class LineStore:
         at = f"{self.folder}/v{self.version}"
         old_refs, old_filters = self.refs, self.filters
         self.postings = materialize(postings.select("doc", "k1", "k2", "n"), at, "postings")
-        refs = self._counted(self.postings)
+        self.refs = materialize(self._counted(self.postings), at, "refs")
+        keys = self.refs.count()
         if self.shards is None:
-            refs = materialize(refs, at, "refs")
-            self.shards = max(1, -(-refs.count() // SHARD_KEYS))
-            self.refs = refs
-        else:
-            self.refs = materialize(refs, at, "refs")
+            self.shards = max(1, -(-keys // SHARD_KEYS))
+        elif keys > 2 * SHARD_KEYS * self.shards:
+            while keys > SHARD_KEYS * self.shards:
+                self.shards *= 2
+            old_filters = None  # fingerprints cannot be dealt anew, keys can
         self.filters = materialize(self._filters(old_refs, old_filters), at, "filters")
 
     def _filters(self, old_refs, old_filters) -> DataFrame:
@@ -301,12 +306,12 @@ class LineStore:
 
         lines = lines.withColumn("shard", self._shard())
         # A line that a third of all documents hold makes one large shard.
-        parts = lines.groupBy("shard").agg(
+        sizes = lines.groupBy("shard").agg(
             F.ceil(F.count(F.lit(1)) / F.lit(PART_LINES)).cast("int").alias("parts"))
-        parts = materialize(parts, scratch_dir(self.spark), "parts")
-        salted = lines.join(parts, "shard").select("doc", "k1", "k2", "shard", F.pmod(
+        sizes = materialize(sizes, scratch_dir(self.spark), "parts")
+        salted = lines.join(sizes, "shard").select("doc", "k1", "k2", "shard", F.pmod(
             F.xxhash64("doc", "k1"), F.col("parts")).cast("int").alias("salt"))
-        copies = self.filters.join(parts, "shard").select("shard", "blob", F.explode(
+        copies = self.filters.join(sizes, "shard").select("shard", "blob", F.explode(
             F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
         hits = salted.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt")).applyInPandas(
             sift, f"doc {kind}, k1 long, k2 long")

@@ -107,3 +107,24 @@ def test_empty_table_and_extra_columns(spark):
     out = cl.dedup_lines(df)
     assert sorted(out.columns) == ["doc_id", "kept", "lang", "n_dropped", "n_lines"]
     assert got(out) == [(1, 2, 0, "one shared line\nx"), (2, 1, 1, "")]
+
+
+def test_shards_grow_with_the_store(spark, monkeypatch):
+    monkeypatch.setattr(cl, "SHARD_KEYS", 20)
+    rows = corpus(4)
+    store = cl.LineStore(spark).insert(frame(spark, rows[:1]))
+    assert store.shards == 1
+    store.insert(frame(spark, rows[1:]))
+    keys = store.refs.count()
+    assert 20 * store.shards >= keys > 10 * store.shards
+    assert {r["shard"] for r in store.filters.collect()} <= set(range(store.shards))
+    assert got(store.dedup(frame(spark, rows))) == plain(rows)
+    store.delete(spark.createDataFrame([(r[0],) for r in rows[40:]], "doc_id long"))
+    left = [r for r in rows[:40] if r[0] != 7]
+    assert got(store.dedup(frame(spark, left))) == plain(left)
+
+
+def test_very_long_text(spark):
+    long = "\n".join("line number %d of a long text" % i for i in range(200_000))
+    rows = [(1, "Line number 77 of a long text"), (2, long), (3, "x" * 3_000_000), (4, "X" * 3_000_000)]
+    assert got(cl.dedup_lines(frame(spark, rows))) == plain(rows)
