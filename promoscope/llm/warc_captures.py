@@ -1,9 +1,9 @@
 """WARC archives and their captures (operator 3).
 
 Writing: a request, a response (or revisit) and a metadata record per
-page, as rows of one text each.  Spark's text writer with the separator
-that ends a WARC record turns them into archives, so files are committed
-by Spark and a lost task is simply run again.
+page.  Tasks pack them into archives of bounded bytes, one row each, which
+Spark's text writer writes to a file each, so files are committed by Spark
+and a lost task is simply run again.
 
 Reading: archives are parsed in tasks into one row per record.  Assembly
 brings the records of a capture together by the identifier they share:
@@ -20,14 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promoscope.llm._bytes import PART
+from promoscope.llm._bytes import PART, parts
 from promoscope.llm._common import materialize, scratch_dir
 
 NL = "\r\n"
 #: Payloads shorter than this are always stored.
 MIN_REVISIT = 100
-#: Uncompressed bytes of an archive file, on average.
-ARCHIVE_BYTES = 32 << 20
+#: Uncompressed bytes of an archive file; only the records of one page
+#: may be larger.
+ARCHIVE_BYTES = 16 << 20
 #: The tables have no capture time; all records carry this one.
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
@@ -46,6 +47,28 @@ def _record(kind, rid, headers, body):
     return F.concat(F.concat_ws(NL, *lines), F.lit(NL + NL), body)
 
 
+def _pack_batches(limit):
+    """Joins records, in order, to archives of at most ``limit`` bytes."""
+    end = (NL + NL).encode()
+
+    def archive(held):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([end.join(held)], pa.binary()).cast(pa.string())], names=["value"])
+
+    def run(batches):
+        held, size = [], 0
+        for b in parts(batches, 0):
+            for record in b.column(0).to_pylist():
+                if held and size + len(record) + len(end) > limit:
+                    yield archive(held)
+                    held, size = [], 0
+                held.append(record)
+                size += len(record) + len(end)
+        if held:
+            yield archive(held)
+    return run
+
+
 def write_archives(pages: DataFrame, path: str, folder: str) -> None:
     """Archives of pages (page_id, url, html) under ``path``.
 
@@ -61,9 +84,6 @@ def write_archives(pages: DataFrame, path: str, folder: str) -> None:
     first = (base.where(F.col("bytes") >= MIN_REVISIT).groupBy("digest")
              .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     first = materialize(first.select("digest", "first"), folder, "first")
-    total = base.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).first()
-    per_file = max(3, int(3 * (total["n"] or 1) * ARCHIVE_BYTES / max(1, total["b"] or 0)))
-
     p = base.join(first, "digest", "left").withColumn("capture", F.expr("uuid()"))
     again = F.coalesce(~F.col("page_id").eqNullSafe(F.col("first")) & F.col("first").isNotNull(),
                        F.lit(False))
@@ -90,9 +110,10 @@ def write_archives(pages: DataFrame, path: str, folder: str) -> None:
         uri | {"Content-Type": F.lit("application/warc-fields"), "WARC-Concurrent-To": about},
         F.concat_ws(NL, F.concat(F.lit("page_id: "), page),
                     F.concat(F.lit("payload_bytes: "), F.col("bytes").cast("string"))))
-    (p.select(F.explode(F.array(request, response, metadata)).alias("value"))
+    (p.select(F.concat_ws(NL + NL, request, response, metadata).cast("binary").alias("value"))
+     .mapInArrow(_pack_batches(ARCHIVE_BYTES), "value string")
      .write.option("lineSep", NL + NL).option("compression", "gzip")
-     .option("maxRecordsPerFile", per_file).text(path))
+     .option("maxRecordsPerFile", 1).text(path))
 
 
 def _inflated(content: bytes) -> bytes:
@@ -208,7 +229,13 @@ def _field(name):
 
 def page_captures(pages: DataFrame) -> DataFrame:
     """Writes the pages to archives, reads them back and returns per page
-    page_id, payload_bytes, payload_digest, record_type and refers_to."""
+    page_id, payload_bytes, payload_digest, record_type and refers_to.
+
+    One row per row of ``pages``, repeated ones too; null urls and htmls
+    are empty, null page ids stay null, an empty table gives no rows.
+    Page ids are whole numbers.  Columns other than page_id, url and html
+    are left out.  A page's html, however long, is one record.
+    """
     spark = pages.sparkSession
     folder = scratch_dir(spark)
     write_archives(pages, f"{folder}/warc", folder)

@@ -62,3 +62,24 @@ def test_broken_archives_are_errors():
         list(wc.parse_archive(good + b"junk\r\n\r\n"))
     with pytest.raises(ValueError):
         list(wc.parse_archive(good[:-6]))
+
+
+def test_files_are_cut_by_bytes(spark, tmp_out, monkeypatch):
+    monkeypatch.setattr(wc, "ARCHIVE_BYTES", 50_000)
+    # Small pages first, then a run of large ones, and one beyond the limit.
+    pages = [(i, "u", "s" * 150 + str(i)) for i in range(200)] + [
+        (200 + i, "u", "l" * 20_000 + str(i)) for i in range(20)] + [(300, "u", "h" * 90_000)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    wc.write_archives(df, f"{tmp_out}/w", tmp_out)
+    files = spark.read.format("binaryFile").load(f"{tmp_out}/w").select("content").collect()
+    sizes, most = [], 0
+    for f in files:
+        data = wc._inflated(bytes(f["content"]))
+        sizes.append(len(data))
+        kinds = [h["warc-type"] for h, _ in wc.parse_archive(data)]
+        assert kinds == ["request", "response", "metadata"] * (len(kinds) // 3)
+        most = max(most, len(kinds))
+    assert sum(x > 50_010 for x in sizes) == 1 and max(sizes) < 95_000
+    assert 10 < len(sizes) < 20 and most > 100
+    got = sorted((tuple(r) for r in wc.page_captures(df).collect()), key=str)
+    assert got == plain(pages)
