@@ -1,12 +1,11 @@
 """Per (user, merchant) behaviour features and the feature table (A5).
 
 All eight log features come from one scan of the log, aggregated in
-two levels (see ``behaviour_features``).  The three distinct counts make
-Catalyst insert an Expand (one copy of each row per distinct column,
-plus one for the plain counts); every shuffle on the way is keyed by
-more than the pair, except the last, which carries one partial row per
-pair and task, so a hot (user, merchant) pair is spread over many
-tasks.  That is one scan of the log instead of the five the
+levels (see ``behaviour_features``).  The three distinct counts need a
+copy of each row per counted column (an Expand); every shuffle on the way
+is keyed by more than the pair, except the last, which carries one
+partial row per pair and task, so a hot (user, merchant) pair is spread
+over many tasks.  That is one scan of the log instead of the five the
 per-feature form would need.
 """
 
@@ -71,29 +70,51 @@ def action_features(log: DataFrame) -> DataFrame:
         *[_action_count(code).alias(name) for name, code in ACTION_FEATURES])
 
 
+#: Distinct counts: feature name -> log column whose values it counts (FEAT-2..4).
+DISTINCT_FEATURES = (
+    ("unique_item_ids", "item_id"),
+    ("categories", "cat_id"),
+    ("browse_days", "time_stamp"),
+)
+#: Tasks over which the rows of one value of one pair are spread, at most.
+VALUE_PARTS = 16
+
+
 def behaviour_features(log: DataFrame) -> DataFrame:
     """FEAT-1..6 in one pass: user_id, merchant_id + 8 features.
 
-    Two aggregation levels.  The first groups by every column a distinct
+    Three aggregation levels.  The first groups by every column a distinct
     count looks at (pair, item, category, day), with row and per-action
     counts.  Grouped as one struct, those columns need a shuffle of their
     own: a partitioning by item or user that the log happens to come with
     would otherwise be reused and keep a hot one in a single task.  Rows
     equal in them are combined before that shuffle.
-    The second level sums those counts and counts distinct values per
-    pair; the Expand Catalyst plans for the three distinct counts runs
-    over the first-level rows instead of the raw log.
+    The second level has one row per pair, counted column and value, the
+    third counts them per pair; the counts of the first level go along
+    with the days.  The second level's rows are many and small: shuffles
+    that AQE sizes by compressed bytes would put millions into the hash
+    table of one task, so they are dealt over the session's number of
+    shuffle partitions, first by a part of the value's rows (a value may be
+    hot), then by the value.
     """
     keys = ("user_id", "seller_id", "item_id", "cat_id", "time_stamp")
+    sums = ("_rows", *[name for name, _ in ACTION_FEATURES])
     level1 = log.groupBy(F.struct(*keys).alias("_event")).agg(
         F.count("item_id").alias("_rows"),
         *[_action_count(code).alias(name) for name, code in ACTION_FEATURES])
-    level1 = level1.select("_event.*", "_rows", *[name for name, _ in ACTION_FEATURES])
-    return level1.groupBy(*_pair_group()).agg(
+    level1 = level1.select("_event.*", *sums).withColumn(
+        "_part", F.pmod(F.xxhash64(*keys[2:]), F.lit(VALUE_PARTS)))
+    kept = ("user_id", "seller_id", "_part", *sums)
+    values = level1.select(*kept, *[F.col(c).cast("string").alias(name) for name, c in DISTINCT_FEATURES]).unpivot(
+        list(kept), [name for name, _ in DISTINCT_FEATURES], "_feature", "_value")
+    values = values.withColumns({c: F.when(F.col("_feature") == "browse_days", F.col(c)) for c in sums})
+    partitions = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for by in (("_feature", "_value", "_part"), ("_feature", "_value")):
+        by = ("user_id", "seller_id", *by)
+        values = values.repartition(partitions, *by).groupBy(*by).agg(*[F.sum(c).alias(c) for c in sums])
+    return values.groupBy(*_pair_group()).agg(
         F.sum("_rows").alias("total_logs"),
-        F.count_distinct("item_id").alias("unique_item_ids"),
-        F.count_distinct("cat_id").alias("categories"),
-        F.count_distinct("time_stamp").alias("browse_days"),
+        *[F.count(F.when(F.col("_feature") == name, F.col("_value"))).alias(name) for name, _ in DISTINCT_FEATURES],
         *[F.sum(name).alias(name) for name, _ in ACTION_FEATURES])
 
 
