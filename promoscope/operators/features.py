@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from promoscope.schemas import (
     AGE_UNKNOWN, CART, CLICK, FAVOURITE, FEATURES, GENDER_UNKNOWN, PURCHASE,
 )
-
+from promoscope.session import spread
 
 
 def _pair_group():
@@ -108,10 +108,9 @@ def behaviour_features(log: DataFrame) -> DataFrame:
     values = level1.select(*kept, *[F.col(c).cast("string").alias(name) for name, c in DISTINCT_FEATURES]).unpivot(
         list(kept), [name for name, _ in DISTINCT_FEATURES], "_feature", "_value")
     values = values.withColumns({c: F.when(F.col("_feature") == "browse_days", F.col(c)) for c in sums})
-    partitions = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for by in (("_feature", "_value", "_part"), ("_feature", "_value")):
         by = ("user_id", "seller_id", *by)
-        values = values.repartition(partitions, *by).groupBy(*by).agg(*[F.sum(c).alias(c) for c in sums])
+        values = spread(values, *by).groupBy(*by).agg(*[F.sum(c).alias(c) for c in sums])
     return values.groupBy(*_pair_group()).agg(
         F.sum("_rows").alias("total_logs"),
         *[F.count(F.when(F.col("_feature") == name, F.col("_value"))).alias(name) for name, _ in DISTINCT_FEATURES],
@@ -130,13 +129,14 @@ def feature_table(pairs: DataFrame, users: DataFrame, features: DataFrame) -> Da
     """FEAT-8: pairs + age, gender + 8 log features (left joins, JOIN-4/5).
 
     The pair join runs first: pairs and features are both keyed by
-    (user_id, merchant_id), and when both come out of aggregations on
-    those keys the join needs no new shuffle.  The user join follows on
-    user_id; a user with many pairs is a skewed left side, which AQE's
-    skew-join split handles for left outer joins.
+    (user_id, merchant_id), and the features come out of an aggregation on
+    those keys.  The pairs are spread, so that neither is coalesced by its
+    compressed bytes: one task would aggregate and sort millions of rows.
+    The user join follows on user_id; a user with many pairs is a skewed
+    left side, which AQE's skew-join split handles for left outer joins.
     """
     head = [c for c in pairs.columns if c not in FEATURES]
-    joined = (pairs.join(features, ["user_id", "merchant_id"], "left")
+    joined = (spread(pairs, "user_id", "merchant_id").join(features, ["user_id", "merchant_id"], "left")
               .join(clean_demographics(users), "user_id", "left"))
     return joined.select(*head, *[F.col(c).cast("long").alias(c) if c not in ("age_range", "gender")
                                   else F.col(c) for c in FEATURES])

@@ -23,6 +23,11 @@ to score); FIXTURES.md holds the same text as SQL for the DuckDB oracle.
 Every view is lazy and column-pruned: the part table is joined only
 when a category or brand column is asked for (p_partkey is unique, so a
 left join to it never changes the row count).
+
+Where the orders are too many to broadcast, their join with the lines runs
+over the session's number of shuffle partitions: AQE sizes tasks by
+compressed bytes, and 64 MB of these narrow rows are millions to be sorted
+and grouped in one task.
 """
 
 from __future__ import annotations
@@ -33,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promoscope.schemas import LOG_COLUMNS, PURCHASE
+from promoscope.session import spread
 
 # Features before, labels from this day on (mmdd).
 SPLIT_DAY = 701
@@ -63,7 +69,7 @@ class Tables:
             "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
             F.explode(F.when(F.col("l_linenumber") == TWICE_LINE, F.array(F.lit(1), F.lit(2)))
                       .otherwise(F.array(F.lit(1)))).alias("_copy"))
-        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        orders = spread(self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey")
         log = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
         if {"cat_id", "brand_id"} & set(columns):
             part = self.table("part").select("p_partkey", "p_type", "p_brand")

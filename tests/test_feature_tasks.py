@@ -1,12 +1,15 @@
 """The rows of the distinct counts stay many small tasks, with exact results."""
 
+import datetime
 import random
 import re
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from promoscope.operators import features as feat
+from promoscope.sources.driver_tables import Tables
 
 SCHEMA = "user_id long, item_id long, cat_id string, seller_id long, time_stamp int, action_type int"
 
@@ -51,3 +54,46 @@ def test_rows_of_one_value_are_spread(spark):
     hot = log.where("user_id = 1 AND cat_id = 'c'").select(
         F.pmod(F.xxhash64("item_id", "cat_id", "time_stamp"), F.lit(feat.VALUE_PARTS)).alias("p"))
     assert hot.distinct().count() == feat.VALUE_PARTS
+
+
+@pytest.fixture()
+def large_sides(spark):
+    """No table is small enough to be broadcast."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def tasks(df):
+    return len({r.task for r in df.withColumn("task", F.spark_partition_id()).collect()})
+
+
+def test_lines_and_orders_are_joined_in_many_tasks(spark, tmp_out, large_sides):
+    orders = [(i, i % 7, datetime.datetime(1996, 1 + i % 12, 5)) for i in range(300)]
+    lines = [(i % 310, i % 11, i % 5, i % 6, "ARN"[i % 3], "OF"[i % 2]) for i in range(900)]
+    spark.createDataFrame(orders + [(None, 1, None)], "o_orderkey long, o_custkey long, o_orderdate timestamp").write.parquet(
+        f"{tmp_out}/orders.parquet")
+    spark.createDataFrame(lines + [(None, 1, 1, 1, "A", "O")], "l_orderkey long, l_partkey long, l_suppkey long, "
+                          "l_linenumber int, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_out}/lineitem.parquet")
+    log = Tables(spark, tmp_out).user_log(("user_id", "item_id", "seller_id"))
+    assert tasks(log) == large_sides
+    want = [(x[0] % 7, x[1], x[2]) for x in lines if x[0] < 300 for _ in range(1 + (x[3] == 5))]
+    assert sorted(map(tuple, log.collect())) == sorted(want)
+
+
+def test_pairs_and_features_are_joined_in_many_tasks(spark, large_sides):
+    log = spark.createDataFrame(rows(), SCHEMA)
+    pairs = [(u, m) for u in (*range(40), None) for m in range(7)]
+    users = spark.createDataFrame([(u, 3, u % 2) for u in range(30)], "user_id long, age_range int, gender int")
+    table = feat.feature_table(spark.createDataFrame(pairs, "user_id long, merchant_id long"), F.broadcast(users),
+                               feat.behaviour_features(log))
+    assert tasks(table) == large_sides
+    key = lambda r: (str(r[0]), str(r[1]))
+    got = [(r.user_id, r.merchant_id, r.age_range, r.total_logs) for r in table.collect()]
+    total = {}
+    for r in rows():
+        if r[0] is not None and r[3] is not None:
+            total[r[0], r[3]] = total.get((r[0], r[3]), 0) + (r[1] is not None)
+    want = [(u, m, 3 if u is not None and u < 30 else None, total.get((u, m))) for u, m in pairs]
+    assert sorted(got, key=key) == sorted(want, key=key)
