@@ -8,23 +8,29 @@ query shares at most as many tokens with a member as with that union; so
 a group is opened, and its members compared with the query, only where
 the union holds ``threshold_pct`` percent of the query's tokens.
 
-Which rows of the matrix a query looks at is told by signatures: a set's
+Which sets look at the matrix at all is told by signatures: a set's
 tokens are dealt by hash into more parts than two sets that reach the
 threshold can differ in tokens, so such sets agree in whole parts.  Only
-queries and groups that agree in a part meet; no pair is lost.
+sets that agree in a part with another go on; no pair is lost.
 
 Groups of near copies do not make all pairs.  Leaders are compared with
 the nodes they lead and every group opens for its own members first; what
-is linked so is one component.  Only
-nodes whose part is also found in another component go on: their groups
-meet two by two, unless both are of one and the same component.
+is linked so is one component.  Only nodes whose part is also found in
+another component go on.  Their tokens are put in order, those of one
+component first and then the rare ones: linked sets share one of their
+first tokens, and how far back it comes bounds the sizes of a partner.
+Rows of the matrix are kept for such tokens and sizes.  Near copies that
+each have tokens of their own have none; the groups of the others meet
+two by two, unless both are of one and the same component.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promoscope.llm._bytes import U, binary, mix, parts
@@ -39,6 +45,8 @@ GROUP = 256
 GROUP_TOKENS = 1 << 18
 #: Nodes from which on a component has groups of its own.
 OWN_GROUPS = 64
+#: Classes of sizes from a set to its largest possible partner.
+SIZE_CLASSES = 8
 
 
 def ladder(top: int = 1 << 40) -> list[int]:
@@ -161,6 +169,20 @@ def _signature_batches(size, pct, whole):
     return run
 
 
+def _token_batches(size):
+    """(id, n, own, token): the tokens of every text, with its columns."""
+    def run(batches):
+        for b in parts(batches, 3):
+            offsets, data = binary(b.column(3))
+            text, element = shingle_sets(offsets, data, size)
+            for i in range(0, len(text), 1 << 16):
+                of = pa.array(text[i:i + (1 << 16)])
+                yield pa.RecordBatch.from_arrays([
+                    *(b.column(c).take(of) for c in range(3)),
+                    pa.array(element[i:i + (1 << 16)].view(np.int64))], names=["id", "n", "own", "token"])
+    return run
+
+
 def overlap(a, b):
     """Number of tokens in both of two sorted sets."""
     if not len(b):
@@ -303,6 +325,53 @@ def _first_pairs(led: DataFrame, pct: int) -> DataFrame:
     return led.where((F.col("node") != F.col("a")) & fits).select("a", F.col("node").alias("b")).distinct()
 
 
+def _rarest(tokens: DataFrame, pct: int) -> DataFrame:
+    """(id, n, own, token, room) of the rarest tokens of each set.
+
+    ``tokens`` has (id, n, own, token): a set, its size and its component.
+    Tokens of one component come first, the others from rare to frequent.
+    Two linked sets share at least pct percent of either's tokens, so the
+    first token that sets of two components share has in both that
+    ``room``: that many tokens from it on, itself included.
+    """
+    found = tokens.groupBy("token").agg(
+        F.count(F.lit(1)).alias("sets"), F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo < hi")
+    back = Window.partitionBy("id").orderBy(F.desc("sets"), F.desc("token"))
+    return tokens.join(found.select("token", "sets"), "token").withColumn(
+        "room", F.row_number().over(back).cast("long")).where(
+        100 * F.col("room") >= pct * F.col("n")).select("id", "n", "own", "token", "room")
+
+
+def _shared_keys(rare: DataFrame, pct: int) -> DataFrame:
+    """(key, side, id): what two sets that may be linked share.
+
+    A key is a token and two classes of sizes, the lesser's sets on side 0
+    and the other's on side 1.  A set has the keys of the sizes that a
+    partner may have whose first shared token this is: they share at most
+    ``room`` tokens.  Kept are those that another component has on the
+    other side.
+    """
+    width = -math.log(pct / 100) / SIZE_CLASSES
+
+    def size_class(n):
+        return F.floor(F.log(n) / width)
+
+    least = F.ceil(F.lit(pct) * F.col("n") / 100)
+    most = F.least(F.floor(100 * F.col("n") / pct), F.floor((100 + pct) * F.col("room") / pct) - F.col("n"))
+    keys = rare.withColumn("mine", size_class(F.col("n"))).withColumn(
+        "other", F.explode(F.sequence(size_class(least), size_class(most))))
+    first, last = F.when(F.expr("other < mine"), 1).otherwise(0), F.when(F.expr("other > mine"), 0).otherwise(1)
+    keys = keys.select(
+        F.xxhash64("token", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"),
+        F.explode(F.sequence(first, last)).alias("side"), "id", "own")
+    ends = [f(F.when(F.col("side") == side, F.col("own"))).alias(f"{name}{side}")
+            for side in (0, 1) for name, f in (("lo", F.min), ("hi", F.max))]
+    met = keys.groupBy("key").agg(*ends).where("lo0 < hi1 OR lo1 < hi0")
+    there = F.when(F.col("side") == 0, F.expr("lo1 <> own OR hi1 <> own")).otherwise(
+        F.expr("lo0 <> own OR hi0 <> own"))
+    return keys.join(met, "key").where(there).select("key", "side", "id")
+
+
 def _classes(docs: DataFrame, shingle: int, pct: int, text: str, key: str) -> DataFrame:
     """(key, n, component_id) per row; see jaccard_join."""
     folder = scratch_dir(docs.sparkSession)
@@ -361,28 +430,40 @@ def _classes(docs: DataFrame, shingle: int, pct: int, text: str, key: str) -> Da
         F.col("group").alias("cell"), F.lit(2).alias("role"), "node", F.col("node").alias("comp"))
     comps = components(links.unionByName(opened_by(own, "own")), f"{folder}/c1")
 
+    # Nodes that agree in a part with one of another component, and what of
+    # their rarest tokens and sizes they share with such a node.
+    member = packs.join(comps, "node", "left").select(
+        "node", "n", "pack", F.coalesce("comp", "node").alias("comp"))
+    member = materialize(member.withColumn("id", F.xxhash64("node")).withColumn(
+        "own", F.xxhash64("comp")), folder, "member")
+    mixed = signed.join(member.select("node", "own"), "node").groupBy("sig").agg(
+        F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo < hi").select("sig")
+    going = signed.join(materialize(mixed, folder, "mixed"), "sig", "left_semi").select("node").distinct()
+    tokens = member.join(going, "node").join(bodies, "node").select("id", "n", "own", "bytes").mapInArrow(
+        _token_batches(shingle), "id long, n long, own long, token long")
+    rare = materialize(_rarest(materialize(tokens, folder, "tokens"), pct), folder, "rare")
+    keyed = materialize(_shared_keys(rare, pct), folder, "keyed")
+
     # A large component has groups of its own: they need no others of it.
-    member = packs.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    member = member.join(keyed.select("id").distinct(), "id")
     large = member.groupBy("comp").agg(F.count(F.lit(1)).alias("times")).where(
-        F.col("times") >= OWN_GROUPS).select("comp", F.xxhash64("comp").alias("own"))
-    member = member.join(large, "comp", "left").withColumn("pack", F.coalesce("own", "pack"))
-    member = materialize(grouped(member).select("node", "n", "comp", "group"), folder, "member")
-    entries = materialize(signed.join(member, "node").groupBy("sig", "group").agg(
+        F.col("times") >= OWN_GROUPS).select("comp", F.lit(True).alias("large"))
+    member = member.join(large, "comp", "left").withColumn(
+        "pack", F.when(F.col("large"), F.col("own")).otherwise(F.col("pack")))
+    active = materialize(grouped(member).select("id", "node", "n", "comp", "group"), folder, "active")
+    entries = materialize(keyed.join(active, "id").groupBy("key", "side", "group").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("short"), F.max("n").alias("long")),
         folder, "entries")
-    mixed = materialize(entries.groupBy("sig").agg(F.min("lo").alias("a"), F.max("hi").alias("b")).where(
-        "a < b").select("sig"), folder, "mixed")
-    entries = entries.join(mixed, "sig")
-    one = entries.select("sig", *[F.col(c).alias(f"{c}1") for c in ("group", "lo", "hi", "short", "long")])
-    two = entries.select("sig", *[F.col(c).alias(f"{c}2") for c in ("group", "lo", "hi", "short", "long")])
+    one, two = (entries.where(F.col("side") == side).select(
+        "key", *[F.col(c).alias(f"{c}{side + 1}") for c in ("group", "lo", "hi", "short", "long")]) for side in (0, 1))
     apart = (F.col("lo1") != F.col("hi1")) | (F.col("lo2") != F.col("hi2")) | (F.col("lo1") != F.col("lo2"))
     fits = ((100 * F.col("long1") >= pct * F.col("short2")) & (100 * F.col("long2") >= pct * F.col("short1")))
-    meet = materialize(one.join(two, "sig").where((F.col("group1") <= F.col("group2")) & apart & fits).select(
-        "group1", "group2").distinct(), folder, "meet")
+    meet = materialize(one.join(two, "key").where(apart & fits).select(
+        F.least("group1", "group2").alias("group1"), F.greatest("group1", "group2").alias("group2")).distinct(),
+        folder, "meet")
 
-    # One cell per pair of groups, of the nodes that sign something mixed.
-    active = signed.join(mixed, "sig", "left_semi").select("node").distinct()
-    active = materialize(member.join(active, "node"), folder, "active").select("group", "node", "comp")
+    # One cell per pair of groups, of the nodes that share a key.
+    active = active.select("group", "node", "comp")
     meet = meet.withColumn("cell", F.xxhash64("group1", "group2"))
     members = meet.where("group1 < group2").join(active, F.col("group2") == F.col("group")).select(
         "cell", F.lit(0).alias("role"), "node", "comp")

@@ -82,3 +82,33 @@ def test_hot_group_of_unlinked_copies(spark, monkeypatch):
             w[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
         rows.append((i, " ".join(w)))
     assert run(spark, rows, 3, 90) == sorted((r[:3] for r in brute(rows, 3, 90)), key=str)
+
+
+def test_copies_with_tokens_of_their_own_meet_no_group(spark, monkeypatch):
+    """Rows of the cells in which groups meet follow the links, not the
+    square of the number of unlinked copies."""
+    monkeypatch.setattr(tg, "GROUP", 8)
+    tables, real = {}, tg.materialize
+
+    def kept(df, folder, name):
+        tables[name] = real(df, folder, name)
+        return tables[name]
+    monkeypatch.setattr(tg, "materialize", kept)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(300):
+        w = list(base)
+        for at in rng.sample(range(200), 8):
+            w[at] = f"x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(w)))
+        if i % 10 == 0:  # one that is linked to it, and one more to that
+            for k in (1, 2):
+                w[rng.randrange(200)] = f"y{rng.randrange(10**9)}"
+                rows.append((i + 1000 * k, " ".join(w)))
+    want = sorted((r[:3] for r in brute(rows, 3, 90)), key=str)
+    assert run(spark, rows, 3, 90) == want
+    assert len({r[2] for r in want}) == 300
+    size = {r["group"]: r["count"] for r in tables["active"].groupBy("group").count().collect()}
+    cells = [(r["group1"], r["group2"]) for r in tables["meet"].collect()]
+    assert sum(size[a] + size[b] * (a != b) for a, b in cells) < 4 * len(rows)
