@@ -1,17 +1,16 @@
 """Per (user, merchant) behaviour features and the feature table (A5).
 
 All eight log features come from one scan of the log, aggregated in
-levels (see ``behaviour_features``).  The three distinct counts need a
-copy of each row per counted column (an Expand); every shuffle on the way
-is keyed by more than the pair, except the last, which carries one
-partial row per pair and task, so a hot (user, merchant) pair is spread
-over many tasks.  That is one scan of the log instead of the five the
-per-feature form would need.
+levels (see ``behaviour_features``).  Each level hands on at most one row
+per row it gets; every shuffle on the way is keyed by more than the pair,
+except the last, which carries one partial row per pair and task, so a hot
+(user, merchant) pair is spread over many tasks.  That is one scan of the
+log instead of the five the per-feature form would need.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promoscope.schemas import (
@@ -70,51 +69,54 @@ def action_features(log: DataFrame) -> DataFrame:
         *[_action_count(code).alias(name) for name, code in ACTION_FEATURES])
 
 
-#: Distinct counts: feature name -> log column whose values it counts (FEAT-2..4).
-DISTINCT_FEATURES = (
-    ("unique_item_ids", "item_id"),
-    ("categories", "cat_id"),
-    ("browse_days", "time_stamp"),
-)
-#: Tasks over which the rows of one value of one pair are spread, at most.
+#: Tasks over which the rows of one pair are spread by their items, at most.
 VALUE_PARTS = 16
 
 
+def _first(*group: str):
+    """True in one row of each group."""
+    return F.row_number().over(Window.partitionBy(*group).orderBy(group[-1])) == 1
+
+
 def behaviour_features(log: DataFrame) -> DataFrame:
     """FEAT-1..6 in one pass: user_id, merchant_id + 8 features.
 
-    Three aggregation levels.  The first groups by every column a distinct
-    count looks at (pair, item, category, day), with row and per-action
-    counts.  Grouped as one struct, those columns need a shuffle of their
-    own: a partitioning by item or user that the log happens to come with
-    would otherwise be reused and keep a hot one in a single task.  Rows
-    equal in them are combined before that shuffle.
-    The second level has one row per pair, counted column and value, the
-    third counts them per pair; the counts of the first level go along
-    with the days.  The second level's rows are many and small: shuffles
-    that AQE sizes by compressed bytes would put millions into the hash
-    table of one task, so they are dealt over the session's number of
-    shuffle partitions, first by a part of the value's rows (a value may be
-    hot), then by the value.
+    Four aggregation levels; each hands on at most one row per row it gets
+    and no copy per distinct count, which would multiply the disk that a
+    large log's shuffles take.  The first groups by every column of use
+    (pair, item, category, day, action) and counts rows.  Grouped as one
+    struct, those columns need a shuffle of their own: a partitioning by
+    item or user that the log happens to come with would otherwise be reused
+    and keep a hot one in a single task.  Rows equal in them are combined
+    before that shuffle.
+    The next two levels count a column's values, marking one row of each
+    where all of them have met, and then drop it: the second the item, the
+    third the category, in long form as a value.  AQE would size their
+    shuffles by compressed bytes and put millions of rows into one task, so
+    they are dealt over the session's number of shuffle partitions.  A
+    category of a pair may be hot, so the second level deals the pair by a
+    part of its items and leaves one row per part, category, day and action.
+    The last level has one row per pair, with the set of its days, which is
+    no longer than the calendar.
     """
-    keys = ("user_id", "seller_id", "item_id", "cat_id", "time_stamp")
-    sums = ("_rows", *[name for name, _ in ACTION_FEATURES])
-    level1 = log.groupBy(F.struct(*keys).alias("_event")).agg(
-        F.count("item_id").alias("_rows"),
-        *[_action_count(code).alias(name) for name, code in ACTION_FEATURES])
-    level1 = level1.select("_event.*", *sums).withColumn(
-        "_part", F.pmod(F.xxhash64(*keys[2:]), F.lit(VALUE_PARTS)))
-    kept = ("user_id", "seller_id", "_part", *sums)
-    values = level1.select(*kept, *[F.col(c).cast("string").alias(name) for name, c in DISTINCT_FEATURES]).unpivot(
-        list(kept), [name for name, _ in DISTINCT_FEATURES], "_feature", "_value")
-    values = values.withColumns({c: F.when(F.col("_feature") == "browse_days", F.col(c)) for c in sums})
-    for by in (("_feature", "_value", "_part"), ("_feature", "_value")):
-        by = ("user_id", "seller_id", *by)
-        values = spread(values, *by).groupBy(*by).agg(*[F.sum(c).alias(c) for c in sums])
+    pair = ("user_id", "seller_id")
+    keys = (*pair, "item_id", "cat_id", "time_stamp", "action_type")
+    events = log.groupBy(F.struct(*keys).alias("_event")).agg(F.count("item_id").alias("_rows"))
+    events = events.select("_event.*", "_rows", F.pmod(F.xxhash64("item_id"), F.lit(VALUE_PARTS)).alias("_part"))
+    values = events.unpivot([c for c in events.columns if c != "cat_id"], ["cat_id"], "_feature", "_value")
+    by = (*pair, "_part", "_value", "time_stamp", "action_type")
+    values = spread(values, *pair, "_part").withColumn("_item", _first(*pair, "_part", "item_id"))
+    values = values.groupBy(*by).agg(
+        F.sum("_rows").alias("_rows"),
+        F.count(F.when(F.col("_item"), F.col("item_id"))).alias("_items"))
+    values = spread(values.drop("_part"), *pair, "_value").withColumn("_first", _first(*pair, "_value"))
     return values.groupBy(*_pair_group()).agg(
         F.sum("_rows").alias("total_logs"),
-        *[F.count(F.when(F.col("_feature") == name, F.col("_value"))).alias(name) for name, _ in DISTINCT_FEATURES],
-        *[F.sum(name).alias(name) for name, _ in ACTION_FEATURES])
+        F.sum("_items").alias("unique_item_ids"),
+        F.count(F.when(F.col("_first"), F.col("_value"))).alias("categories"),
+        F.size(F.collect_set("time_stamp")).cast("long").alias("browse_days"),
+        *[F.sum(F.when(F.col("action_type") == code, F.col("_rows")).otherwise(0)).alias(name)
+          for name, code in ACTION_FEATURES])
 
 
 def clean_demographics(users: DataFrame) -> DataFrame:

@@ -27,7 +27,8 @@ left join to it never changes the row count).
 Where the orders are too many to broadcast, their join with the lines runs
 over the session's number of shuffle partitions: AQE sizes tasks by
 compressed bytes, and 64 MB of these narrow rows are millions to be sorted
-and grouped in one task.
+and grouped in one task.  The joins shuffle the action and the day instead
+of the columns they come from, and a line that is logged twice once.
 """
 
 from __future__ import annotations
@@ -66,28 +67,31 @@ class Tables:
         if unknown:
             raise ValueError(f"not log columns: {sorted(unknown)}")
         lines = self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
-            F.explode(F.when(F.col("l_linenumber") == TWICE_LINE, F.array(F.lit(1), F.lit(2)))
-                      .otherwise(F.array(F.lit(1)))).alias("_copy"))
-        orders = spread(self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey")
+            "l_orderkey", "l_partkey", "l_suppkey",
+            (F.when(F.col("l_returnflag") == "A", F.lit(1))
+             .when(F.col("l_returnflag") == "R", F.lit(3))
+             .when(F.col("l_linestatus") == "O", F.lit(2))
+             .otherwise(F.lit(0))).alias("_action"),
+            F.col("l_linenumber").eqNullSafe(TWICE_LINE).alias("_twice"))
+        orders = spread(self.table("orders").select(
+            "o_orderkey", "o_custkey",
+            (F.month("o_orderdate") * 100 + F.dayofmonth("o_orderdate")).cast("int").alias("_day")), "o_orderkey")
         log = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
         if {"cat_id", "brand_id"} & set(columns):
             part = self.table("part").select("p_partkey", "p_type", "p_brand")
             log = log.join(part, log.l_partkey == part.p_partkey, "left")
         exprs = {
-            "user_id": F.col("o_custkey"),
-            "item_id": F.col("l_partkey"),
-            "cat_id": F.col("p_type"),
-            "seller_id": F.col("l_suppkey"),
-            "brand_id": F.col("p_brand"),
-            "time_stamp": (F.month("o_orderdate") * 100
-                           + F.dayofmonth("o_orderdate")).cast("int"),
-            "action_type": (F.when(F.col("l_returnflag") == "A", F.lit(1))
-                            .when(F.col("l_returnflag") == "R", F.lit(3))
-                            .when(F.col("l_linestatus") == "O", F.lit(2))
-                            .otherwise(F.lit(0))),
+            "user_id": "o_custkey",
+            "item_id": "l_partkey",
+            "cat_id": "p_type",
+            "seller_id": "l_suppkey",
+            "brand_id": "p_brand",
+            "time_stamp": "_day",
+            "action_type": "_action",
         }
-        return log.select(*[exprs[c].alias(c) for c in columns])
+        return log.select(*[F.col(exprs[c]).alias(c) for c in columns], "_twice").select(
+            *columns, F.explode(F.when(F.col("_twice"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_copy")
+        ).drop("_copy")
 
     # -- user_info ----------------------------------------------------------
     def user_info(self) -> DataFrame:

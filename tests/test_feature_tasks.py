@@ -97,3 +97,48 @@ def test_pairs_and_features_are_joined_in_many_tasks(spark, large_sides):
             total[r[0], r[3]] = total.get((r[0], r[3]), 0) + (r[1] is not None)
     want = [(u, m, 3 if u is not None and u < 30 else None, total.get((u, m))) for u, m in pairs]
     assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def shuffled(plan):
+    """Rows written by each shuffle of an executed plan, the last one first."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return shuffled(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return shuffled(plan.plan())
+    own = [plan.metrics().apply("shuffleRecordsWritten").value()] if plan.nodeName() == "Exchange" else []
+    return own + [n for i in range(plan.children().size()) for n in shuffled(plan.children().apply(i))]
+
+
+def test_no_shuffle_writes_a_row_of_the_log_more_than_once(spark):
+    n = 600
+    log = spark.createDataFrame([(i % 90, i, f"c{i % 7}", i, 101 + i % 28, i % 4) for i in range(n)], SCHEMA)
+    features = feat.behaviour_features(log)
+    assert all(r.total_logs == r.unique_item_ids == r.categories == r.browse_days == 1 for r in features.collect())
+    assert shuffled(features._jdf.queryExecution().executedPlan()) == [n] * 4
+
+
+def test_items_of_a_hot_category_are_merged_before_it_meets(spark):
+    days = 5
+    log = spark.createDataFrame([(1, i, "c", 1, 101 + i % days, 0) for i in range(2000)], SCHEMA)
+    features = feat.behaviour_features(log)
+    assert [tuple(r) for r in features.collect()] == [(1, 1, 2000, 2000, 1, days, 2000, 0, 0, 0)]
+    _, category, part, _ = shuffled(features._jdf.queryExecution().executedPlan())
+    assert (category, part) == (feat.VALUE_PARTS * days, 2000)
+
+
+def test_an_item_of_two_categories_days_and_actions_is_counted_once(spark):
+    data = [(1, 5, c, 2, d, a) for c in ("x", "y", None) for d in (101, 102, None) for a in (0, 2, None, 9)]
+    data += [(1, None, "z", 2, 103, 1), (1, 6, None, 2, None, 3), (None, None, None, None, None, None)]
+    got = {tuple(r) for r in feat.behaviour_features(spark.createDataFrame(data * 3, SCHEMA)).collect()}
+    assert got == {(1, 2, 111, 2, 3, 3, 27, 0, 27, 3), (None, None, 0, 0, 0, 0, 0, 0, 0, 0)}
+
+
+def test_lines_logged_twice_are_shuffled_once(spark, tmp_out, large_sides):
+    orders = [(i, i % 7, datetime.datetime(1996, 1 + i % 12, 5)) for i in range(50)]
+    lines = [(i % 50, i % 11, i % 5, i % 7, "A", "O") for i in range(700)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp").write.parquet(f"{tmp_out}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                          "l_returnflag string, l_linestatus string").write.parquet(f"{tmp_out}/lineitem.parquet")
+    log = Tables(spark, tmp_out).user_log(("user_id", "item_id", "time_stamp", "action_type"))
+    assert len(log.collect()) == 800
+    assert sorted(shuffled(log._jdf.queryExecution().executedPlan())) == [50, 700]
